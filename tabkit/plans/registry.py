@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ["bind_claims"]
+AREAS = ["bind_claims", "bind_columns", "bind_describe"]
 
 
 def _modules():
