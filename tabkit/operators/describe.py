@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabkit.operators.order import _list, ranked_values, value_counts
+from tabkit.operators.order import _list, join_on_keys, ranked_values, value_counts
 
 
 def moments(df: DataFrame, col: str, keys: Sequence[str] | None = None,
@@ -54,14 +54,7 @@ def moments(df: DataFrame, col: str, keys: Sequence[str] | None = None,
     )
 
 
-def quantiles(df: DataFrame, col: str, probs: Sequence[float],
-              keys: Sequence[str] | None = None, names: Sequence[str] | None = None,
-              partitions: int | None = None) -> DataFrame:
-    """Exact type-7 quantiles (linear interpolation between order
-    statistics), one row per group with one column per probability."""
-    keys = _list(keys)
-    names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
-    r = ranked_values(df, col, keys, partitions)
+def _quantiles_ranked(r: DataFrame, col: str, probs, keys, names) -> DataFrame:
     aggs = []
     for p, name in zip(probs, names):
         h = (F.col("total") - 1) * float(p) + 1
@@ -77,26 +70,41 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float],
     return g.select(*keys, *outs)
 
 
-def mode(df: DataFrame, col: str, keys: Sequence[str] | None = None) -> DataFrame:
-    """Most frequent non-null value; ties -> the lowest value."""
+def quantiles(df: DataFrame, col: str, probs: Sequence[float],
+              keys: Sequence[str] | None = None, names: Sequence[str] | None = None,
+              partitions: int | None = None) -> DataFrame:
+    """Exact type-7 quantiles (linear interpolation between order
+    statistics), one row per group with one column per probability."""
     keys = _list(keys)
-    vc = value_counts(df, col, keys, drop_null=True)
+    names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
+    return _quantiles_ranked(ranked_values(df, col, keys, partitions), col, probs, keys, names)
+
+
+def _mode_counts(vc: DataFrame, col: str, keys) -> DataFrame:
     best = F.min(F.struct((-F.col("n")).alias("neg_n"), F.col(col).alias("v")))
     return vc.groupBy(*keys).agg(best.alias("_b")).select(
         *keys, F.col("_b.v").alias("mode"), (-F.col("_b.neg_n")).cast("bigint").alias("mode_n"))
 
 
+def mode(df: DataFrame, col: str, keys: Sequence[str] | None = None) -> DataFrame:
+    """Most frequent non-null value; ties -> the lowest value."""
+    keys = _list(keys)
+    return _mode_counts(value_counts(df, col, keys, drop_null=True), col, keys)
+
+
+def _trimmed_ranked(r: DataFrame, col: str, trim: float, keys) -> DataFrame:
+    g = F.floor(F.col("total") * float(trim))
+    kept = F.greatest(F.lit(0), F.least(F.col("cum_n"), F.col("total") - g)
+                      - F.greatest(F.col("before"), g))
+    return r.groupBy(*keys).agg((F.sum(kept * F.col(col)) / F.sum(kept)).alias("trimmed_mean"))
+
+
 def trimmed_mean(df: DataFrame, col: str, trim: float = 0.1,
                  keys: Sequence[str] | None = None, partitions: int | None = None) -> DataFrame:
     """Mean after dropping ``floor(n * trim)`` values from each end. Each
     distinct value keeps ``max(0, min(cum, n-g) - max(before, g))`` copies."""
     keys = _list(keys)
-    r = ranked_values(df, col, keys, partitions)
-    g = F.floor(F.col("total") * float(trim))
-    kept = F.greatest(F.lit(0), F.least(F.col("cum_n"), F.col("total") - g)
-                      - F.greatest(F.col("before"), g))
-    return r.groupBy(*keys).agg(
-        (F.sum(kept * F.col(col)) / F.sum(kept)).alias("trimmed_mean"))
+    return _trimmed_ranked(ranked_values(df, col, keys, partitions), col, trim, keys)
 
 
 def describe_column(df: DataFrame, col: str, keys: Sequence[str] | None = None,
@@ -106,12 +114,13 @@ def describe_column(df: DataFrame, col: str, keys: Sequence[str] | None = None,
     means, trimean, quartiles, P40, IQR, var, sd, CV, kurtosis)."""
     keys = _list(keys)
     m = moments(df, col, keys, digits)
-    q = quantiles(df, col, [0.25, 0.4, 0.5, 0.75], keys, ["q1", "p40", "median", "q3"])
-    md = mode(df, col, keys)
-    tm = trimmed_mean(df, col, trim, keys)
-    out = m.join(q, keys, "left") if keys else m.crossJoin(q)
-    out = out.join(md, keys, "left") if keys else out.crossJoin(md)
-    out = out.join(tm, keys, "left") if keys else out.crossJoin(tm)
+    r = ranked_values(df, col, keys)  # one checkpointed ranked table for all
+    q = _quantiles_ranked(r, col, [0.25, 0.4, 0.5, 0.75], keys, ["q1", "p40", "median", "q3"])
+    md = _mode_counts(r, col, keys)
+    tm = _trimmed_ranked(r, col, trim, keys)
+    out = join_on_keys(m, q, keys, "left")
+    out = join_on_keys(out, md, keys, "left")
+    out = join_on_keys(out, tm, keys, "left")
     return out.select(
         "*",
         F.bround((F.col("q1") + 2 * F.col("median") + F.col("q3")) / 4, digits).alias("trimean"),

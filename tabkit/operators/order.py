@@ -31,6 +31,22 @@ def _list(x) -> list[str]:
     return list(x)
 
 
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                 how: str = "inner") -> DataFrame:
+    """Join on group keys with NULL-safe equality (a NULL group is a group).
+    No keys -> the right side must be one row (cross join)."""
+    keys = _list(keys)
+    if not keys:
+        return left.crossJoin(right)
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        e = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def value_counts(df: DataFrame, col: str, keys: Sequence[str] | None = None,
                  count_col: str = "n", drop_null: bool = False) -> DataFrame:
     """``(keys..., col, n)``: rows per distinct value (NULL is a value)."""
@@ -72,7 +88,7 @@ def running_sum(df: DataFrame, value_col: str, order_cols: Sequence[str | Column
         F.coalesce(F.sum("_ptot").over(w_off.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"),
         F.sum("_ptot").over(Window.partitionBy(*keys)).alias("_total"))
-    joined = ranged.join(F.broadcast(offs) if keyless else offs, ["_pid", *keys], "inner")
+    joined = join_on_keys(ranged, F.broadcast(offs) if keyless else offs, ["_pid", *keys], "inner")
     w_in = (Window.partitionBy("_pid", *keys).orderBy(*order_exprs)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = (joined.withColumn(out_col, F.col("_off") + F.sum(value_col).over(w_in))

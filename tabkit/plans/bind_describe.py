@@ -64,7 +64,7 @@ m AS (
 c AS (SELECT {kc}avg({col}) AS mu FROM src {gb}),
 k AS (
   SELECT {kc}avg(power(s.{col} - c.mu, 4)) AS m4, avg(power(s.{col} - c.mu, 2)) AS m2
-  FROM src s JOIN c USING ({k if keys else 'mu'}) {gb}),
+  FROM src s {('JOIN c USING (' + k + ')') if keys else 'CROSS JOIN c'} {gb}),
 vc AS (SELECT {kc}{col} AS v, count(*) AS cnt FROM src WHERE {col} IS NOT NULL GROUP BY {kc}{col}),
 md AS (SELECT {kc}v AS mode, CAST(cnt AS BIGINT) AS mode_n FROM (
          SELECT *, row_number() OVER ({part} ORDER BY cnt DESC, v) AS rn FROM vc) WHERE rn = 1),
