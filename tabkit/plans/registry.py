@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ["bind_claims", "bind_columns", "bind_describe"]
+AREAS = ["bind_claims", "bind_columns", "bind_describe", "bind_inference"]
 
 
 def _modules():
