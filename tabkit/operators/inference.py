@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 from tabkit.functions import dist
 from tabkit.functions.normal import norm_cdf, norm_ppf
@@ -21,31 +22,31 @@ from tabkit.operators.describe import quantiles
 from tabkit.operators.order import _list, join_on_keys, ranked_values, with_mid_rank
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _t_p(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([dist.t_sf2(a, b) if pd.notna(a) and pd.notna(b) else None
                       for a, b in zip(t, df)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _t_q(p: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([dist.t_ppf(a, b) if pd.notna(a) and pd.notna(b) and b > 0 else None
                       for a, b in zip(p, df)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _chi2_p(x: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([dist.chi2_sf(a, b) if pd.notna(a) and pd.notna(b) else None
                       for a, b in zip(x, df)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _f_p(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series([dist.f_sf(a, b, c) if pd.notna(a) else None
                       for a, b, c in zip(f, d1, d2)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _lillie_p(d: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([dist.lilliefors_p(a, int(b)) if pd.notna(a) and pd.notna(b) else None
                       for a, b in zip(d, n)], dtype="float64")
