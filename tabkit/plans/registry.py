@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ["bind_claims", "bind_columns", "bind_describe", "bind_inference", "bind_multivar", "bind_soap", "bind_sources"]
+AREAS = ["bind_claims", "bind_columns", "bind_describe", "bind_inference", "bind_multivar", "bind_soap", "bind_sources", "bind_charts"]
 
 
 def _modules():
