@@ -64,14 +64,14 @@ def q_qq_points(spark: SparkSession, sf_dir: str):
 
 
 def q_qq_line(spark: SparkSession, sf_dir: str):
-    return rounded(V.qq_line(_o(spark, sf_dir), "price_k", ["o_orderstatus"]), 6)
+    return rounded(V.qq_line(_o(spark, sf_dir), "price_k", ["o_orderstatus"]), 8)
 
 
 SQL_QQ_LINE = """
 SELECT o_orderstatus,
-       round((quantile_cont(o_totalprice / 1000, 0.75) - quantile_cont(o_totalprice / 1000, 0.25)) / (2 * 0.6744897501960817), 6) AS slope,
+       round((quantile_cont(o_totalprice / 1000, 0.75) - quantile_cont(o_totalprice / 1000, 0.25)) / (2 * 0.6744897501960817), 8) AS slope,
        round(quantile_cont(o_totalprice / 1000, 0.25) + 0.6744897501960817
-             * (quantile_cont(o_totalprice / 1000, 0.75) - quantile_cont(o_totalprice / 1000, 0.25)) / (2 * 0.6744897501960817), 6) AS intercept
+             * (quantile_cont(o_totalprice / 1000, 0.75) - quantile_cont(o_totalprice / 1000, 0.25)) / (2 * 0.6744897501960817), 8) AS intercept
 FROM orders GROUP BY 1"""
 
 

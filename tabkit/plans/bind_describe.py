@@ -28,12 +28,18 @@ def _price_k(spark, sf_dir):
                     (F.col("o_totalprice") / 1000).alias("price_k"))
 
 
+# price_k has 5 decimals and type-7 interpolation adds two more: 8 decimals
+# never fall on a decimal tie (where HALF_UP on the decimal text and
+# rounding of the binary value legitimately differ).
+PRICE_DIGITS = 8
+
+
 def q_describe_price(spark: SparkSession, sf_dir: str):
-    return rounded(D.describe_column(_price_k(spark, sf_dir), "price_k"))
+    return rounded(D.describe_column(_price_k(spark, sf_dir), "price_k"), PRICE_DIGITS)
 
 
 def q_describe_price_by_priority(spark: SparkSession, sf_dir: str):
-    return rounded(D.describe_column(_price_k(spark, sf_dir), "price_k", ["o_orderpriority"]))
+    return rounded(D.describe_column(_price_k(spark, sf_dir), "price_k", ["o_orderpriority"]), PRICE_DIGITS)
 
 
 def q_describe_quantity_by_flag(spark: SparkSession, sf_dir: str):
@@ -41,7 +47,7 @@ def q_describe_quantity_by_flag(spark: SparkSession, sf_dir: str):
     return rounded(D.describe_column(li, "l_quantity", ["l_returnflag"]))
 
 
-def _describe_sql(src: str, col: str, keys: list[str]) -> str:
+def _describe_sql(src: str, col: str, keys: list[str], digits: int = 4) -> str:
     k = ", ".join(keys)
     kc = (k + ", ") if keys else ""
     gb = f"GROUP BY {k}" if keys else ""
@@ -73,26 +79,26 @@ tr AS (SELECT {kc}avg({col}) AS tm FROM (
                 count(*) OVER ({part}) AS nn
          FROM src WHERE {col} IS NOT NULL)
        WHERE rn > floor(nn * 0.1) AND rn <= nn - floor(nn * 0.1) {gb})
-SELECT {sel_keys}a.n, a.nulls, round(a.mean, 4) AS mean, round(a.min, 4) AS min, round(a.max, 4) AS max,
-       round((a.min + a.max) / 2, 4) AS mid_range, round(a.max - a.min, 4) AS range,
-       round(a.var, 4) AS var, round(a.sd, 4) AS sd, round(a.sd / a.mean * 100, 4) AS cv_pct,
-       round(round_even(CASE WHEN a.min < 0 THEN NULL WHEN a.min = 0 THEN 0 ELSE exp(a.mlog) END, 2), 4) AS geo_mean,
-       round(round_even(CASE WHEN a.min = 0 THEN 0 ELSE 1.0 / a.minv END, 2), 4) AS harm_mean,
-       round((b.m4 / (b.m2 * b.m2)) * power(1 - 1.0 / a.n, 2) - 3, 4) AS kurtosis,
-       round(b.m4 / (b.m2 * b.m2) - 3, 4) AS kurtosis_pop,
-       round(a.q1, 4) AS q1, round(a.p40, 4) AS p40, round(a.median, 4) AS median, round(a.q3, 4) AS q3,
-       round(d.mode, 4) AS mode, d.mode_n,
-       round(round_even(t.tm, 2), 4) AS trimmed_mean,
-       round(round_even((a.q1 + 2 * a.median + a.q3) / 4, 2), 4) AS trimean,
-       round(a.q3 - a.q1, 4) AS iqr
+SELECT {sel_keys}a.n, a.nulls, round(a.mean, {digits}) AS mean, round(a.min, {digits}) AS min, round(a.max, {digits}) AS max,
+       round((a.min + a.max) / 2, {digits}) AS mid_range, round(a.max - a.min, {digits}) AS range,
+       round(a.var, {digits}) AS var, round(a.sd, {digits}) AS sd, round(a.sd / a.mean * 100, {digits}) AS cv_pct,
+       round(round_even(CASE WHEN a.min < 0 THEN NULL WHEN a.min = 0 THEN 0 ELSE exp(a.mlog) END, 2), {digits}) AS geo_mean,
+       round(round_even(CASE WHEN a.min = 0 THEN 0 ELSE 1.0 / a.minv END, 2), {digits}) AS harm_mean,
+       round((b.m4 / (b.m2 * b.m2)) * power(1 - 1.0 / a.n, 2) - 3, {digits}) AS kurtosis,
+       round(b.m4 / (b.m2 * b.m2) - 3, {digits}) AS kurtosis_pop,
+       round(a.q1, {digits}) AS q1, round(a.p40, {digits}) AS p40, round(a.median, {digits}) AS median, round(a.q3, {digits}) AS q3,
+       round(d.mode, {digits}) AS mode, d.mode_n,
+       round(round_even(t.tm, 2), {digits}) AS trimmed_mean,
+       round(round_even((a.q1 + 2 * a.median + a.q3) / 4, 2), {digits}) AS trimean,
+       round(a.q3 - a.q1, {digits}) AS iqr
 FROM m a JOIN k b ON {on} JOIN md d ON {on.replace('b.', 'd.')} JOIN tr t ON {on.replace('b.', 't.')}"""
 
 
 _PRICE_K_SQL = ("SELECT o_orderkey, o_orderpriority, o_orderstatus, o_totalprice / 1000 AS price_k "
                 "FROM orders")
 
-SQL_DESCRIBE_PRICE = _describe_sql(_PRICE_K_SQL, "price_k", [])
-SQL_DESCRIBE_PRICE_BY_PRIORITY = _describe_sql(_PRICE_K_SQL, "price_k", ["o_orderpriority"])
+SQL_DESCRIBE_PRICE = _describe_sql(_PRICE_K_SQL, "price_k", [], PRICE_DIGITS)
+SQL_DESCRIBE_PRICE_BY_PRIORITY = _describe_sql(_PRICE_K_SQL, "price_k", ["o_orderpriority"], PRICE_DIGITS)
 SQL_DESCRIBE_QUANTITY_BY_FLAG = _describe_sql("SELECT * FROM lineitem", "l_quantity", ["l_returnflag"])
 
 
