@@ -81,14 +81,16 @@ def q_box_stats(spark: SparkSession, sf_dir: str):
 
 
 def q_box_outliers(spark: SparkSession, sf_dir: str):
-    _, out = V.box_stats(_o(spark, sf_dir), "price_k", "o_orderpriority")
+    """Outlying values (beyond 1.5 hinge spreads) of a skewed measure."""
+    d = table(spark, sf_dir, "documents").select("lang", F.col("n_chars").cast("double").alias("n_chars"))
+    _, out = V.box_stats(d, "n_chars", "lang")
     return rounded(out, 6)
 
 
-_FIVENUM_SQL = """
-WITH s AS (SELECT o_orderpriority AS g, o_totalprice / 1000 AS v,
-                  row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice) AS i,
-                  count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders),
+_FIVENUM_TMPL = """
+WITH s AS (SELECT {g} AS g, {v} AS v,
+                  row_number() OVER (PARTITION BY {g} ORDER BY {v}) AS i,
+                  count(*) OVER (PARTITION BY {g}) AS n FROM {t}),
 d AS (SELECT DISTINCT g, n, floor((n + 3) / 2) / 2 AS n4 FROM s),
 f AS (SELECT d.g, d.n,
         (max(CASE WHEN i = 1 THEN v END)) AS mn,
@@ -101,6 +103,7 @@ w AS (SELECT f.g, min(CASE WHEN v >= lh - 1.5 * (uh - lh) AND v <= uh + 1.5 * (u
              max(CASE WHEN v >= lh - 1.5 * (uh - lh) AND v <= uh + 1.5 * (uh - lh) THEN v END) AS wh,
              sum(CASE WHEN v >= lh - 1.5 * (uh - lh) AND v <= uh + 1.5 * (uh - lh) THEN 0 ELSE 1 END) AS no
       FROM s JOIN f ON s.g = f.g GROUP BY f.g)"""
+_FIVENUM_SQL = _FIVENUM_TMPL.format(g="o_orderpriority", v="o_totalprice / 1000", t="orders")
 
 SQL_BOX_STATS = _FIVENUM_SQL + """
 SELECT f.g AS o_orderpriority, CAST(f.n AS BIGINT) AS n, round(mn, 6) AS min, round(lh, 6) AS lower_hinge,
@@ -109,6 +112,13 @@ SELECT f.g AS o_orderpriority, CAST(f.n AS BIGINT) AS n, round(mn, 6) AS min, ro
 FROM f JOIN w ON f.g = w.g"""
 
 
+SQL_BOX_OUTLIERS = _FIVENUM_TMPL.format(g="lang", v="CAST(n_chars AS DOUBLE)", t="documents") + """
+SELECT s.g AS lang, round(v, 6) AS n_chars, CAST(count(*) AS BIGINT) AS n
+FROM s JOIN f ON s.g = f.g
+WHERE NOT (v >= lh - 1.5 * (uh - lh) AND v <= uh + 1.5 * (uh - lh))
+GROUP BY s.g, v"""
+
+
 def q_scatter(spark: SparkSession, sf_dir: str):
     li = table(spark, sf_dir, "lineitem")
     return V.scatter(li, "l_quantity", "l_extendedprice", "l_returnflag")
@@ -132,5 +142,6 @@ SQL = {
     "normal_overlay": SQL_NORMAL_OVERLAY,
     "qq_line": SQL_QQ_LINE,
     "box_stats": SQL_BOX_STATS,
+    "box_outliers": SQL_BOX_OUTLIERS,
     "scatter": SQL_SCATTER,
 }

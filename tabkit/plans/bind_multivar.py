@@ -56,6 +56,16 @@ def q_pca_coords(spark: SparkSession, sf_dir: str):
     return M.pca(s, DIMS, NAMES).coordinates(s, "vec_id", 3)
 
 
+def q_pca_scores_saved(spark: SparkSession, sf_dir: str):
+    """First three component scores written as parquet and read back."""
+    from tabkit.plans.bind_sources import staging
+    from tabkit.sinks.files import write_parquet
+    s = _scaled_embeddings(spark, sf_dir)
+    path = staging(spark, "pca-scores")
+    write_parquet(M.pca(s, DIMS, NAMES).coordinates(s, "vec_id", 3), path)
+    return spark.read.parquet(path)
+
+
 def _best_kmeans(spark, sf_dir):
     s = _scaled_embeddings(spark, sf_dir)
     return s, M.kmeans_best(s, k=5, n_starts=25, seed=SEED)
@@ -125,6 +135,7 @@ QUERIES = {
     "pca_eig": q_pca_eig,
     "pca_top_contrib": q_pca_top_contrib,
     "pca_coords": q_pca_coords,
+    "pca_scores_saved": q_pca_scores_saved,
     "kmeans_assignments": q_kmeans_assignments,
     "kmeans_summary": q_kmeans_summary,
     "kmeans_centers": q_kmeans_centers,
