@@ -136,12 +136,20 @@ def ranked_values(df: DataFrame, col: str, keys: Sequence[str] | None = None,
 
 
 def with_mid_rank(df: DataFrame, col: str, keys: Sequence[str] | None = None,
-                  out_col: str = "rank", partitions: int | None = None) -> DataFrame:
+                  out_col: str = "rank", partitions: int | None = None,
+                  hot_rows: int = 1_000_000, salt_buckets: int = 64) -> DataFrame:
     """Rows of ``df`` with the tie-averaged rank of ``col`` (within ``keys``).
-    The ranks table has one row per distinct value, joined back by key."""
+
+    The ranks table (one row per distinct value) is joined back by value.
+    A value repeated on a large share of the rows would put all of them in
+    one join task, so values with ``n >= hot_rows`` (known from the ranks
+    table itself, no extra pass) are salted over ``salt_buckets`` tasks."""
+    from tabkit.plans.skew import salted_join
     keys = _list(keys)
-    r = ranked_values(df, col, keys, partitions).select(*keys, col, F.col("mid_rank").alias(out_col))
-    return df.join(r, [*keys, col], "left")
+    r = ranked_values(df, col, keys, partitions)
+    ranks = r.select(*keys, col, F.col("mid_rank").alias(out_col))
+    hot = r.where(F.col("n") >= hot_rows).select(*keys, col)
+    return salted_join(df, ranks, [*keys, col], "left", hot_rows, salt_buckets, hot=hot)
 
 
 def order_positions(df: DataFrame, col: str, keys: Sequence[str] | None = None,

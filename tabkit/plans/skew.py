@@ -1,14 +1,18 @@
 """Skew-safe equi-join: split hot keys of the large side over salt buckets.
 
-Hot keys are found by a distributed ``groupBy(key).count()`` (map-side
-partial aggregation, so the shuffle carries one row per key per task). Their
-number is bounded by ``total_rows / hot_rows``, and it is checked before the
-hot-key list is broadcast. The salt of a large-side row is a hash of the row
-itself, so a recomputed task after an executor loss produces the same salt.
+Hot keys are found by a distributed ``groupBy(keys).count()`` (map-side
+partial aggregation, so the shuffle carries one row per key per task) or
+passed in when the caller already has the counts. Their number is bounded by
+``total_rows / hot_rows`` and is checked before the hot-key list is
+broadcast. The salt of a large-side row is a hash of the row itself, so a
+task recomputed after an executor loss produces the same salt. Keys are
+compared NULL-safe (a NULL group is a group).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from tabkit.plans.sizing import has_at_most
@@ -18,34 +22,53 @@ DEFAULT_SALT_BUCKETS = 64
 MAX_HOT_KEYS = 100_000
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    return (df.where(F.col(key).isNotNull()).groupBy(key).count()
-            .where(F.col("count") >= hot_rows).select(key))
+def _keys(k) -> list[str]:
+    return [k] if isinstance(k, str) else list(k)
+
+
+def hot_keys(df: DataFrame, keys: str | Sequence[str], hot_rows: int) -> DataFrame:
+    keys = _keys(keys)
+    return (df.groupBy(*keys).count()
+            .where(F.col("count") >= hot_rows).select(*keys))
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        e = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
+def salted_join(big: DataFrame, small: DataFrame, keys: str | Sequence[str], how: str = "inner",
                 hot_rows: int = DEFAULT_HOT_ROWS,
                 salt_buckets: int = DEFAULT_SALT_BUCKETS,
-                max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """``big.join(small, key, how)`` with hot keys of ``big`` spread over
+                max_hot_keys: int = MAX_HOT_KEYS,
+                hot: DataFrame | None = None) -> DataFrame:
+    """``big.join(small, keys, how)`` with hot keys of ``big`` spread over
     ``salt_buckets`` tasks and the matching ``small`` rows replicated to each.
 
     ``how`` is ``inner`` or ``left`` (rows of ``big`` are preserved).
     """
-    hot = hot_keys(big, key, hot_rows)
+    keys = _keys(keys)
+    if hot is None:
+        hot = hot_keys(big, keys, hot_rows)
+    hot = hot.select(*keys)
     if not has_at_most(hot, max_hot_keys):
         raise ValueError(
             f"more than {max_hot_keys} keys hold >= {hot_rows} rows; raise hot_rows")
     hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
-    big_s = (big.join(hot, key, "left")
+    big_s = (_null_safe_join(big, hot, keys, "left")
              .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salt_buckets)))
                          .otherwise(F.lit(0).cast("long")))
              .drop("_hot"))
-    small_s = (small.join(hot, key, "left")
+    small_s = (_null_safe_join(small, hot, keys, "left")
                .withColumn("_salt", F.explode(
                    F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"),
                                                     F.lit(salt_buckets - 1).cast("long")))
                    .otherwise(F.array(F.lit(0).cast("long")))))
                .drop("_hot"))
-    return big_s.join(small_s, [key, "_salt"], how).drop("_salt")
+    return _null_safe_join(big_s, small_s, [*keys, "_salt"], how).drop("_salt")

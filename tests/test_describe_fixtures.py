@@ -87,3 +87,14 @@ def test_missing(spark):
     assert D.missing_total(df).first()[0] == 3
     pats = {tuple(r[:2]): r.n for r in D.missing_patterns(df).collect()}
     assert pats == {(False, True): 1, (True, True): 1, (False, False): 1}
+
+
+def test_mid_rank_with_hot_value_salted(spark):
+    # one value on most rows: salted join-back gives the same ranks
+    rows = [(0.0,)] * 300 + [(float(v),) for v in range(1, 41)]
+    df = spark.createDataFrame(rows, "x double")
+    plain = O.with_mid_rank(df, "x", hot_rows=10**9).groupBy("x", "rank").count().collect()
+    salted = O.with_mid_rank(df, "x", hot_rows=50, salt_buckets=7).groupBy("x", "rank").count().collect()
+    assert sorted(map(tuple, plain)) == sorted(map(tuple, salted))
+    ranks = {r.x: r.rank for r in plain}
+    assert ranks[0.0] == pytest.approx(150.5) and ranks[1.0] == 301.0
