@@ -104,9 +104,10 @@ def _all(arr: Column, pred) -> Column:
 def xml_text(s: Column) -> Column:
     """ElementTree text escaping with ASCII output."""
     esc = F.regexp_replace(F.regexp_replace(F.regexp_replace(s, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
-    chars = F.split(esc, "")
-    return F.array_join(F.transform(chars, lambda c: F.when(
+    refs = F.array_join(F.transform(F.split(esc, ""), lambda c: F.when(
         F.ascii(c) > 127, F.concat(F.lit("&#"), F.ascii(c).cast("string"), F.lit(";"))).otherwise(c)), "")
+    # the per-character pass only runs on text that holds non-ASCII characters
+    return F.when(esc.rlike("[^\\x00-\\x7F]"), refs).otherwise(esc)
 
 
 def leaf(tag: str, text: Column | None) -> Column:

@@ -15,8 +15,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tabkit.plans.sizing import has_at_most
-
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_SALT_BUCKETS = 64
 MAX_HOT_KEYS = 100_000
@@ -56,9 +54,12 @@ def salted_join(big: DataFrame, small: DataFrame, keys: str | Sequence[str], how
     if hot is None:
         hot = hot_keys(big, keys, hot_rows)
     hot = hot.select(*keys)
-    if not has_at_most(hot, max_hot_keys):
+    n_hot = hot.limit(max_hot_keys + 1).count()          # bounded check
+    if n_hot > max_hot_keys:
         raise ValueError(
             f"more than {max_hot_keys} keys hold >= {hot_rows} rows; raise hot_rows")
+    if n_hot == 0:                                       # no skew: plain join
+        return _null_safe_join(big, small, keys, how)
     hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
     big_s = (_null_safe_join(big, hot, keys, "left")

@@ -98,3 +98,11 @@ def test_mid_rank_with_hot_value_salted(spark):
     assert sorted(map(tuple, plain)) == sorted(map(tuple, salted))
     ranks = {r.x: r.rank for r in plain}
     assert ranks[0.0] == pytest.approx(150.5) and ranks[1.0] == 301.0
+
+
+def test_running_sum_window_is_partitioned(spark):
+    from tabkit.plans.checks import plan_text
+    df = spark.range(0, 1000).select((F.col("id") % 97).alias("v"), F.lit(1).alias("w"))
+    txt = plan_text(O.running_sum(df, "w", ["v"], out_col="c"))
+    # the running window is keyed by the range-partition id, never global
+    assert "windowspecdefinition(_pid" in txt
