@@ -42,3 +42,23 @@ def write_named_text(df: DataFrame, path: str, name_col: str, text_col: str,
         df.select(name_col, text_col).write.mode(mode).partitionBy(name_col).text(path)
     else:
         df.select(name_col, text_col).write.mode(mode).parquet(path)
+
+
+def archive_file(spark, src: str, dest_dir: str) -> str:
+    """Move one processed input file into ``dest_dir`` (created if needed),
+    replacing an earlier copy of the same name. Uses the Hadoop FileSystem of
+    the path (HDFS, object stores, local), a metadata operation on the
+    driver; no data passes through it."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path
+    s = Path(src)
+    d = Path(dest_dir)
+    fs = s.getFileSystem(conf)
+    fs.mkdirs(d)
+    target = Path(d, s.getName())
+    if fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(s, target):
+        raise OSError(f"could not move {src} to {dest_dir}")
+    return target.toString()
