@@ -192,7 +192,7 @@ def level_counts(df: DataFrame, col: str, levels: Sequence) -> DataFrame:
     """Counts per declared level, zero levels kept, NULL and undeclared
     values dropped (``table(factor)``). ``level_no`` is the 1-based level."""
     spark = df.sparkSession
-    lv = spark.createDataFrame([(i + 1, v) for i, v in enumerate(levels)], ["level_no", col]) \
+    lv = spark.createDataFrame([(i + 1, v) for i, v in enumerate(levels)], f"level_no int, {col} {df.schema[col].dataType.simpleString()}") \
         if not isinstance(levels, DataFrame) else levels
     c = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     return F.broadcast(lv).join(c, col, "left").select(
