@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from tabkit.functions.normal import norm_ppf
 from tabkit.operators.describe import quantiles
 from tabkit.operators.order import _list, join_on_keys, order_positions, ranked_values
+from tabkit.plans.sizing import broadcast_if_bounded
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10, fill: str | None = None,
@@ -97,7 +98,8 @@ def box_stats(df: DataFrame, value: str, group: str | None = None, coef: float =
     keys = _list(group)
     fv = fivenum(df, value, keys)
     r = ranked_values(df, value, keys).select(*keys, value, "n")
-    j = join_on_keys(r, F.broadcast(fv.drop("n", "median")) if not keys else fv.drop("n", "median"), keys)
+    hinges, _ = broadcast_if_bounded(fv.drop("n", "median"))   # one row per group
+    j = join_on_keys(r, hinges, keys)
     spread = coef * (F.col("upper_hinge") - F.col("lower_hinge"))
     inside = (F.col(value) >= F.col("lower_hinge") - spread) & (F.col(value) <= F.col("upper_hinge") + spread)
     w = j.groupBy(*keys).agg(F.min(F.when(inside, F.col(value))).alias("whisker_low"),

@@ -20,6 +20,7 @@ from tabkit.functions import dist
 from tabkit.functions.normal import norm_cdf, norm_ppf
 from tabkit.operators.describe import quantiles
 from tabkit.operators.order import _list, join_on_keys, ranked_values, with_mid_rank
+from tabkit.plans.sizing import broadcast_if_bounded
 
 
 @F.pandas_udf(T.DoubleType())
@@ -199,7 +200,7 @@ def anova_test(df: DataFrame, value: str, group: str) -> DataFrame:
 
 def _abs_dev_from_median(df: DataFrame, value: str, group: str) -> DataFrame:
     src = df.where(F.col(value).isNotNull() & F.col(group).isNotNull()).select(group, value)
-    med = quantiles(src, value, [0.5], [group], ["_med"])
+    med, _ = broadcast_if_bounded(quantiles(src, value, [0.5], [group], ["_med"]))
     return src.join(med, group).withColumn("_dev", F.abs(F.col(value) - F.col("_med")))
 
 
@@ -243,7 +244,11 @@ def lilliefors_stats(df: DataFrame, value: str, keys: Sequence[str] | None = Non
     src = df.where(F.col(value).isNotNull())
     mom = src.groupBy(*keys).agg(F.avg(value).alias("_m"), F.stddev_samp(value).alias("_sd"))
     r = ranked_values(src, value, keys)
-    j = join_on_keys(r, F.broadcast(mom) if not keys else mom, keys)
+    # one row per group, size-checked broadcast: the ranked table (one row
+    # per distinct value) is never shuffled by group, so a hot group with
+    # many distinct values does not land in one task
+    mom, _ = broadcast_if_bounded(mom)
+    j = join_on_keys(r, mom, keys)
     phi = norm_cdf((F.col(value) - F.col("_m")) / F.col("_sd"))
     d = F.greatest(F.col("cum_n") / F.col("total") - phi, phi - F.col("before") / F.col("total"))
     return j.groupBy(*keys).agg(F.max(d).alias("statistic"),

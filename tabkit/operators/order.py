@@ -153,12 +153,19 @@ def with_mid_rank(df: DataFrame, col: str, keys: Sequence[str] | None = None,
 
 
 def order_positions(df: DataFrame, col: str, keys: Sequence[str] | None = None,
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, chunk: int = 1_000_000) -> DataFrame:
     """One row per non-null input row: ``(keys..., col, i, total)`` with
     ``i`` = 1..n its position in ascending order (ties take consecutive
-    positions). Built from the ranked distinct values, so the expansion is
-    spread over the range partitions."""
+    positions). Built from the ranked distinct values. A value repeated on
+    many rows is first cut into position ranges of at most ``chunk`` and
+    the ranges are spread over tasks before they are expanded, so no task
+    generates more than ``chunk`` rows for one value."""
     keys = _list(keys)
     r = ranked_values(df, col, keys, partitions)
-    return r.select(*keys, col, "total",
-                    F.explode(F.sequence(F.col("before") + 1, F.col("cum_n"))).alias("i"))
+    first = F.col("before") + 1
+    starts = F.sequence(first, F.col("cum_n"), F.lit(chunk).cast("long"))
+    ranges = r.select(*keys, col, "total", "cum_n", F.explode(starts).alias("_s"))
+    ranges = ranges.withColumn("_e", F.least(F.col("_s") + chunk - 1, F.col("cum_n")))
+    ranges = ranges.repartition(*keys, col, "_s")   # ranges, not rows: small shuffle
+    return ranges.select(*keys, col, "total",
+                         F.explode(F.sequence(F.col("_s"), F.col("_e"))).alias("i"))

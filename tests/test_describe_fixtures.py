@@ -106,3 +106,10 @@ def test_running_sum_window_is_partitioned(spark):
     txt = plan_text(O.running_sum(df, "w", ["v"], out_col="c"))
     # the running window is keyed by the range-partition id, never global
     assert "windowspecdefinition(_pid" in txt
+
+
+def test_order_positions_chunked(spark):
+    rows = [(5.0,)] * 23 + [(1.0,)] * 4 + [(9.0,)]
+    df = spark.createDataFrame(rows, "x double")
+    got = sorted((r.x, r.i) for r in O.order_positions(df, "x", chunk=5).collect())
+    assert got == sorted([(1.0, i) for i in range(1, 5)] + [(5.0, i) for i in range(5, 28)] + [(9.0, 28)])
