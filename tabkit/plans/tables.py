@@ -14,8 +14,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     parquet row group). Large inputs already have many splits and are
     returned unchanged, so no shuffle is added at scale. Filters and column
     pruning still reach the scan below the repartition."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: leave the scan as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)
 

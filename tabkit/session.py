@@ -36,11 +36,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     used as is. Only when it is unset (tests, a bare local session) do we
     create a scratch folder of our own.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server side owns the setting
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="tabkit-ckpt-")
     sc.setCheckpointDir(configured)
