@@ -130,7 +130,16 @@ def _root(tag: str, attrs: list[tuple[str, str]], body: Column) -> Column:
 
 # ---- cancel -------------------------------------------------------------------
 
-def map_cancel(messages: DataFrame, text_col: str = "value") -> DataFrame:
+def _ns_guard(reason: Column, text: Column, require_ns: str | None) -> Column:
+    """Optional strict mode: the message must declare the expected URI
+    (element names are matched by local name only)."""
+    if not require_ns:
+        return reason
+    return F.when(reason.isNull() & ~text.contains(F.lit(f'"{require_ns}"')),
+                  F.lit(f"namespace {require_ns} not declared")).otherwise(reason)
+
+
+def map_cancel(messages: DataFrame, text_col: str = "value", require_ns: str | None = None) -> DataFrame:
     """Parse + flatten cancel messages: one row per message with ``valid``,
     ``reason``, the 13 header fields, ``interactionDate``, ``ID`` (always
     empty), ``externalId`` and ``related`` =
@@ -155,6 +164,7 @@ def map_cancel(messages: DataFrame, text_col: str = "value") -> DataFrame:
               .when(~req_ok, F.lit("cancelTroubleTicketRequest: interactionDate/externalId missing"))
               .when(~obj_ok, F.lit("RelatedObject: involvement missing"))
               .when(~chr_ok, F.lit("Characteristic: name/value missing")))
+    reason = _ns_guard(reason, F.col(text_col), require_ns)
     last_h = _last(hdrs)
     last_r = _last(reqs)
     has_h = F.size(hdrs) > 0
@@ -184,7 +194,7 @@ def render_cancel(mapped: DataFrame, ns: CancelNamespaces = CancelNamespaces())
 
 # ---- close --------------------------------------------------------------------
 
-def map_close(messages: DataFrame, text_col: str = "value") -> DataFrame:
+def map_close(messages: DataFrame, text_col: str = "value", require_ns: str | None = None) -> DataFrame:
     """Parse + flatten close messages: ``valid``, ``reason``, the 5 request
     header fields, problem ``id``/``referenceNumber``, resolution
     ``resolution_code``/``resolution_value``, ``status_code``/``status_value``."""
@@ -210,6 +220,7 @@ def map_close(messages: DataFrame, text_col: str = "value") -> DataFrame:
               .when(~ref_ok, F.lit("problemReference: id missing"))
               .when(~res_ok, F.lit("problemResolution: code missing"))
               .when(~st_ok, F.lit("problemStatus: code missing")))
+    reason = _ns_guard(reason, F.col(text_col), require_ns)
     lt, lr, ls, lst = _last(tefs), _last(refs), _last(ress), _last(stats)
     opt = lambda last, f: F.when(last.isNotNull(), F.coalesce(last[f], F.lit(""))).otherwise(last[f])
     keep = [c for c in messages.columns if c != text_col]
@@ -237,16 +248,18 @@ def render_close(mapped: DataFrame, ns: CloseNamespaces = CloseNamespaces()) ->
 
 # ---- jobs ---------------------------------------------------------------------
 
-def cancel_job(messages: DataFrame, ns: CancelNamespaces = CancelNamespaces(), key: str = "file_name"):
+def cancel_job(messages: DataFrame, ns: CancelNamespaces = CancelNamespaces(), key: str = "file_name",
+               require_ns: str | None = None):
     """-> ``(rendered (key, xml), rejects (key, reason))``."""
-    m = map_cancel(messages)
+    m = map_cancel(messages, require_ns=require_ns)
     ok = m.where("valid").select(key, render_cancel(m, ns).alias("xml"))
     bad = m.where(~F.col("valid")).select(key, "reason")
     return ok, bad
 
 
-def close_job(messages: DataFrame, ns: CloseNamespaces = CloseNamespaces(), key: str = "file_name"):
-    m = map_close(messages)
+def close_job(messages: DataFrame, ns: CloseNamespaces = CloseNamespaces(), key: str = "file_name",
+              require_ns: str | None = None):
+    m = map_close(messages, require_ns=require_ns)
     ok = m.where("valid").select(key, render_close(m, ns).alias("xml"))
     bad = m.where(~F.col("valid")).select(key, "reason")
     return ok, bad

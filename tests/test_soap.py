@@ -157,3 +157,31 @@ def test_close_mapping(spark):
     ET.fromstring(xml.replace("soapenv:", "").replace("typ:", "").replace("v1:", "")
                   .replace("xmlns:", "x-"))
     assert bad.count() == 2
+
+
+def test_cancel_mapping_job_from_files(spark):
+    import os
+    import tempfile
+
+    from tabkit import jobs
+    root = tempfile.mkdtemp(prefix="tabkit-soap-")
+    os.makedirs(f"{root}/in")
+    for name in ["all.xml", "two_lists.xml", "malformed.xml", "special.xml"]:
+        with open(f"{root}/in/{name}", "w", encoding="utf-8") as fh:
+            fh.write(MESSAGES[name])
+    ok, bad = jobs.cancel_mapping_job(spark, f"{root}/in", f"{root}/out", f"{root}/rej")
+    out = {r.file_name: r.xml for r in spark.read.parquet(f"{root}/out").collect()}
+    assert set(out) == {"all.xml", "two_lists.xml", "special.xml"}
+    assert out["special.xml"] == _expected_cancel(MESSAGES["special.xml"])
+    assert [r.file_name for r in spark.read.parquet(f"{root}/rej").collect()] == ["malformed.xml"]
+    jobs.cancel_mapping_job(spark, f"{root}/in", f"{root}/out2", f"{root}/rej2", one_dir_per_name=True)
+    with open([os.path.join(dp, f) for dp, _, fs in os.walk(f"{root}/out2/file_name=all.xml")
+               for f in fs if f.endswith(".txt")][0]) as fh:
+        assert fh.read().strip() == _expected_cancel(MESSAGES["all.xml"])
+
+
+def test_strict_namespace(spark):
+    msgs = spark.createDataFrame([("a.xml", MESSAGES["all.xml"])], "file_name string, value string")
+    assert soap.map_cancel(msgs, require_ns="urn:in:cancel").first().valid
+    r = soap.map_cancel(msgs, require_ns="urn:other").first()
+    assert not r.valid and "namespace" in r.reason
