@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from tabkit.functions.normal import norm_ppf
 from tabkit.operators.describe import quantiles
 from tabkit.operators.order import _list, join_on_keys, order_positions, ranked_values
+from tabkit.plans.scalars import with_one_row
 from tabkit.plans.sizing import broadcast_if_bounded
 
 
@@ -28,13 +29,13 @@ def histogram(df: DataFrame, col: str, bins: int = 10, fill: str | None = None,
     if hi is not None:
         rng = rng.withColumn("_hi", F.lit(float(hi)))
     rng = rng.withColumn("_w", (F.col("_hi") - F.col("_lo")) / bins)
-    j = src.crossJoin(F.broadcast(rng))
+    j = with_one_row(src, rng)
     b = F.least(F.floor((F.col(col) - F.col("_lo")) / F.col("_w")) + 1, F.lit(bins)).cast("int")
     j = j.where((F.col(col) >= F.col("_lo")) & (F.col(col) <= F.col("_hi"))).withColumn("bin", b)
     cnt = j.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"),
                                       F.first("_lo").alias("_lo"), F.first("_w").alias("_w"))
     tot = cnt.groupBy(*keys).agg(F.sum("n").alias("_N"))
-    out = join_on_keys(cnt, F.broadcast(tot) if not keys else tot, keys)
+    out = join_on_keys(cnt, tot, keys)
     left = F.col("_lo") + (F.col("bin") - 1) * F.col("_w")
     return out.select(*keys, "bin", left.alias("left"), (left + F.col("_w")).alias("right"),
                       (left + F.col("_w") / 2).alias("mid"), F.col("n").cast("bigint").alias("n"),
@@ -45,7 +46,7 @@ def normal_overlay(hist: DataFrame, df: DataFrame, col: str, x_col: str = "mid")
     """Adds ``normal_density`` at ``x_col`` for N(mean, sd) of ``col``
     (NULLs skipped)."""
     st = df.agg(F.avg(col).alias("_mu"), F.stddev_samp(col).alias("_sd"))
-    j = hist.crossJoin(F.broadcast(st))
+    j = with_one_row(hist, st)
     z = (F.col(x_col) - F.col("_mu")) / F.col("_sd")
     return j.withColumn("normal_density", F.exp(-z * z / 2) / (F.col("_sd") * math.sqrt(2 * math.pi))) \
         .drop("_mu", "_sd")
@@ -98,7 +99,9 @@ def box_stats(df: DataFrame, value: str, group: str | None = None, coef: float =
     keys = _list(group)
     fv = fivenum(df, value, keys)
     r = ranked_values(df, value, keys).select(*keys, value, "n")
-    hinges, _ = broadcast_if_bounded(fv.drop("n", "median"))   # one row per group
+    hinges = fv.drop("n", "median")
+    if keys:
+        hinges, _ = broadcast_if_bounded(hinges)   # one row per group
     j = join_on_keys(r, hinges, keys)
     spread = coef * (F.col("upper_hinge") - F.col("lower_hinge"))
     inside = (F.col(value) >= F.col("lower_hinge") - spread) & (F.col(value) <= F.col("upper_hinge") + spread)

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tabkit.functions.columns import cut, to_double
+from tabkit.plans.scalars import with_one_row
 
 
 def drop_first_column(df: DataFrame) -> DataFrame:
@@ -30,7 +31,7 @@ def cut_by_sd(df: DataFrame, col: str, k: float = 0.7,
     (right-closed). The statistics are one aggregate row, broadcast."""
     stats = df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"),
                    F.avg(col).alias("_m"), F.stddev_samp(col).alias("_sd"))
-    j = df.crossJoin(F.broadcast(stats))
+    j = with_one_row(df, stats)
     breaks = [F.col("_lo") - 1, F.col("_m") - k * F.col("_sd"),
               F.col("_m") + k * F.col("_sd"), F.col("_hi") + 1]
     return j.withColumn(out_col, cut(col, breaks, list(labels))).drop("_lo", "_hi", "_m", "_sd")

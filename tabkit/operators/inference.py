@@ -20,6 +20,7 @@ from tabkit.functions import dist
 from tabkit.functions.normal import norm_cdf, norm_ppf
 from tabkit.operators.describe import quantiles
 from tabkit.operators.order import _list, join_on_keys, ranked_values, with_mid_rank
+from tabkit.plans.scalars import with_one_row
 from tabkit.plans.sizing import broadcast_if_bounded
 
 
@@ -129,10 +130,10 @@ def chisq_stats(counts: DataFrame, row: str, col: str, n_col: str = "n",
     e = counts.join(rt, row).join(ct, col)
     tot = counts.agg(F.sum(n_col).alias("_N"),
                      F.countDistinct(row).alias("_r"), F.countDistinct(col).alias("_c"))
-    e = e.crossJoin(F.broadcast(tot)).withColumn("_E", F.col("_rt") * F.col("_ct") / F.col("_N"))
+    e = with_one_row(e, tot).withColumn("_E", F.col("_rt") * F.col("_ct") / F.col("_N"))
     e = e.withColumn("_d", F.abs(F.col(n_col) - F.col("_E")))
     cells = e.agg(F.min("_d").alias("_dmin"), F.first("_r").alias("_r"), F.first("_c").alias("_c"))
-    e = e.crossJoin(F.broadcast(cells.select("_dmin")))
+    e = with_one_row(e, cells.select("_dmin"), "_one2")
     yates = (F.lit(correct) & (F.col("_r") == 2) & (F.col("_c") == 2))
     corr = F.when(yates, F.least(F.lit(0.5), F.col("_dmin"))).otherwise(F.lit(0.0))
     return e.agg(F.sum(F.pow(F.col("_d") - corr, 2) / F.col("_E")).alias("statistic"),
@@ -180,7 +181,7 @@ def anova_stats(df: DataFrame, value: str, group: str) -> DataFrame:
                                F.var_samp(value).alias("s2")))
     tot = per.agg(F.sum("n").alias("_N"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("_M"),
                   F.count(F.lit(1)).alias("_k"))
-    j = per.crossJoin(F.broadcast(tot))
+    j = with_one_row(per, tot)
     a = j.agg(F.sum(F.col("n") * F.pow(F.col("m") - F.col("_M"), 2)).alias("ss_between"),
               F.sum((F.col("n") - 1) * F.coalesce(F.col("s2"), F.lit(0.0))).alias("ss_within"),
               (F.first("_k") - 1).cast("bigint").alias("df_between"),
@@ -219,11 +220,11 @@ def fligner_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     dev = _abs_dev_from_median(df, value, group).select(group, "_dev")
     ranked = with_mid_rank(dev, "_dev", out_col="_r")
     n_all = ranked.agg(F.count(F.lit(1)).alias("_n"))
-    sc = ranked.crossJoin(F.broadcast(n_all)).withColumn(
+    sc = with_one_row(ranked, n_all).withColumn(
         "_a", norm_ppf((1 + F.col("_r") / (F.col("_n") + 1)) / 2))
     per = sc.groupBy(group).agg(F.sum("_a").alias("S"), F.count(F.lit(1)).alias("nj"))
     glob = sc.agg(F.avg("_a").alias("abar"), F.var_samp("_a").alias("va"), F.count(F.lit(1)).alias("n"))
-    j = per.crossJoin(F.broadcast(glob))
+    j = with_one_row(per, glob)
     return j.agg(((F.sum(F.col("S") * F.col("S") / F.col("nj"))
                    - F.first("n") * F.pow(F.first("abar"), 2)) / F.first("va")).alias("statistic"),
                  (F.count(F.lit(1)) - 1).cast("bigint").alias("df"))
@@ -247,7 +248,8 @@ def lilliefors_stats(df: DataFrame, value: str, keys: Sequence[str] | None = Non
     # one row per group, size-checked broadcast: the ranked table (one row
     # per distinct value) is never shuffled by group, so a hot group with
     # many distinct values does not land in one task
-    mom, _ = broadcast_if_bounded(mom)
+    if keys:
+        mom, _ = broadcast_if_bounded(mom)
     j = join_on_keys(r, mom, keys)
     phi = norm_cdf((F.col(value) - F.col("_m")) / F.col("_sd"))
     d = F.greatest(F.col("cum_n") / F.col("total") - phi, phi - F.col("before") / F.col("total"))

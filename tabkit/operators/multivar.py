@@ -20,6 +20,8 @@ from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tabkit.plans.scalars import with_one_row
+
 
 def features(df: DataFrame, cols: Sequence[str] | str, id_col: str,
              out: str = "features") -> DataFrame:
@@ -41,7 +43,7 @@ def standardize_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Column-wise z-scores as plain columns (one aggregate row, broadcast)."""
     st = df.agg(*[F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)],
                 *[F.stddev_samp(c).alias(f"_s{i}") for i, c in enumerate(cols)])
-    j = df.crossJoin(F.broadcast(st))
+    j = with_one_row(df, st)
     return j.select(*[c for c in df.columns if c not in cols],
                     *[((F.col(c) - F.col(f"_m{i}")) / F.col(f"_s{i}")).alias(c) for i, c in enumerate(cols)])
 
@@ -188,7 +190,7 @@ def gap_statistic(scaled: DataFrame, k_max: int = 10, b: int = 5, seed: int = 56
     p = len(arr.first()["a"])
     rng = arr.agg(*[F.min(F.col("a")[i]).alias(f"lo{i}") for i in range(p)],
                   *[F.max(F.col("a")[i]).alias(f"hi{i}") for i in range(p)])
-    base = arr.crossJoin(F.broadcast(rng))
+    base = with_one_row(arr, rng)
 
     def wss(frame, k):
         if k == 1:
@@ -282,13 +284,17 @@ def _dist_expr(x, y, metric: str, power: float = 3.0):
 
 
 def distances_to_points(rows: DataFrame, points: DataFrame, id_col: str, point_id: str,
-                        metric: str = "euclidean", vec: str = "x", max_points: int = 10_000) -> DataFrame:
+                        metric: str = "euclidean", vec: str = "x", max_points: int = 1_000) -> DataFrame:
     """Distance of every row to every reference point (cluster centres,
-    medoids...). The point set is size-checked before it is broadcast; the
-    all-pairs row x row matrix is deliberately not offered."""
-    from tabkit.plans.sizing import has_at_most
-    if not has_at_most(points, max_points):
+    medoids...). The point set is size-checked, then inlined into the
+    expression as a literal array, so each row is expanded in place (no
+    join, no shuffle). The all-pairs row x row matrix is deliberately not
+    offered."""
+    pts = points.select(point_id, vec).limit(max_points + 1).collect()
+    if len(pts) > max_points:
         raise ValueError(f"more than {max_points} reference points")
-    pts = points.select(F.col(point_id), F.col(vec).alias("_y"))
-    j = rows.select(id_col, vec).crossJoin(F.broadcast(pts))
-    return j.select(id_col, point_id, _dist_expr(F.col(vec), F.col("_y"), metric).alias("distance"))
+    lit_pts = F.array(*[F.struct(F.lit(p[0]).alias("pid"),
+                                 F.array(*[F.lit(float(v)) for v in p[1]]).alias("y")) for p in pts])
+    per_point = F.transform(lit_pts, lambda p: F.struct(
+        p["pid"].alias(point_id), _dist_expr(F.col(vec), p["y"], metric).alias("distance")))
+    return rows.select(id_col, F.inline(per_point))

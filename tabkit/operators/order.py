@@ -37,7 +37,8 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
     No keys -> the right side must be one row (cross join)."""
     keys = _list(keys)
     if not keys:
-        return left.crossJoin(right)
+        from tabkit.plans.scalars import with_one_row
+        return with_one_row(left, right)
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
                      *[c for c in right.columns if c not in keys])
     cond = None
@@ -118,8 +119,7 @@ def share_of_total(df: DataFrame, value_col: str, out_col: str = "p",
     one-row aggregate joined back by broadcast (one row: bounded)."""
     keys = _list(keys)
     tot = df.groupBy(*keys).agg(F.sum(value_col).alias("_sum"))
-    tot = F.broadcast(tot) if not keys else tot
-    j = df.crossJoin(tot) if not keys else df.join(tot, keys)
+    j = join_on_keys(df, tot, keys)
     return j.withColumn(out_col, F.lit(100.0) * F.col(value_col) / F.col("_sum")).drop("_sum")
 
 
