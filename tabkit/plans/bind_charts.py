@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession, Window, functions as F
 
 from tabkit.operators import charts as V
 from tabkit.plans.bind_describe import rounded
@@ -63,6 +63,24 @@ def q_qq_points(spark: SparkSession, sf_dir: str):
     return rounded(V.qq_points(_o(spark, sf_dir), "price_k", ["o_orderstatus"]), 6)
 
 
+def q_qq_positions(spark: SparkSession, sf_dir: str):
+    """Q-Q inputs checkable in SQL: order position and plotting position."""
+    pts = V.qq_points(_o(spark, sf_dir), "price_k", ["o_orderstatus"])
+    n = F.count(F.lit(1)).over(Window.partitionBy("o_orderstatus"))
+    a = F.when(n <= 10, F.lit(3.0 / 8)).otherwise(F.lit(0.5))
+    return rounded(pts.select("o_orderstatus", "i", F.col("sample").alias("price_k"),
+                              ((F.col("i") - a) / (n + 1 - 2 * a)).alias("plotting_position")), 8)
+
+
+SQL_QQ_POSITIONS = """
+SELECT o_orderstatus, CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice) AS BIGINT) AS i,
+       round(o_totalprice / 1000, 8) AS price_k,
+       round((row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice) - a)
+             / (count(*) OVER (PARTITION BY o_orderstatus) + 1 - 2 * a), 8) AS plotting_position
+FROM (SELECT *, CASE WHEN count(*) OVER (PARTITION BY o_orderstatus) <= 10 THEN 0.375 ELSE 0.5 END AS a
+      FROM orders)"""
+
+
 def q_qq_line(spark: SparkSession, sf_dir: str):
     return rounded(V.qq_line(_o(spark, sf_dir), "price_k", ["o_orderstatus"]), 8)
 
@@ -131,6 +149,7 @@ QUERIES = {
     "histogram_by_status": q_histogram_by_status,
     "normal_overlay": q_normal_overlay,
     "qq_points": q_qq_points,
+    "qq_positions": q_qq_positions,
     "qq_line": q_qq_line,
     "box_stats": q_box_stats,
     "box_outliers": q_box_outliers,
@@ -140,6 +159,7 @@ SQL = {
     "histogram": SQL_HISTOGRAM,
     "histogram_by_status": SQL_HISTOGRAM_BY_STATUS,
     "normal_overlay": SQL_NORMAL_OVERLAY,
+    "qq_positions": SQL_QQ_POSITIONS,
     "qq_line": SQL_QQ_LINE,
     "box_stats": SQL_BOX_STATS,
     "box_outliers": SQL_BOX_OUTLIERS,

@@ -188,7 +188,18 @@ def q_correlation_matrix(spark, sf_dir):
     return H.correlation_matrix(li, li.columns)
 
 
-SQL_CORR_MATRIX_R = None  # p-values need the t distribution (fixture-tested)
+def q_correlation_matrix_stat(spark, sf_dir):
+    """Pairwise r, n, t, df of four columns (p-values: ``correlation_matrix``)."""
+    li = _li(spark, sf_dir).select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    return rounded(H.correlation_matrix(li, li.columns).drop("p_value"), 6)
+
+
+_PAIRS = [("l_quantity", "l_extendedprice"), ("l_quantity", "l_discount"), ("l_quantity", "l_tax"),
+          ("l_extendedprice", "l_discount"), ("l_extendedprice", "l_tax"), ("l_discount", "l_tax")]
+SQL_CORR_MATRIX = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS var1, '{b}' AS var2, CAST(count(*) AS BIGINT) AS n, round(corr({a}, {b}), 6) AS r, "
+    f"round(corr({a}, {b}) * sqrt((count(*) - 2) / (1 - power(corr({a}, {b}), 2))), 6) AS t, "
+    f"CAST(count(*) - 2 AS BIGINT) AS df FROM lineitem" for a, b in _PAIRS)
 
 QUERIES = {
     "pearson_stat": q_pearson_stat,
@@ -209,6 +220,7 @@ QUERIES = {
     "lilliefors_test": q_lilliefors_test,
     "lilliefors_by_status": q_lilliefors_by_status,
     "correlation_matrix": q_correlation_matrix,
+    "correlation_matrix_stat": q_correlation_matrix_stat,
 }
 SQL = {
     "pearson_stat": SQL_PEARSON,
@@ -219,4 +231,5 @@ SQL = {
     "welch_stat": SQL_WELCH,
     "anova_stat": SQL_ANOVA,
     "levene_stat": SQL_LEVENE,
+    "correlation_matrix_stat": SQL_CORR_MATRIX,
 }
