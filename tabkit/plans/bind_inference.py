@@ -187,6 +187,34 @@ def q_lilliefors_by_status(spark, sf_dir):
     return H.lilliefors_test(_price_k(spark, sf_dir), "price_k", ["o_orderstatus"])
 
 
+def q_lilliefors_stat(spark, sf_dir):
+    """D statistic per order status (p-values: ``lilliefors_by_status``)."""
+    return rounded(H.lilliefors_stats(_price_k(spark, sf_dir), "price_k", ["o_orderstatus"]), 8)
+
+
+# brute force: every row's position, and the same normal CDF polynomial in SQL
+SQL_LILLIEFORS = """
+WITH s AS (SELECT o_orderstatus AS g, o_totalprice / 1000 AS x FROM orders),
+m AS (SELECT g, avg(x) AS mu, stddev_samp(x) AS sd, count(*) AS n FROM s GROUP BY g),
+r AS (SELECT s.g, x, n, row_number() OVER (PARTITION BY s.g ORDER BY x) AS i, (x - mu) / sd AS z
+      FROM s JOIN m ON s.g = m.g),
+a AS (SELECT *, abs(z) AS az, exp(-abs(z) * abs(z) / 2) AS e FROM r),
+t AS (SELECT *, CASE WHEN az > 37 THEN 0.0
+                     WHEN az < 7.07106781186547 THEN
+                       e * ((((((0.0352624965998911 * az + 0.700383064443688) * az + 6.37396220353165) * az
+                              + 33.912866078383) * az + 112.079291497871) * az + 221.213596169931) * az
+                              + 220.206867912376)
+                         / (((((((0.0883883476483184 * az + 1.75566716318264) * az + 16.064177579207) * az
+                               + 86.7807322029461) * az + 296.564248779674) * az + 637.333633378831) * az
+                               + 793.826512519948) * az + 440.413735824752)
+                     ELSE e / (az + 1 / (az + 2 / (az + 3 / (az + 4 / (az + 0.65))))) / 2.506628274631 END AS tail
+      FROM a),
+p AS (SELECT *, CASE WHEN z > 0 THEN 1 - tail ELSE tail END AS phi FROM t)
+SELECT g AS o_orderstatus, round(max(greatest(i / n - phi, phi - (i - 1) / n)), 8) AS statistic,
+       CAST(any_value(n) AS BIGINT) AS n
+FROM p GROUP BY g"""
+
+
 def q_correlation_matrix(spark, sf_dir):
     li = _li(spark, sf_dir).select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     return H.correlation_matrix(li, li.columns)
@@ -225,6 +253,7 @@ QUERIES = {
     "lilliefors_by_status": q_lilliefors_by_status,
     "correlation_matrix": q_correlation_matrix,
     "correlation_matrix_stat": q_correlation_matrix_stat,
+    "lilliefors_stat": q_lilliefors_stat,
 }
 SQL = {
     "pearson_stat": SQL_PEARSON,
@@ -236,4 +265,5 @@ SQL = {
     "anova_stat": SQL_ANOVA,
     "levene_stat": SQL_LEVENE,
     "correlation_matrix_stat": SQL_CORR_MATRIX,
+    "lilliefors_stat": SQL_LILLIEFORS,
 }
