@@ -243,3 +243,11 @@ def digest(documents: DataFrame, matches: DataFrame, id_col: str = "doc_id") ->
         F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
         F.sha2(F.array_join(F.coalesce("items", none), ","), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near")))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that share no window with a test item, with all their columns."""
+    keyed = docs.select(F.struct("*").alias("row"), F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")).alias("key"), F.col(text_col).alias("text"))
+    documents, matches = contamination(keyed, benchmark, "key", "text", item_col, item_text_col, slop=0)
+    hit = documents.join(matches.select("shard", "place").distinct(), ["shard", "place"]).select("id.*").distinct()
+    return keyed.join(hit, keyed["key.id"].eqNullSafe(hit["id"]) & (keyed["key.h"] == hit["h"]), "left_anti").select("row.*")

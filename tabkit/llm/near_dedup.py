@@ -99,9 +99,9 @@ def bands(table: np.ndarray) -> np.ndarray:
 
 
 def sketch_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, n_shingles, node, bands)``, one row per row of ``docs``; node
-    is null and bands empty for an empty set."""
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_shingles", T.LongType()),
+    """``(id, text_hash, n_shingles, node, bands)``, one row per row of
+    ``docs``; node is null and bands empty for an empty set."""
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("text_hash", T.LongType()), T.StructField("n_shingles", T.LongType()),
                            T.StructField("node", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator) -> Iterator:
@@ -113,9 +113,9 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 keys = X.as_long(set_keys(elements, n))
                 b = X.as_long(bands(sketches(elements, n)))
                 b = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum((n > 0) * b.shape[1]))), pa.int32()), pa.array(b[n > 0].ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n), pa.array(keys, mask=n == 0), b], names=["id", "n_shingles", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(n), pa.array(keys, mask=n == 0), b], names=schema.names)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")).mapInArrow(run, schema)
 
 
 def _nodes_of(rows: DataFrame) -> DataFrame:
@@ -217,7 +217,8 @@ def _cross_pairs(rows: DataFrame, percent: int, best_only: bool) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: ``id_col, n_shingles, component_id, kept``.
+    """One row per row of ``docs``: ``id_col, n_shingles, component_id, kept,
+    text_hash`` (xxhash64 of the text).
 
     ``component_id`` is the smallest id that links reach, ``kept`` marks the
     rows whose id it is. An empty table gives no rows.
@@ -265,9 +266,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest = linked.groupBy("root").agg(F.min("id").alias("first_id"))
     owner = s.table(linked.join(smallest, "root").select("node", "first_id"), "owner")
     s.drop("members", "sets", "stars")
-    alone = sketched.where("node is null").select("id", "n_shingles", F.col("id").alias("component_id"))
+    alone = sketched.where("node is null").select("id", "n_shingles", F.col("id").alias("component_id"), "text_hash")
     own = nodes.select("node", F.col("id").alias("own_id"))
-    placed = (sketched.where("node is not null").select("id", "n_shingles", "node")
+    placed = (sketched.where("node is not null").select("id", "n_shingles", "node", "text_hash")
               .join(owner.unionByName(own.join(owner, "node", "left_anti").withColumnRenamed("own_id", "first_id")), "node")
-              .select("id", "n_shingles", F.col("first_id").alias("component_id")))
-    return alone.union(placed).select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+              .select("id", "n_shingles", F.col("first_id").alias("component_id"), "text_hash"))
+    return alone.union(placed).select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates (the one with
+    the smallest id; one of repeated rows)."""
+    found = near_duplicates(docs, id_col, text_col, percent).where("kept").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_h")).distinct()
+    keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_h"))
+    named = keyed.where("_id is not null").join(found, ["_id", "_h"], "left_semi").dropDuplicates(["_id", "_h"])
+    nameless = keyed.where("_id is null").join(found.where("_id is null").select("_h"), "_h", "left_semi").dropDuplicates(["_h"])
+    return named.select("row.*").union(nameless.select("row.*"))

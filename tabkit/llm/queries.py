@@ -2,22 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabkit.llm import decontaminate, near_dedup
+from tabkit.llm import decontaminate, language_id, near_dedup, packing, secrets
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(_read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, matches = decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return decontaminate.digest(documents, matches)
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(_read(spark, sf_dir, "documents"))
+    return near_dedup.near_duplicates(_read(spark, sf_dir, "documents")).drop("text_hash")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    learned = language_id.train(language_id.learnable(docs, "doc_id", 4, 2))
+    return language_id.predict(docs, learned).select(
+        "doc_id", language_id.held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "rejected", "entropy")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op6_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_secret_scans, op2_decontamination, op6_near_dedup, op7_language_id, op10_packing)}
+SQL = {"op1_secret_scans": secrets.oracle_sql()}
