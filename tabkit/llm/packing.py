@@ -39,10 +39,38 @@ END_ID = 1
 MIN_FILL = 0.98
 GAP = 2e-3
 CACHE_WORDS = 1 << 20
+CHUNK_BYTES = 6 << 20
 
 # Separators at which every text may be split before tokenizing (the
 # tokenizer drops white space, and no rule of it looks across).
 _BLANK = X.byte_table([0x20, 0x09, 0x0A, 0x0D])
+# Its rules also part ASCII letters and digits from ASCII signs. The
+# apostrophe is left out: it may open a suffix.
+_ALNUM = X.byte_table([*range(48, 58), *range(65, 91), *range(97, 123)])
+_SIGN = X.byte_table([c for c in range(33, 127) if not _ALNUM[c] and c != 39])
+# Strings that the tokenizer takes as one id.
+_SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
+
+
+def _words(data: np.ndarray, offsets: np.ndarray, raw: bytes):
+    """(bytes, starts, ends, per_row): the parts that can be tokenized by
+    themselves. Words of ASCII only are lower-cased, as the tokenizer does."""
+    starts, ends, per_row = X.spans(data, offsets, _BLANK)
+    if any(x in raw for x in _SPECIAL) or not len(starts):
+        return data, starts, ends, per_row
+    alnum, sign = _ALNUM[data], _SIGN[data]
+    cut = np.flatnonzero((alnum[:-1] & sign[1:]) | (sign[:-1] & alnum[1:])) + 1
+    first = np.zeros(len(data) + 1, bool)
+    first[offsets] = True
+    cut = cut[~first[cut]]
+    per_row = per_row + np.diff(np.searchsorted(cut, offsets))
+    starts, ends = np.sort(np.concatenate((starts, cut))), np.sort(np.concatenate((ends, cut)))
+    wide = np.concatenate(([0], np.cumsum(data >= 128)))
+    wide = wide[ends] > wide[starts]
+    edge = np.zeros(len(data) + 1, np.int8)
+    np.add.at(edge, starts[wide], 1)
+    np.add.at(edge, ends[wide], -1)
+    return np.where(np.cumsum(edge[:-1], dtype=np.int8) > 0, data, X.ASCII_LOWER[data]), starts, ends, per_row
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -64,7 +92,7 @@ class WordEncoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray):
         """(ids, per_row) of the texts."""
-        starts, ends, words = X.spans(data, offsets, _BLANK)
+        data, starts, ends, words = _words(data, offsets, data.tobytes())
         h = X.span_hashes(data, starts, ends)
         distinct, where, back = np.unique(h, return_index=True, return_inverse=True)
         if len(self.keys) > CACHE_WORDS:
@@ -136,7 +164,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
         seen = np.zeros(capacity // UNIT + 1, np.int64)
         enc = encoder(tokenizer)
         for batch in batches:
-            for lo, hi, data, off in X.chunked(batch.column(1)):
+            for lo, hi, data, off in X.chunked(batch.column(1), CHUNK_BYTES):
                 ids, n = enc.encode(data, off)
                 first = np.concatenate(([0], np.cumsum(n)))
                 whole = n + 1
