@@ -27,7 +27,7 @@ CHUNK = 4096
 LEVEL = 3
 BAD_CHUNK_SHARE = 0.5
 # (shortest length in bytes, lowest ratio, highest ratio)
-BANDS = ((0, 0.0, 9.9), (256, 0.10, 0.95), (1024, 0.08, 0.85), (4096, 0.06, 0.80), (16384, 0.04, 0.75))
+BANDS = ((0, 0.0, 99.0), (256, 0.40, 0.95), (512, 0.38, 0.90), (1024, 0.33, 0.80), (2048, 0.30, 0.75), (4096, 0.26, 0.70), (16384, 0.20, 0.65))
 # Characters that count as symbols, and the base limits.
 SYMBOLS = X.byte_table(b"#*$%&|<>")
 REPEAT_WORDS = 5

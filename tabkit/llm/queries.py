@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabkit.llm import decontaminate, language_id, near_dedup, packing, secrets
+from tabkit.llm import decontaminate, html_text, language_id, near_dedup, packing, quality, secrets, substring_dedup, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,19 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(documents, matches)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.passages(substring_dedup.repeated_spans(_read(spark, sf_dir, "documents")))
+    return found.select(F.col("id").alias("doc_id"), "start", "end", "n_words", "n_units", "removed", F.col("first_ids").alias("first_doc_ids"), "clusters")
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_read(spark, sf_dir, "pages"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.measure(_read(spark, sf_dir, "documents"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_read(spark, sf_dir, "documents")).drop("text_hash")
 
@@ -32,9 +45,21 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", language_id.held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "rejected", "entropy")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    labels = _read(spark, sf_dir, "labels").select("doc_id", "toxic")
+    labelled = language_id.learnable(docs, "doc_id", 5, 0).select("doc_id", "text").join(labels, "doc_id")
+    return toxicity.score(docs, toxicity.train(labelled)).select("doc_id", language_id.held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op2_decontamination, op6_near_dedup, op7_language_id, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_secret_scans, op2_decontamination, op3_substring_dedup, op4_html_extraction, op5_quality_rules,
+                                   op6_near_dedup, op7_language_id, op8_token_counts, op9_toxicity, op10_packing)}
 SQL = {"op1_secret_scans": secrets.oracle_sql()}
