@@ -38,8 +38,8 @@ CUT = 16
 END_ID = 1
 MIN_FILL = 0.98
 GAP = 2e-3
-CACHE_WORDS = 1 << 20
-CHUNK_BYTES = 6 << 20
+CACHE_WORDS = 1 << 19
+CHUNK_BYTES = 4 << 20
 
 # Separators at which every text may be split before tokenizing (the
 # tokenizer drops white space, and no rule of it looks across).
