@@ -17,11 +17,11 @@ Jaccard similarity is at least the threshold.
   another one in each band. The pair with the most shared bands is checked
   first for every node; then the other pairs, where they would still join
   two components. Buckets of three members or more that still hold more
-  than one component then have all their cross pairs compared, in blocks
-  of bounded size, by sketch (a pair at the threshold falls below the floor
-  with a chance under 1e-6); survivors are checked. So no link is lost to a
-  failed hub, and no group's pairs are emitted.
-* **Exact check** on the full sets, recomputed from whole texts.
+  than one component are then dealt into blocks of bounded size; each pair
+  of blocks counts the common shingles of its members at once, as a product
+  of incidence matrices, and gives one link for two components that meet.
+  So no link is lost to a failed hub, and no group's pairs are emitted.
+* **Exact check**, always, on the full sets, recomputed from whole texts.
 
 Nulls and texts without words: empty set, linked with nothing. A null id
 takes part; a component's id is the smallest id that is not null. Repeated
@@ -44,9 +44,10 @@ COORDINATES = 128
 ROWS_PER_BAND = 4
 SHINGLE_WORDS = 5
 PERCENT = 75
-# Sketch agreement (of 128) under which a cross pair is not checked: 0.75 minus five deviations.
-SKETCH_FLOOR = int(128 * 0.75 - 5 * (128 * 0.75 * 0.25) ** 0.5)
-BLOCK_NODES = 512
+# A block of an open bucket holds at most about so many nodes, and so many shingles.
+BLOCK_NODES = 1024
+BLOCK_SHINGLES = 1 << 19
+MATRIX_COLUMNS = 4096
 
 _U = np.uint64
 _ROUND_KEYS = X._stream(21, 2 * COORDINATES)
@@ -133,7 +134,7 @@ def _nodes_of(rows: DataFrame) -> DataFrame:
 
 
 def _full_sets(texts: DataFrame) -> DataFrame:
-    """``(node, n, sketch, items)`` from ``(node, text)``; a text whose set
+    """``(node, n, items)`` from ``(node, text)``; a text whose set
     is another than its node's (a repeated id) is dropped."""
 
     def run(batches: Iterator) -> Iterator:
@@ -144,13 +145,11 @@ def _full_sets(texts: DataFrame) -> DataFrame:
             for lo, hi, data, off in X.chunked(batch.column(1)):
                 elements, n = shingle_sets(data, off)
                 keys = X.as_long(set_keys(elements, n))
-                low = (X.mix(sketches(elements, n)) >> _U(48)).astype(np.uint16)
                 first = np.concatenate(([0], np.cumsum(n)))
                 good = np.flatnonzero(keys == wanted[lo:hi])
-                yield pa.RecordBatch.from_arrays([pa.array(keys[good]), pa.array(n[good]), pa.array([low[i].tobytes() for i in good], pa.binary()),
-                                                  pa.array([elements[first[i]:first[i + 1]].tobytes() for i in good], pa.binary())], names=["node", "n", "sketch", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[good]), pa.array(n[good]), pa.array([elements[first[i]:first[i + 1]].tobytes() for i in good], pa.binary())], names=["node", "n", "items"])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, n long, sketch binary, items binary")
+    return texts.select("node", "text").mapInArrow(run, "node long, n long, items binary")
 
 
 def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -178,42 +177,59 @@ def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _blocks_of_open_buckets(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """Members of the buckets with three nodes or more and more than one
-    component, dealt into blocks of about ``BLOCK_NODES`` nodes and sent to
-    every pair of blocks of their bucket."""
-    labelled = members.join(labels, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    sizes = (labelled.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .where("size > 2 and lo <> hi").select("bucket", F.ceil(F.col("size") / BLOCK_NODES).cast("int").alias("parts")))
-    block = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    rows = labelled.join(sizes, "bucket").withColumn("block", block).join(sets.select("node", "n", "sketch"), "node")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    return (rows.select("bucket", "node", "root", "n", "sketch", "block", other)
-            .withColumn("left", F.least("block", "other")).withColumn("right", F.greatest("block", "other")))
-
-
-def _cross_pairs(rows: DataFrame, percent: int, best_only: bool) -> DataFrame:
-    """Pairs of nodes of different components whose sketches agree above
-    the floor: for each node and other component the closest one only, or all."""
+    component, dealt into blocks and sent to every pair of blocks of their
+    bucket."""
+    labelled = members.join(labels, "node", "left").join(sets.select("node", "n"), "node").select("bucket", "node", "n", F.coalesce("root", "node").alias("root"))
+    parts = F.ceil(F.greatest(F.count("*") / BLOCK_NODES, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sizes = (labelled.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"), parts.alias("parts"))
+             .where("size > 2 and lo <> hi").select("bucket", "parts"))
+    dealt = labelled.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    return (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("bucket", "node", "root", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
+            .join(sets.select("node", "items"), "node"))
+
+
+def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """(len(a), len(b)) sizes of the intersections of sets of elements."""
+    element, column = np.unique(np.concatenate((*a, *b)), return_inverse=True)
+    row = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in (*a, *b)])
+    left = row < len(a)
+    both = np.zeros(len(element), np.int8)
+    both[column[left]] = 1
+    both[column[~left]] |= 2
+    number = np.cumsum(both == 3) - 1
+    keep = both[column] == 3
+    row, column = row[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(a), len(b)), np.float32)
+    edges = np.arange(0, (column[-1] if len(column) else -1) + 1 + MATRIX_COLUMNS, MATRIX_COLUMNS)
+    cuts = np.searchsorted(column, edges)
+    for lo, hi, base in zip(cuts[:-1], cuts[1:], edges):
+        matrix = np.zeros((len(a) + len(b), MATRIX_COLUMNS), np.float32)
+        matrix[row[lo:hi], column[lo:hi] - base] = 1
+        out += matrix[:len(a)] @ matrix[len(a):].T
+    return out
+
+
+def _cross_links(rows: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between nodes of different components of a pair of
+    blocks, one for each two components at most."""
 
     def run(pdf):
         import pandas as pd
 
         low, high = pdf[pdf.block == pdf.left.iloc[0]], pdf[pdf.block == pdf.right.iloc[0]]
-        sk = lambda p: np.frombuffer(b"".join(p.sketch), np.uint16).reshape(len(p), -1)
-        sl, sh = sk(low), sk(high)
-        nl, nh, rl, rh = low.n.to_numpy(), high.n.to_numpy(), low.root.to_numpy(), high.root.to_numpy()
-        a, b, est = [], [], []
-        for i in range(len(low)):
-            agree = (sh == sl[i]).sum(axis=1)
-            ok = np.flatnonzero((agree >= SKETCH_FLOOR) & (rh != rl[i]) & (100 * np.minimum(nh, nl[i]) >= percent * np.maximum(nh, nl[i])))
-            if best_only and len(ok):
-                ok = ok[np.lexsort((ok, -agree[ok], rh[ok]))]
-                ok = ok[np.concatenate(([True], rh[ok][1:] != rh[ok][:-1]))]
-            a.append(np.full(len(ok), low.node.iloc[i]))
-            b.append(high.node.to_numpy()[ok])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return rows.groupBy("bucket", "left", "right").applyInPandas(run, "a long, b long").distinct()
+        sa, sb = ([np.frombuffer(x, _U) for x in p["items"]] for p in (low, high))
+        common = common_counts(sa, sb)
+        na, nb = np.array([len(x) for x in sa]), np.array([len(x) for x in sb])
+        linked = 100 * common >= percent * (na[:, None] + nb[None, :] - common)
+        i, j = np.nonzero(linked & (low.root.to_numpy()[:, None] != high.root.to_numpy()[None, :]))
+        ra, rb = low.root.to_numpy()[i], high.root.to_numpy()[j]
+        _, one = np.unique(np.stack((np.minimum(ra, rb), np.maximum(ra, rb)), 1), axis=0, return_index=True) if len(i) else (None, i)
+        return pd.DataFrame({"a": low.node.to_numpy()[i[one]], "b": high.node.to_numpy()[j[one]]})
+
+    return rows.groupBy("bucket", "left", "right").applyInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -253,14 +269,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         links = links.union(more)
         labels = components(links, s, "c1")
-    for k, best_only in ((2, True), (3, False)):
-        cross = s.table(_cross_pairs(_blocks_of_open_buckets(members, labels, sets), percent, best_only), f"cross{k}")
-        if cross.isEmpty():
-            break
-        more = s.table(_checked(cross, sets, percent), f"links{k}")
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links, s, f"c{k}")
+    more = s.table(_cross_links(_blocks_of_open_buckets(members, labels, sets), percent).distinct(), "links2")
+    if not more.isEmpty():
+        links = links.union(more)
+        labels = components(links, s, "c2")
 
     linked = labels.join(nodes, "node")
     smallest = linked.groupBy("root").agg(F.min("id").alias("first_id"))
