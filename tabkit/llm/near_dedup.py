@@ -232,29 +232,17 @@ def _cross_links(rows: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("bucket", "left", "right").applyInPandas(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: ``id_col, n_shingles, component_id, kept,
-    text_hash`` (xxhash64 of the text).
-
-    ``component_id`` is the smallest id that links reach, ``kept`` marks the
-    rows whose id it is. An empty table gives no rows.
-    """
-    spark = docs.sparkSession
-    s = Scratch(spark, "near-dedup")
-    sketched = s.table(sketch_documents(docs, id_col, text_col), "sketched")
-
-    banded = sketched.where("node is not null").select("node", F.explode("bands").alias("bucket"))
+def buckets(banded: DataFrame) -> DataFrame:
+    """``(bucket, node, hub)`` of the buckets ``(bucket, node)`` with two
+    nodes or more."""
     hubs = (banded.groupBy("bucket").agg(F.min(F.col("node").bitwiseXOR(F.col("bucket"))).alias("h"), F.min("node").alias("lo"), F.max("node").alias("hi"))
             .where("lo <> hi").select("bucket", F.col("h").bitwiseXOR(F.col("bucket")).alias("hub")))
-    members = s.table(banded.join(hubs, "bucket").distinct(), "members")
+    return banded.join(hubs, "bucket").distinct()
 
-    nodes = sketched.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
-    wanted = members.select("node").distinct().join(nodes, "node")
-    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    texts = plain.join(wanted, "id").select("node", "text").union(
-        _nodes_of(plain.where("id is null")).join(wanted.where("id is null").select("node"), "node", "left_semi"))
-    sets = s.table(_full_sets(texts).dropDuplicates(["node"]), "sets")
 
+def linked_nodes(members: DataFrame, sets: DataFrame, percent: int, s: Scratch) -> DataFrame:
+    """``(node, root)`` of all nodes with a link: the components of the
+    pairs that share a bucket and whose full sets reach the threshold."""
     stars = s.table(members.where("node <> hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("bands")), "stars")
     first = stars.groupBy("b").agg(F.max_by("a", F.struct("bands", "a")).alias("a")).select("a", "b")
     links = s.table(_checked(first, sets, percent), "links0")
@@ -273,6 +261,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         links = links.union(more)
         labels = components(links, s, "c2")
+    return labels
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: ``id_col, n_shingles, component_id, kept,
+    text_hash`` (xxhash64 of the text).
+
+    ``component_id`` is the smallest id that links reach, ``kept`` marks the
+    rows whose id it is. An empty table gives no rows.
+    """
+    spark = docs.sparkSession
+    s = Scratch(spark, "near-dedup")
+    sketched = s.table(sketch_documents(docs, id_col, text_col), "sketched")
+
+    banded = sketched.where("node is not null").select("node", F.explode("bands").alias("bucket"))
+    members = s.table(buckets(banded), "members")
+
+    nodes = sketched.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
+    wanted = members.select("node").distinct().join(nodes, "node")
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = plain.join(wanted, "id").select("node", "text").union(
+        _nodes_of(plain.where("id is null")).join(wanted.where("id is null").select("node"), "node", "left_semi"))
+    sets = s.table(_full_sets(texts).dropDuplicates(["node"]), "sets")
+
+    labels = linked_nodes(members, sets, percent, s)
 
     linked = labels.join(nodes, "node")
     smallest = linked.groupBy("root").agg(F.min("id").alias("first_id"))
