@@ -235,9 +235,10 @@ def _cross_links(rows: DataFrame, percent: int) -> DataFrame:
 def buckets(banded: DataFrame) -> DataFrame:
     """``(bucket, node, hub)`` of the buckets ``(bucket, node)`` with two
     nodes or more."""
-    hubs = (banded.groupBy("bucket").agg(F.min(F.col("node").bitwiseXOR(F.col("bucket"))).alias("h"), F.min("node").alias("lo"), F.max("node").alias("hi"))
-            .where("lo <> hi").select("bucket", F.col("h").bitwiseXOR(F.col("bucket")).alias("hub")))
-    return banded.join(hubs, "bucket").distinct()
+    order = F.col("node").bitwiseXOR(F.col("bucket"))
+    hubs = (banded.groupBy("bucket").agg(F.min(order).alias("lo"), F.max(order).alias("hi"))
+            .where("lo <> hi").select("bucket", F.col("lo").bitwiseXOR(F.col("bucket")).alias("hub")))
+    return banded.join(hubs, "bucket")
 
 
 def linked_nodes(members: DataFrame, sets: DataFrame, percent: int, s: Scratch) -> DataFrame:
@@ -276,7 +277,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketched = s.table(sketch_documents(docs, id_col, text_col), "sketched")
 
     banded = sketched.where("node is not null").select("node", F.explode("bands").alias("bucket"))
-    members = s.table(buckets(banded), "members")
+    members = s.table(buckets(banded).distinct(), "members")
 
     nodes = sketched.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
     wanted = members.select("node").distinct().join(nodes, "node")
