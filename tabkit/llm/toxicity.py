@@ -29,11 +29,11 @@ from tabkit.llm.language_id import symbols
 ORDERS = (3, 4, 5)
 BUCKET_BITS = 20
 BUCKETS = 1 << BUCKET_BITS
-FEATURES = 1 << 16
+FEATURES = 1 << 13
 SIGNIFICANCE = 11.0
-FIT_ROWS = 40_000
+FIT_ROWS = 10_000
 PENALTY = 1.0
-STEPS = 400
+STEPS = 200
 
 _U = np.uint64
 _PLACE = X._stream(31, 16) | _U(1)
