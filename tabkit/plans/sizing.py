@@ -1,8 +1,8 @@
 """Size-checked broadcast.
 
-A side is broadcast only after a bounded count proves it holds at most
-``max_rows`` rows; the count reads at most ``max_rows + 1`` rows, so the
-check itself never scans an unbounded table end to end.
+A side is broadcast only after one distributed aggregate (partial sums per
+task, one row to the driver) shows that it holds at most ``max_rows`` rows and
+``MAX_BYTES`` of values.
 """
 
 from __future__ import annotations
@@ -13,8 +13,16 @@ from pyspark.sql import DataFrame, functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+# Bound on the values of a broadcast side, well below executor memory.
+MAX_BYTES = 64 << 20
+
+
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = MAX_BYTES) -> bool:
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{n}`").cast("string")), F.lit(0)).cast("bigint") + 8
+                 if t in ("string", "binary") else F.lit(16).cast("bigint") for n, t in df.dtypes),
+                F.lit(0).cast("bigint"))
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS):

@@ -2,11 +2,13 @@
 
 Hot keys are found by a distributed ``groupBy(keys).count()`` (map-side
 partial aggregation, so the shuffle carries one row per key per task) or
-passed in when the caller already has the counts. Their number is bounded by
-``total_rows / hot_rows`` and is checked before the hot-key list is
-broadcast. The salt of a large-side row is a hash of the row itself, so a
-task recomputed after an executor loss produces the same salt. Keys are
-compared NULL-safe (a NULL group is a group).
+passed in when the caller already has the counts. Where more keys are hot
+than the list may hold for its broadcast, ``hot_rows`` is doubled until it
+fits; keys below it are joined unsalted, and the result is the same. The salt
+of a large-side row is a hash of the row and of the partition that holds it:
+equal rows of different partitions get different salts, and a task recomputed
+after an executor loss produces the same ones. Keys are compared NULL-safe
+(a NULL group is a group).
 """
 
 from __future__ import annotations
@@ -54,14 +56,15 @@ def salted_join(big: DataFrame, small: DataFrame, keys: str | Sequence[str], how
     if hot is None:
         hot = hot_keys(big, keys, hot_rows)
     hot = hot.select(*keys)
-    n_hot = hot.limit(max_hot_keys + 1).count()          # bounded check
-    if n_hot > max_hot_keys:
-        raise ValueError(
-            f"more than {max_hot_keys} keys hold >= {hot_rows} rows; raise hot_rows")
+    n_hot = hot.count()
+    while n_hot > max_hot_keys:                          # at most total / hot_rows keys
+        hot_rows *= 2
+        hot = hot_keys(big, keys, hot_rows)
+        n_hot = hot.count()
     if n_hot == 0:                                       # no skew: plain join
         return _null_safe_join(big, small, keys, how)
     hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in big.columns])
     big_s = (_null_safe_join(big, hot, keys, "left")
              .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salt_buckets)))
                          .otherwise(F.lit(0).cast("long")))
