@@ -29,8 +29,8 @@ def true_div(a, b) -> Column:
 
 
 def py_mod(a, b) -> Column:
-    """Modulo with the sign of the divisor (Python ``%``)."""
-    a, b = _c(a), _c(b)
+    """Modulo with the sign of the divisor (Python ``%``); NULL for a zero divisor."""
+    a, b = _c(a), F.nullif(_c(b), F.lit(0))
     return F.when(b < 0, -F.pmod(-a, -b)).otherwise(F.pmod(a, b))
 
 

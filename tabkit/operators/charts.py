@@ -30,7 +30,9 @@ def histogram(df: DataFrame, col: str, bins: int = 10, fill: str | None = None,
         rng = rng.withColumn("_hi", F.lit(float(hi)))
     rng = rng.withColumn("_w", (F.col("_hi") - F.col("_lo")) / bins)
     j = with_one_row(src, rng)
-    b = F.least(F.floor((F.col(col) - F.col("_lo")) / F.col("_w")) + 1, F.lit(bins)).cast("int")
+    # a constant column has no width: all its rows are in the first bin
+    at = F.coalesce(F.floor(F.try_divide(F.col(col) - F.col("_lo"), F.col("_w"))), F.lit(0))
+    b = F.least(at + 1, F.lit(bins)).cast("int")
     j = j.where((F.col(col) >= F.col("_lo")) & (F.col(col) <= F.col("_hi"))).withColumn("bin", b)
     cnt = j.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"),
                                       F.first("_lo").alias("_lo"), F.first("_w").alias("_w"))
@@ -39,7 +41,7 @@ def histogram(df: DataFrame, col: str, bins: int = 10, fill: str | None = None,
     left = F.col("_lo") + (F.col("bin") - 1) * F.col("_w")
     return out.select(*keys, "bin", left.alias("left"), (left + F.col("_w")).alias("right"),
                       (left + F.col("_w") / 2).alias("mid"), F.col("n").cast("bigint").alias("n"),
-                      (F.col("n") / (F.col("_N") * F.col("_w"))).alias("density"))
+                      F.try_divide(F.col("n"), F.col("_N") * F.col("_w")).alias("density"))
 
 
 def normal_overlay(hist: DataFrame, df: DataFrame, col: str, x_col: str = "mid") -> DataFrame:
@@ -47,8 +49,8 @@ def normal_overlay(hist: DataFrame, df: DataFrame, col: str, x_col: str = "mid")
     (NULLs skipped)."""
     st = df.agg(F.avg(col).alias("_mu"), F.stddev_samp(col).alias("_sd"))
     j = with_one_row(hist, st)
-    z = (F.col(x_col) - F.col("_mu")) / F.col("_sd")
-    return j.withColumn("normal_density", F.exp(-z * z / 2) / (F.col("_sd") * math.sqrt(2 * math.pi))) \
+    z = F.try_divide(F.col(x_col) - F.col("_mu"), F.col("_sd"))
+    return j.withColumn("normal_density", F.try_divide(F.exp(-z * z / 2), F.col("_sd") * math.sqrt(2 * math.pi))) \
         .drop("_mu", "_sd")
 
 

@@ -39,17 +39,17 @@ def moments(df: DataFrame, col: str, keys: Sequence[str] | None = None,
     nn = F.col("n").cast("double")
     geo = (F.when(F.col("min") < 0, F.lit(None)).when(F.col("min") == 0, F.lit(0.0))
            .otherwise(F.exp("_mlog")))
-    harm = F.when(F.col("min") == 0, F.lit(0.0)).otherwise(F.lit(1.0) / F.col("_minv"))
+    harm = F.when(F.col("min") == 0, F.lit(0.0)).otherwise(F.try_divide(F.lit(1.0), F.col("_minv")))
     return g.select(
         *keys, F.col("n").cast("bigint").alias("n"), F.col("nulls").cast("bigint").alias("nulls"),
         "mean", "min", "max",
         ((F.col("min") + F.col("max")) / 2).alias("mid_range"),
         (F.col("max") - F.col("min")).alias("range"),
         "var", "sd",
-        (F.col("sd") / F.col("mean") * 100).alias("cv_pct"),
+        (F.try_divide(F.col("sd"), F.col("mean")) * 100).alias("cv_pct"),
         F.bround(geo, digits).alias("geo_mean"),
         F.bround(harm, digits).alias("harm_mean"),
-        ((F.col("kurtosis_pop") + 3) * F.pow(1 - 1 / nn, 2) - 3).alias("kurtosis"),
+        ((F.col("kurtosis_pop") + 3) * F.pow(1 - F.try_divide(F.lit(1.0), nn), 2) - 3).alias("kurtosis"),
         "kurtosis_pop",
     )
 
@@ -96,7 +96,7 @@ def _trimmed_ranked(r: DataFrame, col: str, trim: float, keys) -> DataFrame:
     g = F.floor(F.col("total") * float(trim))
     kept = F.greatest(F.lit(0), F.least(F.col("cum_n"), F.col("total") - g)
                       - F.greatest(F.col("before"), g))
-    return r.groupBy(*keys).agg((F.sum(kept * F.col(col)) / F.sum(kept)).alias("trimmed_mean"))
+    return r.groupBy(*keys).agg(F.try_divide(F.sum(kept * F.col(col)), F.sum(kept)).alias("trimmed_mean"))
 
 
 def trimmed_mean(df: DataFrame, col: str, trim: float = 0.1,
@@ -172,7 +172,7 @@ def missing_share(df: DataFrame) -> DataFrame:
                F.count(F.lit(1)).alias("_n"))
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("missing")) for c in df.columns])
     return a.select(F.inline(pairs), "_n").select(
-        "column", "missing", (F.col("missing") / F.col("_n")).alias("share"))
+        "column", "missing", F.try_divide(F.col("missing"), F.col("_n")).alias("share"))
 
 
 def missing_patterns(df: DataFrame) -> DataFrame:

@@ -59,6 +59,21 @@ def _z(conf: float) -> float:
     return NormalDist().inv_cdf(0.5 + conf / 2)
 
 
+def _corr(a, b):
+    """Pearson r over the rows where both are set; NULL where one has no spread."""
+    a, b = F.col(a), F.col(b)
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
+def _r_to_t(r, n):
+    """t of a correlation; infinite (p = 0) at r = 1 or -1, NULL without
+    degrees of freedom or spread."""
+    t = F.when(F.abs(r) >= 1, F.signum(r) * F.lit(float("inf"))).otherwise(
+        r * F.sqrt(F.try_divide(n - 2, 1 - r * r)))
+    return F.when(n > 2, t)
+
+
 # ---- correlation -------------------------------------------------------------
 
 def pearson_stats(df: DataFrame, a: str, b: str, keys: Sequence[str] | None = None,
@@ -66,15 +81,15 @@ def pearson_stats(df: DataFrame, a: str, b: str, keys: Sequence[str] | None = No
     """r, t = r sqrt((n-2)/(1-r^2)), df = n-2 and the Fisher-z interval."""
     keys = _list(keys)
     both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    g = both.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.corr(a, b).alias("r"))
+    g = both.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), _corr(a, b).alias("r"))
     r, n = F.col("r"), F.col("n")
-    z = _z(conf)
+    half = F.try_divide(F.lit(_z(conf)), F.sqrt(n - 3))
     return g.select(
         *keys, n.cast("bigint").alias("n"), r.alias("estimate"),
-        (r * F.sqrt((n - 2) / (1 - r * r))).alias("statistic"),
+        _r_to_t(r, n).alias("statistic"),
         (n - 2).cast("bigint").alias("df"),
-        F.tanh(F.atanh(r) - z / F.sqrt(n - 3)).alias("conf_low"),
-        F.tanh(F.atanh(r) + z / F.sqrt(n - 3)).alias("conf_high"))
+        F.when(n > 3, F.tanh(F.atanh(r) - half)).alias("conf_low"),
+        F.when(n > 3, F.tanh(F.atanh(r) + half)).alias("conf_high"))
 
 
 def pearson_test(df: DataFrame, a: str, b: str, keys=None, conf: float = 0.95) -> DataFrame:
@@ -86,11 +101,11 @@ def spearman_stats(df: DataFrame, a: str, b: str) -> DataFrame:
     """rho = Pearson correlation of tie-averaged ranks; S = (n^3-n)(1-rho)/6."""
     both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(a, b)
     ranked = with_mid_rank(with_mid_rank(both, a, out_col="_ra"), b, out_col="_rb")
-    g = ranked.agg(F.count(F.lit(1)).alias("n"), F.corr("_ra", "_rb").alias("rho"))
+    g = ranked.agg(F.count(F.lit(1)).alias("n"), _corr("_ra", "_rb").alias("rho"))
     n, rho = F.col("n").cast("double"), F.col("rho")
     return g.select(F.col("n").cast("bigint").alias("n"), rho.alias("estimate"),
                     ((n * n * n - n) * (1 - rho) / 6).alias("statistic"),
-                    (rho * F.sqrt((n - 2) / (1 - rho * rho))).alias("t"),
+                    _r_to_t(rho, n).alias("t"),
                     (F.col("n") - 2).cast("bigint").alias("df"))
 
 
@@ -106,14 +121,14 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     aggs = []
     for i, (x, y) in enumerate(pairs):
         ok = F.col(x).isNotNull() & F.col(y).isNotNull()
-        aggs += [F.corr(x, y).alias(f"r{i}"), F.sum(ok.cast("bigint")).alias(f"n{i}")]
+        aggs += [_corr(x, y).alias(f"r{i}"), F.sum(ok.cast("bigint")).alias(f"n{i}")]
     a = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(x).alias("var1"), F.lit(y).alias("var2"),
                               F.col(f"n{i}").alias("n"), F.col(f"r{i}").alias("r"))
                      for i, (x, y) in enumerate(pairs)])
     out = a.select(F.inline(rows))
     n, r = F.col("n"), F.col("r")
-    out = out.select("var1", "var2", "n", "r", (r * F.sqrt((n - 2) / (1 - r * r))).alias("t"),
+    out = out.select("var1", "var2", "n", "r", _r_to_t(r, n).alias("t"),
                      (n - 2).alias("df"))
     return out.withColumn("p_value", _t_p(F.col("t"), F.col("df").cast("double")))
 
@@ -136,7 +151,7 @@ def chisq_stats(counts: DataFrame, row: str, col: str, n_col: str = "n",
     e = with_one_row(e, cells.select("_dmin"), "_one2")
     yates = (F.lit(correct) & (F.col("_r") == 2) & (F.col("_c") == 2))
     corr = F.when(yates, F.least(F.lit(0.5), F.col("_dmin"))).otherwise(F.lit(0.0))
-    return e.agg(F.sum(F.pow(F.col("_d") - corr, 2) / F.col("_E")).alias("statistic"),
+    return e.agg(F.sum(F.try_divide(F.pow(F.col("_d") - corr, 2), F.col("_E"))).alias("statistic"),
                  ((F.first("_r") - 1) * (F.first("_c") - 1)).cast("bigint").alias("df"))
 
 
@@ -155,11 +170,12 @@ def welch_stats(df: DataFrame, value: str, group: str, levels: Sequence) -> Data
         F.count(F.when(F.col(group) == lv, v)).alias(f"n{i}"),
         F.avg(F.when(F.col(group) == lv, v)).alias(f"m{i}"),
         F.var_samp(F.when(F.col(group) == lv, v)).alias(f"s{i}"))])
-    se0, se1 = F.col("s0") / F.col("n0"), F.col("s1") / F.col("n1")
+    se0, se1 = F.try_divide(F.col("s0"), F.col("n0")), F.try_divide(F.col("s1"), F.col("n1"))
     se = F.sqrt(se0 + se1)
-    dfw = F.pow(se0 + se1, 2) / (F.pow(se0, 2) / (F.col("n0") - 1) + F.pow(se1, 2) / (F.col("n1") - 1))
+    dfw = F.try_divide(F.pow(se0 + se1, 2), F.try_divide(F.pow(se0, 2), F.col("n0") - 1)
+                       + F.try_divide(F.pow(se1, 2), F.col("n1") - 1))
     return g.select(F.col("m0").alias("mean_x"), F.col("m1").alias("mean_y"),
-                    ((F.col("m0") - F.col("m1")) / se).alias("statistic"),
+                    F.try_divide(F.col("m0") - F.col("m1"), se).alias("statistic"),
                     dfw.alias("df"), se.alias("stderr"),
                     F.col("n0").cast("bigint").alias("n_x"), F.col("n1").cast("bigint").alias("n_y"))
 
@@ -179,18 +195,18 @@ def anova_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     per = (df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
            .groupBy(group).agg(F.count(value).alias("n"), F.avg(value).alias("m"),
                                F.var_samp(value).alias("s2")))
-    tot = per.agg(F.sum("n").alias("_N"), (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("_M"),
+    tot = per.agg(F.sum("n").alias("_N"), F.try_divide(F.sum(F.col("n") * F.col("m")), F.sum("n")).alias("_M"),
                   F.count(F.lit(1)).alias("_k"))
     j = with_one_row(per, tot)
     a = j.agg(F.sum(F.col("n") * F.pow(F.col("m") - F.col("_M"), 2)).alias("ss_between"),
               F.sum((F.col("n") - 1) * F.coalesce(F.col("s2"), F.lit(0.0))).alias("ss_within"),
               (F.first("_k") - 1).cast("bigint").alias("df_between"),
               (F.first("_N") - F.first("_k")).cast("bigint").alias("df_within"))
+    ms_b = F.try_divide(F.col("ss_between"), F.col("df_between"))
+    ms_w = F.try_divide(F.col("ss_within"), F.col("df_within"))
+    f = F.when((ms_w == 0) & (ms_b > 0), F.lit(float("inf"))).otherwise(F.try_divide(ms_b, ms_w))
     return a.select("df_between", "df_within", "ss_between", "ss_within",
-                    (F.col("ss_between") / F.col("df_between")).alias("ms_between"),
-                    (F.col("ss_within") / F.col("df_within")).alias("ms_within"),
-                    ((F.col("ss_between") / F.col("df_between"))
-                     / (F.col("ss_within") / F.col("df_within"))).alias("statistic"))
+                    ms_b.alias("ms_between"), ms_w.alias("ms_within"), f.alias("statistic"))
 
 
 def anova_test(df: DataFrame, value: str, group: str) -> DataFrame:
@@ -217,16 +233,19 @@ def levene_test(df: DataFrame, value: str, group: str) -> DataFrame:
 def fligner_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     """Fligner-Killeen (median-centred): a = qnorm((1 + rank|x - med| / (n+1)) / 2),
     statistic = (sum_j S_j^2 / n_j - n * mean(a)^2) / var(a), df = k - 1."""
-    dev = _abs_dev_from_median(df, value, group).select(group, "_dev")
-    ranked = with_mid_rank(dev, "_dev", out_col="_r")
-    n_all = ranked.agg(F.count(F.lit(1)).alias("_n"))
-    sc = with_one_row(ranked, n_all).withColumn(
-        "_a", norm_ppf((1 + F.col("_r") / (F.col("_n") + 1)) / 2))
-    per = sc.groupBy(group).agg(F.sum("_a").alias("S"), F.count(F.lit(1)).alias("nj"))
-    glob = sc.agg(F.avg("_a").alias("abar"), F.var_samp("_a").alias("va"), F.count(F.lit(1)).alias("n"))
+    dev = _abs_dev_from_median(df, value, group)
+    counts = dev.groupBy(group, "_dev").agg(F.count(F.lit(1)).alias("_c"))
+    ranks = ranked_values(dev, "_dev").select("_dev", "mid_rank", "total")
+    a, c = F.col("_a"), F.col("_c")
+    per = (counts.join(ranks, "_dev")
+           .withColumn("_a", norm_ppf((1 + F.col("mid_rank") / (F.col("total") + 1)) / 2))
+           .groupBy(group).agg(F.sum(c * a).alias("S"), F.sum(c * a * a).alias("S2"), F.sum(c).alias("nj")))
+    glob = per.agg(F.sum("nj").alias("n"), F.sum("S").alias("_s"), F.sum("S2").alias("_s2")).select(
+        "n", F.try_divide(F.col("_s"), F.col("n")).alias("abar"),
+        F.try_divide(F.col("_s2") - F.try_divide(F.col("_s") * F.col("_s"), F.col("n")), F.col("n") - 1).alias("va"))
     j = with_one_row(per, glob)
-    return j.agg(((F.sum(F.col("S") * F.col("S") / F.col("nj"))
-                   - F.first("n") * F.pow(F.first("abar"), 2)) / F.first("va")).alias("statistic"),
+    return j.agg(F.try_divide(F.sum(F.col("S") * F.col("S") / F.col("nj"))
+                              - F.first("n") * F.pow(F.first("abar"), 2), F.first("va")).alias("statistic"),
                  (F.count(F.lit(1)) - 1).cast("bigint").alias("df"))
 
 
@@ -251,8 +270,9 @@ def lilliefors_stats(df: DataFrame, value: str, keys: Sequence[str] | None = Non
     if keys:
         mom, _ = broadcast_if_bounded(mom)
     j = join_on_keys(r, mom, keys)
-    phi = norm_cdf((F.col(value) - F.col("_m")) / F.col("_sd"))
-    d = F.greatest(F.col("cum_n") / F.col("total") - phi, phi - F.col("before") / F.col("total"))
+    phi = norm_cdf(F.try_divide(F.col(value) - F.col("_m"), F.col("_sd")))
+    d = F.when(F.col("_sd") > 0, F.greatest(F.col("cum_n") / F.col("total") - phi,
+                                            phi - F.col("before") / F.col("total")))
     return j.groupBy(*keys).agg(F.max(d).alias("statistic"),
                                 F.first("total").cast("bigint").alias("n"))
 
@@ -260,12 +280,3 @@ def lilliefors_stats(df: DataFrame, value: str, keys: Sequence[str] | None = Non
 def lilliefors_test(df: DataFrame, value: str, keys: Sequence[str] | None = None) -> DataFrame:
     s = lilliefors_stats(df, value, keys)
     return s.withColumn("p_value", _lillie_p(F.col("statistic"), F.col("n").cast("double")))
-
-
-def ks_statistic_mllib(df: DataFrame, value: str) -> DataFrame:
-    """Same D through MLlib's distributed one-sample KS test (whole table)."""
-    from pyspark.ml.stat import KolmogorovSmirnovTest
-    mom = df.agg(F.avg(value).alias("m"), F.stddev_samp(value).alias("s")).first()
-    src = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias(value))
-    return KolmogorovSmirnovTest.test(src, value, "norm", float(mom["m"]), float(mom["s"])) \
-        .select(F.col("statistic"))

@@ -45,7 +45,7 @@ def standardize_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                 *[F.stddev_samp(c).alias(f"_s{i}") for i, c in enumerate(cols)])
     j = with_one_row(df, st)
     return j.select(*[c for c in df.columns if c not in cols],
-                    *[((F.col(c) - F.col(f"_m{i}")) / F.col(f"_s{i}")).alias(c) for i, c in enumerate(cols)])
+                    *[F.try_divide(F.col(c) - F.col(f"_m{i}"), F.col(f"_s{i}")).alias(c) for i, c in enumerate(cols)])
 
 
 class PcaResult:
