@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
+from tabkit.scratch import shared_dir
+
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
                   app: str = "tabkit") -> SparkSession:
@@ -33,8 +33,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared (HDFS/object store) folder and is
-    used as is. Only when it is unset (tests, a bare local session) do we
-    create a scratch folder of our own.
+    used as is. Where it is unset, a local session gets a scratch folder of
+    its own, and on a cluster it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -45,6 +45,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not configured:
-        configured = tempfile.mkdtemp(prefix="tabkit-ckpt-")
+        configured = shared_dir(spark)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
