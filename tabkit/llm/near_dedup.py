@@ -108,6 +108,7 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        X.release()
         for batch in batches:
             for lo, hi, data, off in X.chunked(batch.column(1)):
                 elements, n = shingle_sets(data, off)

@@ -39,7 +39,6 @@ END_ID = 1
 MIN_FILL = 0.98
 GAP = 2e-3
 CACHE_WORDS = 1 << 19
-CHUNK_BYTES = 4 << 20
 
 # Separators at which every text may be split before tokenizing (the
 # tokenizer drops white space, and no rule of it looks across).
@@ -71,7 +70,6 @@ def _words(data: np.ndarray, offsets: np.ndarray, raw: bytes):
     np.add.at(edge, starts[wide], 1)
     np.add.at(edge, ends[wide], -1)
     return np.where(np.cumsum(edge[:-1], dtype=np.int8) > 0, data, X.ASCII_LOWER[data]), starts, ends, per_row
-_encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
@@ -116,12 +114,6 @@ class WordEncoder:
         return ids, total[row[1:]] - total[row[:-1]]
 
 
-def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
-
-
 def prefix_checksums(ids: np.ndarray) -> np.ndarray:
     """CRC-32 after each ``CUT`` ids (little-endian 32-bit), and at the end."""
     raw, out, crc = ids.astype("<u4").tobytes(), [], 0
@@ -162,9 +154,9 @@ def cut_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
 
         part, turn = TaskContext.get().partitionId(), 0
         seen = np.zeros(capacity // UNIT + 1, np.int64)
-        enc = encoder(tokenizer)
+        enc = X.kept(("packing", tokenizer), lambda: WordEncoder(tokenizer))
         for batch in batches:
-            for lo, hi, data, off in X.chunked(batch.column(1), CHUNK_BYTES):
+            for lo, hi, data, off in X.chunked(batch.column(1)):
                 ids, n = enc.encode(data, off)
                 first = np.concatenate(([0], np.cumsum(n)))
                 whole = n + 1

@@ -33,6 +33,7 @@ _BASE_INV = pow(_BASE, -1, 1 << 64)
 _WINDOW = _stream(13, 64) | _U(1)
 _LENGTH = _stream(14, 64)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_kept: dict[tuple, object] = {}
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,6 +46,31 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
+def release() -> None:
+    """Gives back what earlier tasks of other operators left in this Python
+    worker: the kept tables, and freed memory that the allocators hold."""
+    import ctypes
+
+    import pyarrow as pa
+
+    _kept.clear()
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def kept(key: tuple, make):
+    """The value of ``make()``, kept in this Python worker for its later
+    tasks. A worker keeps one value, so that the tables of the stages that
+    it has run do not add up."""
+    if key not in _kept:
+        release()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def utf8(arr) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of an Arrow string array; offsets start at 0 and a
     null row has no bytes."""

@@ -34,7 +34,6 @@ CACHE_WORDS = 1 << 20
 CACHE_STATES = 1 << 18
 
 _BLANK = X.byte_table([0x20])
-_counters: dict[str, "Transducer"] = {}
 
 
 class Transducer:
@@ -147,12 +146,6 @@ class Transducer:
         return out
 
 
-def transducer(path: str) -> Transducer:
-    if path not in _counters:
-        _counters[path] = Transducer(path)
-    return _counters[path]
-
-
 def count_tokens(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """``id_col, n_bytes, n_tokens, over_limit`` of every row."""
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
@@ -161,7 +154,7 @@ def count_tokens(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        machine = transducer(model)
+        machine = X.kept(("token counts", model), lambda: Transducer(model))
         for batch in batches:
             for lo, hi, data, off in X.chunked(batch.column(1)):
                 size = np.diff(off)

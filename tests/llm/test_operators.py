@@ -148,7 +148,7 @@ def test_token_counts(docs, empty):
     got = {(r.doc_id, r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(docs, path).collect()}
     assert got == {(i, len((t or "").encode()), len(model.encode(t or ""))) for i, t, *_ in ROWS}
     odd = ["  a   b ", "▁x▁▁y", " " * 50, "a" * 300, "http://e.x/?a=1&b=2\n\n\tdef f(x):", "Привет ﬁ ½ 🤦🏼‍♂️"]
-    machine = token_counts.transducer(path)
+    machine = token_counts.Transducer(path)
     for t in odd:
         assert machine.count_rows(*token_counts.X.utf8(__import__("pyarrow").array([t.replace("▁", " ")])))[0] == len(model.encode(t))
     assert token_counts.count_tokens(empty, path).count() == 0
