@@ -104,6 +104,27 @@ def test_substring_dedup(spark, empty):
     assert substring_dedup.repeated_spans(empty).count() == 0
 
 
+def test_substring_dedup_inside_texts(spark):
+    """Runs of words that no line or sentence end marks, short sentences, changed sentences inside lines."""
+    rng = np.random.default_rng(5)
+    fresh = lambda n, tag: [f"{tag}{i}" for i in rng.integers(0, 1 << 40, n)]
+    run, short = fresh(55, "r"), [f"{w}." if i % 5 == 4 else w for i, w in enumerate(fresh(60, "s"))]
+    line = fresh(45, "n")
+    parts = {1: fresh(33, "a") + run + fresh(20, "a"), 2: fresh(7, "b") + run + fresh(71, "b"),
+             3: fresh(50, "c") + short + fresh(50, "c"), 4: fresh(31, "d") + short,
+             5: fresh(30, "e")[:-1] + ["end."] + line + ["end."] + fresh(30, "e"),
+             6: fresh(12, "f") + ["end."] + line[:20] + ["changed"] + line[21:] + ["end."] + fresh(9, "f")}
+    texts = {i: " ".join(p) for i, p in parts.items()}
+    out = substring_dedup.passages(substring_dedup.repeated_spans(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3))).collect()
+    got = {r.id: (texts[r.id][r.start:r.end], r.n_words, r.removed) for r in out}
+    assert len(out) == 6
+    assert got[1] == (" ".join(run), 55, False) and got[2] == (" ".join(run), 55, True)
+    assert got[3] == (" ".join(short), 60, False) and got[4] == (" ".join(short), 60, True)
+    assert got[5][1:] == (46, False) and got[6][1:] == (46, True)
+    clusters = {r.id: r.clusters for r in out}
+    assert clusters[1] == clusters[2] and clusters[3] == clusters[4]
+
+
 def test_html(spark):
     pages = ["<nav>x</nav><main><p>Hello &amp; wor<b>ld</b><p>two<ul><li>a<li>b</ul></main><div class='comments'>bad</div>", "", None, "plain", "<article><h1>T</h1><p title=\"a>b\">x &lt; y</p></article><aside>no</aside>", "<div>" * 5000 + "deep"]
     df = spark.createDataFrame([(i, "http://h.example/%d" % i if i else None, p) for i, p in enumerate(pages)], "page_id long, url string, html string")
