@@ -3,17 +3,17 @@ log-count ratios.
 
 Texts become lower-case letters with single spaces; features are whether an
 n-gram of ``ORDERS`` characters occurs, hashed into ``BUCKETS``. Over all
-labelled texts Spark counts, per bucket, the texts of either label. A bucket
-whose likelihood ratio statistic passes ``SIGNIFICANCE`` becomes a feature
-(at most ``FEATURES``, the strongest) whose value is its log-count ratio. A
-logistic regression over these values is fitted on at most about ``FIT_ROWS``
-labelled texts and scores every text.
+distinct labelled texts Spark counts, per bucket, the texts of either label.
+Every bucket whose likelihood ratio statistic passes ``SIGNIFICANCE`` becomes
+a feature whose value is its log-count ratio. A logistic regression over
+these values is fitted in Spark on at most about ``FIT_ROWS`` of the distinct
+texts and scores every text.
 
 Null and empty texts have no feature and get the score of the intercept. A
 null label, a null id and an id without a text or label are not learned
 from. Without labels of both kinds every score is the share of label 1
-(0.5 without labels). Repeated rows count and are scored as often as they
-occur. Empty tables give no rows. Other columns are ignored.
+(0.5 without labels). Copies of a text are learned from once per label and
+scored as often as they occur. Empty tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,18 +21,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tabkit.llm import textops as X
 from tabkit.llm.language_id import symbols
+from tabkit.scratch import Scratch
 
 ORDERS = (3, 4, 5)
 BUCKET_BITS = 20
 BUCKETS = 1 << BUCKET_BITS
-FEATURES = 1 << 13
 SIGNIFICANCE = 11.0
 FIT_ROWS = 10_000
 PENALTY = 1.0
+# Bytes of text whose n-grams are sorted at a time.
+CHUNK_BYTES = 1 << 18
 STEPS = 200
 
 _U = np.uint64
@@ -57,12 +61,16 @@ def _grams(data: np.ndarray, offsets: np.ndarray):
 def _distinct(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None = None):
     """(row, bucket) of the distinct buckets of each text, of the wanted ones only if given."""
     parts = []
+    narrow = len(offsets) - 1 <= 1 << (32 - BUCKET_BITS)  # rows and buckets fit 32 bits, which sort faster
     for bucket, row in _grams(data, offsets):
         if wanted is not None:
             keep = wanted[bucket]
             bucket, row = bucket[keep], row[keep]
-        parts.append(row << BUCKET_BITS | bucket)
-    pairs = np.unique(np.concatenate(parts))
+        pairs = row << BUCKET_BITS | bucket
+        parts.append(pairs.astype(np.uint32) if narrow else pairs)
+    pairs = np.concatenate(parts)
+    pairs.sort()
+    pairs = pairs[np.concatenate(([True], pairs[1:] != pairs[:-1]))[:len(pairs)]].astype(np.int64)
     return pairs >> BUCKET_BITS, pairs & (BUCKETS - 1)
 
 
@@ -75,7 +83,7 @@ def count_buckets(labelled: DataFrame, text_col: str, label_col: str) -> DataFra
         seen = np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
             label = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            for lo, hi, data, off in X.chunked(batch.column(0)):
+            for lo, hi, data, off in X.chunked(batch.column(0), CHUNK_BYTES):
                 row, bucket = _distinct(data, off)
                 for y in (0, 1):
                     seen[y] += np.bincount(bucket[label[lo:hi][row] == y], minlength=BUCKETS)
@@ -86,32 +94,11 @@ def count_buckets(labelled: DataFrame, text_col: str, label_col: str) -> DataFra
             .groupBy("bucket").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")))
 
 
-def _fit(row: np.ndarray, feature: np.ndarray, ratio: np.ndarray, label: np.ndarray):
-    """(weights on the scaled features, intercept) by accelerated gradient steps."""
-    n = len(label)
-    value = ratio[feature]
-    w, b = np.zeros(len(ratio)), np.log((label.sum() + 0.5) / (n - label.sum() + 0.5))
-    per_row = np.bincount(row, value ** 2, n)
-    rate = 1.0 / (0.25 * max(1.0, per_row.max()) * n + PENALTY)
-    momentum, vw, vb, last = 0.9, np.zeros_like(w), 0.0, np.inf
-    rate *= np.sqrt(n)  # far below the curvature of any single direction for sparse rows
-    for _ in range(STEPS):
-        z = np.bincount(row, value * w[feature], n) + b
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        loss = -(label * np.log(p + 1e-12) + (1 - label) * np.log(1 - p + 1e-12)).sum() + PENALTY / 2 * (w ** 2).sum()
-        if loss > last:
-            rate, vw, vb = rate / 2, vw * 0, 0.0
-        last = loss
-        err = p - label
-        vw = momentum * vw - rate * (np.bincount(feature, value * err[row], len(w)) + PENALTY * w)
-        vb = momentum * vb - rate * err.sum()
-        w, b = w + vw, b + vb
-    return w, b
-
-
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
     """``(weight per bucket, intercept)`` learned from rows with a text and a label."""
-    rows = labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"))
+    s = Scratch(labelled.sparkSession, "toxicity")
+    known = labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+    rows = s.table(known.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")).distinct(), "texts")
     by_label = dict(rows.groupBy("label").count().collect())
     neg, pos = by_label.get(0, 0), by_label.get(1, 0)
     weights = np.zeros(BUCKETS, np.float32)
@@ -125,33 +112,39 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     strength = 2 * (part(F.col("pos"), rate, share) + part(F.col("neg"), 1 - rate, 1 - share))
     ratio = F.log(((F.col("pos") + 1) / F.lit(pos + 2)) / ((F.col("neg") + 1) / F.lit(neg + 2)))
     chosen = (count_buckets(rows, "text", "label").select("bucket", strength.alias("strength"), ratio.alias("ratio"))
-              .where(F.col("strength") >= SIGNIFICANCE).orderBy(F.desc("strength"), "bucket").limit(FEATURES).toArrow())
+              .where(F.col("strength") >= SIGNIFICANCE).select("bucket", "ratio").toArrow().sort_by("bucket"))  # at most BUCKETS
     buckets, ratios = chosen.column("bucket").to_numpy(), chosen.column("ratio").to_numpy()
     number = np.full(BUCKETS, -1, np.int32)
     number[buckets] = np.arange(len(buckets))
-    shared = labelled.sparkSession.sparkContext.broadcast(number)
+    spark, size = labelled.sparkSession, len(buckets)
+    shared = spark.sparkContext.broadcast((number, ratios))
 
     def features(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        known = shared.value
+        number, ratios = shared.value
         for batch in batches:
-            for lo, hi, data, off in X.chunked(batch.column(0)):
-                row, bucket = _distinct(data, off, known >= 0)
-                ends = np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(known[bucket]))], names=["label", "features"])
+            for lo, hi, data, off in X.chunked(batch.column(0), CHUNK_BYTES):
+                row, bucket = _distinct(data, off, number >= 0)
+                ends = pa.array(np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32))
+                at = number[bucket]  # ascending in each row, as the buckets are
+                vector = pa.StructArray.from_arrays([pa.array(np.zeros(hi - lo, np.int8)), pa.array(np.full(hi - lo, size, np.int32)), pa.ListArray.from_arrays(ends, pa.array(at)),
+                                                     pa.ListArray.from_arrays(ends, pa.array(ratios[at]))], names=["type", "size", "indices", "values"])
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(lo, hi - lo), vector], names=["label", "features"])
 
     every = max(1, -(-(pos + neg) // FIT_ROWS))
-    sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("text", "label").mapInArrow(features, "label int, features array<int>").toArrow()
-    label = sample.column("label").to_numpy().astype(float)
-    lists = sample.column("features").combine_chunks()
-    feature = lists.flatten().to_numpy()
-    row = np.repeat(np.arange(len(label)), lists.value_lengths().to_numpy())
-    if not len(feature) or not 0 < label.sum() < len(label):
+    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).select("text", "label")
+    schema = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("features", VectorUDT.sqlType())])
+    s.table(sample.mapInArrow(features, schema), "features")
+    fitted = spark.read.schema(T.StructType([schema["label"], T.StructField("features", VectorUDT())])).parquet(s.path("features"))
+    n, toxic = fitted.agg(F.count("*"), F.sum("label")).first()
+    if not size or not n or not 0 < toxic < n:
         return weights, float(np.log(share / (1 - share)))
-    w, b = _fit(row, feature, ratios, label)
-    weights[buckets] = w * ratios
-    return weights, float(b)
+    # the sum of the losses + PENALTY / 2 * the squared weights, without the intercept
+    fit = LogisticRegression(family="binomial", regParam=PENALTY / n, standardization=False, maxIter=STEPS).fit(fitted)
+    weights[buckets] = fit.coefficients.toArray() * ratios
+    s.drop("texts", "features")
+    return weights, float(fit.intercept)
 
 
 def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -165,7 +158,7 @@ def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text"
         weights, intercept = shared.value
         wanted = weights != 0
         for batch in batches:
-            for lo, hi, data, off in X.chunked(batch.column(1)):
+            for lo, hi, data, off in X.chunked(batch.column(1), CHUNK_BYTES):
                 row, bucket = _distinct(data, off, wanted)
                 z = np.bincount(row, weights[bucket], hi - lo) + intercept
                 p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))

@@ -199,3 +199,23 @@ def test_packing(docs, empty):
         g = g.sort_values("offset")
         assert list(g.offset) == [0, *np.cumsum(g.length)[:-1]] and g.length.sum() <= 2048
     assert packing.pack(empty, path).count() == 0
+
+
+def test_toxicity_copies(spark):
+    """Copies of one long text with many n-grams do not push the toxic n-grams out."""
+    rng = np.random.default_rng(3)
+    letters = list("abcdefghijklmnoprstuvw")
+    word = lambda n: "".join(rng.choice(letters, n))
+    common, bad = [word(6) for _ in range(150)], ["xyzzyq", "qyxxyz", "zyqxyy", "yqzxxz"]
+    plain = lambda: " ".join(rng.choice(common, 30))
+    rows = [(i, plain() + (f" {bad[i % 4]} " + plain() if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(600)]
+    long = " ".join(word(9) for _ in range(3000))
+    copied = rows + [(1000 + i, long, 0) for i in range(300)]
+    schema = "doc_id long, text string, toxic int"
+    buckets = {}
+    for name, table in (("once", [*rows, (1000, long, 0)]), ("copied", copied)):
+        df = spark.createDataFrame(table, schema).repartition(3)
+        buckets[name], intercept = toxicity.train(df)
+        got = {r.doc_id: r.score for r in toxicity.score(df.where("doc_id < 600"), (buckets[name], intercept)).collect()}
+        assert np.mean([(got[i] >= 0.5) == bool(y) for i, _, y in rows]) > 0.95
+    assert np.allclose(buckets["once"], buckets["copied"], atol=1e-4)
