@@ -7,9 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabkit.llm import decontaminate, html_text, language_id, near_dedup, packing, quality, secrets, substring_dedup, token_counts, toxicity
 
-# Label rows (an id and a flag, 16 bytes) that are small enough to send to every executor.
-BROADCAST_LABELS = 2_000_000
-
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -54,9 +51,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
-    labels = _read(spark, sf_dir, "labels").select("doc_id", "toxic")
-    if labels.count() <= BROADCAST_LABELS:  # else the join shuffles the texts
-        labels = F.broadcast(labels)
+    labels = _read(spark, sf_dir, "labels").select("doc_id", "toxic").hint("merge")  # one plan at every size
     labelled = language_id.learnable(docs, "doc_id", 5, 0).select("doc_id", "text").join(labels, "doc_id")
     return toxicity.score(docs, toxicity.train(labelled)).select("doc_id", language_id.held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
 

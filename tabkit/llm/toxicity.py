@@ -38,6 +38,8 @@ PENALTY = 1.0
 # Bytes of text whose n-grams are sorted at a time.
 CHUNK_BYTES = 1 << 18
 STEPS = 200
+# The sample is fitted by so few tasks that their gradients are summed without a shuffle.
+FIT_TASKS = 4
 
 _U = np.uint64
 _PLACE = X._stream(31, 16) | _U(1)
@@ -136,7 +138,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).select("text", "label")
     schema = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("features", VectorUDT.sqlType())])
     s.table(sample.mapInArrow(features, schema), "features")
-    fitted = spark.read.schema(T.StructType([schema["label"], T.StructField("features", VectorUDT())])).parquet(s.path("features"))
+    fitted = spark.read.schema(T.StructType([schema["label"], T.StructField("features", VectorUDT())])).parquet(s.path("features")).coalesce(FIT_TASKS)
     n, toxic = fitted.agg(F.count("*"), F.sum("label")).first()
     if not size or not n or not 0 < toxic < n:
         return weights, float(np.log(share / (1 - share)))

@@ -219,3 +219,14 @@ def test_toxicity_copies(spark):
         got = {r.doc_id: r.score for r in toxicity.score(df.where("doc_id < 600"), (buckets[name], intercept)).collect()}
         assert np.mean([(got[i] >= 0.5) == bool(y) for i, _, y in rows]) > 0.95
     assert np.allclose(buckets["once"], buckets["copied"], atol=1e-4)
+
+
+def test_toxicity_labels_are_never_broadcast(spark, monkeypatch):
+    """The labels are joined by one plan whatever their number."""
+    from tabkit.llm import queries
+    from tabkit.plans.checks import plan_text
+
+    seen = []
+    monkeypatch.setattr(queries.toxicity, "train", lambda labelled: seen.append(labelled) or (np.zeros(toxicity.BUCKETS, np.float32), 0.0))
+    queries.op9_toxicity(spark, "/root/testdata/sf0.001")
+    assert "SortMergeJoin" in plan_text(seen[0]) and "Broadcast" not in plan_text(seen[0])
