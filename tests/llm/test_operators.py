@@ -230,3 +230,22 @@ def test_toxicity_labels_are_never_broadcast(spark, monkeypatch):
     monkeypatch.setattr(queries.toxicity, "train", lambda labelled: seen.append(labelled) or (np.zeros(toxicity.BUCKETS, np.float32), 0.0))
     queries.op9_toxicity(spark, "/root/testdata/sf0.001")
     assert "SortMergeJoin" in plan_text(seen[0]) and "Broadcast" not in plan_text(seen[0])
+
+
+def test_language_id_rare_language_beside_a_hot_one(spark):
+    """More than two million n-grams of a hot language take nothing from a rare one."""
+    rng = np.random.default_rng(1)
+    hot = "".join(map(chr, rng.integers(0x4E00, 0x9FA5, 2_200_000)))
+    rare = "quick brown foxes jump over lazy dogs"
+    rows = [(i, hot[k:k + 10_000], "hot") for i, k in enumerate(range(0, len(hot), 10_000))] + [(1000, rare, "rare")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(df)[0]
+    keys = language_id.grams(*language_id.symbols(*language_id.X.utf8(__import__("pyarrow").array([rare]))))
+    assert model.langs == ["hot", "rare"]
+    assert (model.grams[language_id.ORDER][0].find(keys) >= 0).all()
+
+
+def test_language_id_calibrates_every_language(spark):
+    rows = [(i, f"uno due tre {'abcdefgh'[i % 8]}", "hot") for i in range(41_000)] + [(50_000 + i, f"{c * 3} {c * 5} {c * 2}", f"rare{c}") for i, c in enumerate("jkqwxyz")]
+    model, limits, _ = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3))
+    assert len(model.langs) == 8 and (limits[:, 0] > 0).all()
