@@ -90,7 +90,7 @@ def q_cluster_profile(spark: SparkSession, sf_dir: str):
     """Mean of the original columns per k-means cluster (label kept by id)."""
     s, km = _best_kmeans(spark, sf_dir)
     e = table(spark, sf_dir, "embeddings")
-    orig = e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(NAMES[i]) for i in range(4)])
+    orig = e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(NAMES[i]) for i in range(DIMS)])
     return D.profile_by(orig.join(km.assignments(s, "vec_id"), "vec_id").drop("vec_id"), "cluster")
 
 

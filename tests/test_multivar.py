@@ -80,6 +80,16 @@ def test_elbow_k1_is_total(data):
     assert el[1] == pytest.approx(M.total_ss(scaled)) and el[3] < el[1]
 
 
+def test_cluster_profile_has_every_dimension(spark):
+    from tabkit.plans import bind_multivar as B
+    out = B.q_cluster_profile(spark, SF001)
+    assert [c for c in out.columns if c in B.NAMES] == B.NAMES
+    rows = spark.read.parquet(f"{SF001}/embeddings.parquet").select("vec_id", "embedding").join(B.q_kmeans_assignments(spark, SF001), "vec_id").collect()
+    for r in out.collect():
+        mean = np.mean([x.embedding for x in rows if x.cluster == r.cluster], axis=0, dtype=float)
+        assert np.allclose([r[n] for n in B.NAMES], mean, atol=1e-6)
+
+
 def test_distance_metrics(spark):
     rows = spark.createDataFrame([(1, [0.0, 3.0, 4.0])], "id int, x array<double>")
     pts = spark.createDataFrame([(9, [1.0, 1.0, 1.0])], "pid int, x array<double>")

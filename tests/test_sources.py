@@ -76,3 +76,15 @@ def test_landing_ingest_quarantine_and_idempotence(spark):
     # every row is either ingested or quarantined, exactly once
     assert good.count() + bad.count() == 3
     assert schema.fieldNames() == ["id", "slope"]
+
+
+def test_orc_round_trip_keeps_every_column_of_orders(spark):
+    from tabkit.plans.bind_sources import staging
+    from tabkit.sources.delimited import read_orc
+    from tests.conftest import SF001
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    path = staging(spark, "orders-orc-whole")
+    orders.write.mode("overwrite").orc(path)
+    back = read_orc(spark, path)
+    assert back.schema == orders.schema and "o_orderdate" in back.columns
+    assert back.exceptAll(orders).count() == 0 and orders.exceptAll(back).count() == 0
