@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabkit.llm import decontaminate, divergence, html_text, language_id, merkle, near_dedup, packing, quality, secrets, substring_dedup, token_counts, toxicity
+from tabkit.llm import decontaminate, divergence, html_text, language_id, merkle, near_dedup, packing, quality, secrets, substring_dedup, suffix_dedup, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,7 +68,11 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_read(spark, sf_dir, "documents"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secret_scans, op2_decontamination, op3_substring_dedup, op4_html_extraction, op5_quality_rules,
                                    op6_near_dedup, op7_language_id, op8_token_counts, op9_toxicity, op10_packing,
-                                   op11_merkle_manifest, op12_source_divergence)}
+                                   op11_merkle_manifest, op12_source_divergence, op13_suffix_dedup)}
 SQL = {"op1_secret_scans": secrets.oracle_sql(), "op11_merkle_manifest": merkle.oracle_sql(), "op12_source_divergence": divergence.oracle_sql()}
