@@ -10,18 +10,20 @@ place too, in the same text or in another. Texts are taken as UTF-8 bytes.
   possible ``LENGTH``-byte string from one place) the one of least hash is
   its anchor, the same one in every copy of the window. Some n / 75 places
   of a text are anchors.
-* Prefix doubling on anchors: Spark sorts them by (rank of the prefix, name
-  of the bytes at the offset where it ends), for the growing lengths
-  ``STEPS``, and ranks them anew. Those of a rank of their own leave: every
-  window that is anchored there and holds the prefix is unique. The others
-  go on until they are past the threshold.
+* Prefix doubling on anchors whose gram is repeated: Spark sorts them by
+  (rank of the prefix, name of the bytes at the offset where it ends), for
+  the growing lengths ``AFTER``, and ranks them anew. Those of a rank of
+  their own leave, the others go on until they are past the threshold. The
+  same is done backwards from the gram (``BEFORE``). A window that holds a
+  string of a rank of its own at its anchor is unique.
 * A prefix that is known to be repeated settles the windows inside it. What
   is left, windows at the ends of repeated stretches, is sorted in the same
-  way, by the names of a window's halves, together with the windows of one
-  member of each settled rank, so that no copy of a window is missed.
+  way, by (rank of the anchor's gram, name of the window), together with the
+  windows of one member of each settled rank, so that no copy of a window is
+  missed.
 
 Names are 64-bit hashes; two strings are taken as equal if the gram and all
-further parts agree, 128 bits or more for a window. Sorted tables are range
+further parts agree: two names for a window. Sorted tables are range
 partitioned with ties spread over parts, so a passage in a third of all
 texts lies in no single task.
 
@@ -44,8 +46,10 @@ from tabkit.scratch import Scratch
 
 LENGTH = 200
 GRAM = 50
-# Ends of the prefixes that are ranked; the last one holds every window from an anchor to the next.
-STEPS = (GRAM, 100, LENGTH, 2 * LENGTH - GRAM + 1)
+# Lengths from an anchor that are ranked; the last one holds every window from an anchor to the next.
+AFTER = (75, 100, 125, 150, LENGTH, 275, 2 * LENGTH - GRAM + 1)
+# Lengths before an anchor that are ranked together with its gram.
+BEFORE = (25, 50, 75, 100, 125, LENGTH - GRAM)
 # Bytes of text worked on at a time.
 CHUNK_BYTES = 1 << 20
 
@@ -89,10 +93,8 @@ def _row_of(offsets: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.searchsorted(offsets, at, "right") - 1
 
 
-def positions(texts: DataFrame) -> DataFrame:
-    """``(tid, at, left, name0 ..)``: each anchor's place, the bytes from it to
-    the text's end, and the names of the bytes between the ``STEPS``."""
-    names = [f"name{k}" for k in range(len(STEPS))]
+def grams(texts: DataFrame) -> DataFrame:
+    """``(tid, at, name)``: the gram of each anchor."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -101,13 +103,32 @@ def positions(texts: DataFrame) -> DataFrame:
             for lo, hi, data, off in X.chunked(batch.column(1), CHUNK_BYTES):
                 at = np.unique(anchors(data, off)[1])
                 row = _row_of(off, at)
-                end = off[row + 1]
-                parts = [X.span_hashes(data, np.minimum(at + a, end), np.minimum(at + b, end)) for a, b in zip((0, *STEPS), STEPS)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(row)), pa.array((at - off[row]).astype(np.int32)), pa.array((end - at).astype(np.int32)),
-                                                  *(pa.array(X.as_long(p)) for p in parts)], names=["tid", "at", "left", *names])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(row)), pa.array((at - off[row]).astype(np.int32)), pa.array(X.as_long(X.span_hashes(data, at, at + GRAM)))], names=["tid", "at", "name"])
         X.release()
 
-    return texts.select("tid", "text").mapInArrow(run, "tid long, at int, left int, " + ", ".join(f"{n} long" for n in names))
+    return texts.select("tid", "text").mapInArrow(run, "tid long, at int, name long")
+
+
+def neighbourhoods(candidates: DataFrame) -> DataFrame:
+    """``(tid, at, gram, room_after, room_before, after0 .., before0 ..)``: the
+    names of the bytes between the steps, as far as the text goes."""
+    names = [f"after{k}" for k in range(len(AFTER))] + [f"before{k}" for k in range(len(BEFORE))]
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for lo, hi, data, off in X.chunked(batch.column(1), CHUNK_BYTES):
+                at, (gram,) = _places(batch.column(2).slice(lo, hi - lo), off)
+                row = _row_of(off, at)
+                start, end = off[row], off[row + 1]
+                parts = [X.span_hashes(data, np.minimum(at + a, end), np.minimum(at + b, end)) for a, b in zip((GRAM, *AFTER), AFTER)]
+                parts += [X.span_hashes(data, np.maximum(at - b, start), np.maximum(at - a, start)) for a, b in zip((0, *BEFORE), BEFORE)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(row)), *(pa.array(x.astype(np.int32)) for x in (at - start, gram, end - at, at - start)),
+                                                  *(pa.array(X.as_long(p)) for p in parts)], schema=pa.schema([("tid", pa.int64()), ("at", pa.int32()), ("gram", pa.int64()), ("room_after", pa.int32()), ("room_before", pa.int32()), *((n, pa.int64()) for n in names)]))
+        X.release()
+
+    return candidates.select("tid", "text", "places").mapInArrow(run, "tid long, at int, gram long, room_after int, room_before int, " + ", ".join(f"{n} long" for n in names))
 
 
 def _classes(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -115,31 +136,37 @@ def _classes(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("times"), F.min(F.struct("tid", "at")).alias("home")).where("times > 1")
 
 
-def _known(rows: DataFrame, classes: DataFrame, keys: list[str], how: str) -> DataFrame:
-    return salted_join(rows, classes, keys, how, hot_rows=HOT_ROWS, hot=classes.where(F.col("times") >= HOT_ROWS).select(*keys))
+def _known(rows: DataFrame, classes: DataFrame, keys: list[str], how: str, times: DataFrame | None = None) -> DataFrame:
+    hot = (classes if times is None else times).where(F.col("times") >= HOT_ROWS).select(*keys)
+    return salted_join(rows, classes, keys, how, hot_rows=HOT_ROWS, hot=hot)
+
+
+def rerank(rows: DataFrame, keys: list[str], how: str, s: Scratch, name: str) -> DataFrame:
+    """``rows`` with the ``rank`` of their keys among those that stand in two
+    rows or more (null, or left out, for keys of one row) and its ``home``."""
+    classes = s.table(_classes(rows, keys), f"{name}-classes")
+    ranked = rank_within(classes.withColumn("all", F.lit(0)), "all", [F.col(c).asc() for c in keys], s, f"{name}-sorted")
+    return _known(rows, ranked.drop("all", "total", "times"), keys, how, classes)
 
 
-def settle(found: DataFrame, s: Scratch) -> DataFrame:
-    """``(tid, at, same, alone, shown)`` of each anchor whose gram is
-    repeated: its prefix of ``same`` bytes is repeated, that of ``alone``
-    bytes is not (0: not known), and the windows in its first ``shown`` bytes
-    stand for all members of its rank."""
+def settle(around: DataFrame, side: str, steps: tuple, first: int, s: Scratch) -> DataFrame:
+    """``(tid, at, gram, same, alone, shown)``: going on from the gram to one
+    side, ``same`` bytes are repeated, ``alone`` are not (0: not known), and
+    the windows in the first ``shown`` bytes stand for all of a rank."""
     done = None
-    for k, step in enumerate(STEPS):
-        keys = ["known", f"name{k}"] if k else ["name0"]
-        classes = s.table(_classes(found, keys), f"classes{k}").withColumn("all", F.lit(0))
-        ranked = s.table(rank_within(classes, "all", [F.col(c).asc() for c in keys], s, f"sorted{k}").drop("all", "total"), f"ranks{k}")
-        rows = found if k else found.withColumn("same", F.lit(0)).withColumn("shown", F.lit(0))
-        seen = _known(rows, ranked, keys, "left" if k else "inner")
-        reach = F.least("left", F.lit(step))
-        here = F.when((F.col("home.tid") == F.col("tid")) & (F.col("home.at") == F.col("at")) & (reach >= LENGTH), reach).otherwise(F.col("shown"))
-        names = [f"name{j}" for j in range(k + 1, len(STEPS))]
-        seen = s.table(seen.select("tid", "at", "left", *names, F.col("rank").alias("known"), F.when(F.col("rank").isNull(), F.col("same")).otherwise(reach).alias("same"), here.alias("shown")), f"round{k}")
-        s.drop(f"classes{k}", f"sorted{k}", f"ranks{k}")
-        ended = seen.where("known is null").select("tid", "at", "same", F.when(F.col("left") >= step, step).otherwise(0).alias("alone"), "shown")
+    room = f"room_{side}"
+    left = around.select("tid", "at", "gram", room, F.col("gram").alias("known"), F.lit(first).alias("same"), F.lit(0).alias("shown"), *(f"{side}{k}" for k in range(len(steps))))
+    for k, step in enumerate(steps):
+        seen = rerank(left, ["known", f"{side}{k}"], "left", s, f"{side}{k}")
+        reach = F.least(room, F.lit(step))
+        is_home = (F.col("home.tid") == F.col("tid")) & (F.col("home.at") == F.col("at")) & (reach >= LENGTH)
+        seen = s.table(seen.select("tid", "at", "gram", room, *(f"{side}{j}" for j in range(k + 1, len(steps))), F.col("rank").alias("known"),
+                                   F.when(F.col("rank").isNull(), F.col("same")).otherwise(reach).alias("same"), F.when(is_home, reach).otherwise(F.col("shown")).alias("shown")), f"{side}{k}")
+        s.drop(f"{side}{k}-classes", f"{side}{k}-sorted")
+        ended = seen.where("known is null").select("tid", "at", "gram", "same", F.when(F.col(room) >= step, step).otherwise(0).alias("alone"), "shown")
         done = ended if done is None else done.unionByName(ended)
-        found = seen.where("known is not null")
-    return done.unionByName(found.select("tid", "at", "same", F.lit(0).alias("alone"), "shown"))
+        left = seen.where("known is not null")
+    return done.unionByName(left.select("tid", "at", "gram", "same", F.lit(0).alias("alone"), "shown"))
 
 
 def _places(lists, off: np.ndarray):
@@ -151,8 +178,8 @@ def _places(lists, off: np.ndarray):
 
 
 def open_windows(candidates: DataFrame) -> DataFrame:
-    """``(tid, at, a, b)``: the windows that the settled prefixes leave open,
-    and those that stand for settled ones, with the names of their halves."""
+    """``(tid, at, gram, name)``: the windows that the settled strings leave
+    open, and those that stand for settled ones."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -160,23 +187,26 @@ def open_windows(candidates: DataFrame) -> DataFrame:
         for batch in batches:
             for lo, hi, data, off in X.chunked(batch.column(1), CHUNK_BYTES):
                 starts, own = anchors(data, off)
-                place, (same, alone, shown) = _places(batch.column(2).slice(lo, hi - lo), off)
-                unique = np.full(len(data) + 1, GRAM, np.int64)
-                unique[place] = np.where(alone > 0, alone, len(data) + LENGTH)
-                reach = np.zeros(len(data) + 1, np.int64)
+                place, (same, alone, before, shown, gram) = _places(batch.column(2).slice(lo, hi - lo), off)
+                none = len(data) + LENGTH
+                unique_to, unique_from, reach, rank = np.full(len(data) + 1, GRAM), np.full(len(data) + 1, none), np.zeros(len(data) + 1, np.int64), np.zeros(len(data) + 1, np.int64)
+                unique_to[place] = np.where(alone > 0, alone, none)
+                unique_from[place] = np.where(before > 0, before, none)
                 reach[place] = place + same
+                rank[place] = gram
                 reach = np.maximum.accumulate(reach)
-                take = (starts + LENGTH < own + unique[own]) & (reach[starts] < starts + LENGTH)
+                take = (starts + LENGTH < own + unique_to[own]) & (starts > own - unique_from[own]) & (reach[starts] < starts + LENGTH)
                 first, n = place[shown > 0], shown[shown > 0] - LENGTH + 1
-                stand = np.arange(n.sum()) + np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n) if len(n) else first
-                at = np.union1d(starts[take], stand)
+                stand = np.zeros(len(data) + 2, np.int64)
+                np.add.at(stand, first, 1)
+                np.add.at(stand, first + n, -1)
+                take |= np.cumsum(stand)[starts] > 0
+                at, rank = starts[take], rank[own[take]]
                 row = _row_of(off, at)
-                half = LENGTH // 2
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(row)), pa.array((at - off[row]).astype(np.int32)),
-                                                  *(pa.array(X.as_long(X.span_hashes(data, at + p, at + p + half))) for p in (0, half))], names=["tid", "at", "a", "b"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(row)), pa.array((at - off[row]).astype(np.int32)), pa.array(rank), pa.array(X.as_long(X.span_hashes(data, at, at + LENGTH)))], names=["tid", "at", "gram", "name"])
         X.release()
 
-    return candidates.select("tid", "text", "settled").mapInArrow(run, "tid long, at int, a long, b long")
+    return candidates.select("tid", "text", "settled").mapInArrow(run, "tid long, at int, gram long, name long")
 
 
 def _cut(rows: DataFrame) -> DataFrame:
@@ -213,13 +243,20 @@ def repeated_bytes(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame,
     rows = docs.withColumn("digest", F.sha2(text, 256)).withColumn("n_bytes", F.octet_length(text).cast("long"))
     texts = s.table(rows.select("digest", text.alias("text")).where(F.octet_length(text) >= LENGTH).groupBy("digest").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
                     .withColumn("tid", F.monotonically_increasing_id()), "texts")
-    settled = settle(s.table(positions(texts), "positions"), s)
-    settled = settled.groupBy("tid").agg(F.collect_list(F.struct("at", "same", "alone", "shown")).alias("settled"))  # at most a text's anchors
-    candidates = s.table(texts.join(settled, "tid"), "candidates")
-    windows = s.table(open_windows(candidates), "windows")
-    classes = _classes(windows, ["a", "b"])
-    hits = _known(windows, s.table(classes, "repeated"), ["a", "b"], "inner").groupBy("tid").agg(F.collect_list("at").alias("windows"))  # at most a text's bytes
-    spans = _cut(candidates.select("tid", F.octet_length("text").alias("n_bytes"), "settled").join(hits, "tid", "left").withColumn("windows", F.coalesce("windows", F.expr("cast(array() as array<int>)"))))
+    repeated = rerank(s.table(grams(texts), "grams"), ["name"], "inner", s, "gram")
+    places = repeated.groupBy("tid").agg(F.collect_list(F.struct("at", F.col("rank").alias("gram"))).alias("places"))  # at most a text's anchors
+    candidates = s.table(texts.select("tid", "text").join(places, "tid"), "candidates")
+    s.drop("grams", "gram-classes", "gram-sorted")
+    around = s.table(neighbourhoods(candidates), "around")
+    after = settle(around, "after", AFTER, GRAM, s).withColumn("before", F.lit(0))
+    before = settle(around, "before", BEFORE, 0, s).select("tid", "at", "gram", F.lit(0).alias("same"), F.col("alone").alias("before"), F.lit(0).alias("alone"), F.lit(0).alias("shown"))
+    both = after.unionByName(before).groupBy("tid", "at", "gram").agg(*(F.max(c).alias(c) for c in ("same", "alone", "before", "shown")))
+    settled = s.table(both.groupBy("tid").agg(F.collect_list(F.struct("at", "same", "alone", "before", "shown", "gram")).alias("settled")), "settled")
+    windows = s.table(open_windows(candidates.select("tid", "text").join(settled, "tid")), "windows")
+    keys = ["gram", "name"]
+    hits = _known(windows, s.table(_classes(windows, keys).select(*keys, "times"), "repeated"), keys, "inner").groupBy("tid").agg(F.collect_list("at").alias("windows"))  # at most a text's bytes
+    sizes = candidates.select("tid", F.octet_length("text").alias("n_bytes"))
+    spans = _cut(sizes.join(settled, "tid").join(hits, "tid", "left").withColumn("windows", F.coalesce("windows", F.expr("cast(array() as array<int>)"))))
     lost = s.table(spans.where(F.size("spans") > 0), "lost")
     whole = texts.where("copies > 1").withColumn("spans", F.array(F.struct(F.lit(0).alias("start"), F.octet_length("text").alias("end"))))
     return rows, whole.select("digest", "copies", "text", "spans").unionByName(texts.where("copies = 1").join(lost, "tid").select("digest", "copies", "text", "spans"))
