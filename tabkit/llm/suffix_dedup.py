@@ -8,19 +8,20 @@ place too, in the same text or in another. Texts are taken as UTF-8 bytes.
   others may hold their parts.
 * Positions: of the ``GRAM``-byte strings that start in a window (the
   possible ``LENGTH``-byte string from one place) the one of least hash is
-  its anchor, the same one in every copy of the window. Some n / 75 places
-  of a text are anchors.
-* Prefix doubling on anchors whose gram is repeated: Spark sorts them by
-  (rank of the prefix, name of the bytes at the offset where it ends), for
-  the growing lengths ``AFTER``, and ranks them anew. Those of a rank of
-  their own leave, the others go on until they are past the threshold. The
-  same is done backwards from the gram (``BEFORE``). A window that holds a
-  string of a rank of its own at its anchor is unique.
-* A prefix that is known to be repeated settles the windows inside it. What
-  is left, windows at the ends of repeated stretches, is sorted in the same
-  way, by (rank of the anchor's gram, name of the window), together with the
-  windows of one member of each settled rank, so that no copy of a window is
-  missed.
+  its anchor, the same one in every copy of the window. Some n / 60 places
+  of a text are anchors; each has a stretch, the bytes of its windows.
+* Anchors are sorted and ranked by their gram. Those of a rank of their own
+  leave: their windows are unique. Equal stretches of one rank are repeated
+  as a whole; one of them, home, goes on for all.
+* Prefix doubling on the others: Spark sorts them by (rank of the prefix,
+  name of the bytes at the offset where it ends), for the growing lengths
+  ``AFTER``, and ranks them anew. Those of a rank of their own leave, the
+  others go on until they are past the threshold. The same is done backwards
+  from the gram (``BEFORE``). A window that holds a string of a rank of its
+  own at its anchor is unique.
+* What is left, windows at the ends of repeated stretches, is sorted by
+  (rank of the anchor's gram, name of the window) together with the homes'
+  windows, so that no copy of a window is missed.
 
 Names are 64-bit hashes; two strings are taken as equal if the gram and all
 further parts agree: two names for a window. Sorted tables are range
@@ -35,6 +36,7 @@ table has no rows. Further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -46,10 +48,9 @@ from tabkit.scratch import Scratch
 
 LENGTH = 200
 GRAM = 50
-# Lengths from an anchor that are ranked; the last one holds every window from an anchor to the next.
-AFTER = (75, 100, 125, 150, LENGTH, 275, 2 * LENGTH - GRAM + 1)
-# Lengths before an anchor that are ranked together with its gram.
-BEFORE = (25, 50, 75, 100, 125, LENGTH - GRAM)
+# Lengths from an anchor, and before it together with its gram, that are ranked; no window reaches farther.
+AFTER = (75, 100, 150, LENGTH)
+BEFORE = (25, 50, 100, LENGTH - GRAM)
 # Bytes of text worked on at a time.
 CHUNK_BYTES = 1 << 20
 
@@ -93,80 +94,76 @@ def _row_of(offsets: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.searchsorted(offsets, at, "right") - 1
 
 
-def grams(texts: DataFrame) -> DataFrame:
-    """``(tid, at, name)``: the gram of each anchor."""
+def stretches(texts: DataFrame) -> DataFrame:
+    """``(tid, at, lo, hi, name, stretch)`` of each anchor: the first and last
+    start of its windows, the names of its gram and of its stretch."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             for lo, hi, data, off in X.chunked(batch.column(1), CHUNK_BYTES):
-                at = np.unique(anchors(data, off)[1])
+                starts, own = anchors(data, off)
+                first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])[:len(own)]))
+                at, begin, end = own[first], starts[first], starts[np.append(first[1:], len(starts))[:len(first)] - 1]
                 row = _row_of(off, at)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(row)), pa.array((at - off[row]).astype(np.int32)), pa.array(X.as_long(X.span_hashes(data, at, at + GRAM)))], names=["tid", "at", "name"])
+                name = X.span_hashes(data, begin, end + LENGTH) ^ X.mix((at - begin).astype(_U))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(row)), *(pa.array((x - off[row]).astype(np.int32)) for x in (at, begin, end)),
+                                                  pa.array(X.as_long(X.span_hashes(data, at, at + GRAM))), pa.array(X.as_long(name))], names=["tid", "at", "lo", "hi", "name", "stretch"])
         X.release()
 
-    return texts.select("tid", "text").mapInArrow(run, "tid long, at int, name long")
+    return texts.select("tid", "text").mapInArrow(run, "tid long, at int, lo int, hi int, name long, stretch long")
 
 
 def neighbourhoods(candidates: DataFrame) -> DataFrame:
-    """``(tid, at, gram, room_after, room_before, after0 .., before0 ..)``: the
-    names of the bytes between the steps, as far as the text goes."""
+    """``(tid, at, gram, home, after0 .., before0 ..)``: the names of the
+    bytes between the steps, null where the text ends before."""
     names = [f"after{k}" for k in range(len(AFTER))] + [f"before{k}" for k in range(len(BEFORE))]
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        def named(data, a, b, inside):
+            return pa.array(X.as_long(X.span_hashes(data, np.where(inside, a, 0), np.where(inside, b, 0))), mask=~inside)
+
         for batch in batches:
             for lo, hi, data, off in X.chunked(batch.column(1), CHUNK_BYTES):
-                at, (gram,) = _places(batch.column(2).slice(lo, hi - lo), off)
+                at, (_, _, gram, home) = _places(batch.column(2).slice(lo, hi - lo), off)
                 row = _row_of(off, at)
                 start, end = off[row], off[row + 1]
-                parts = [X.span_hashes(data, np.minimum(at + a, end), np.minimum(at + b, end)) for a, b in zip((GRAM, *AFTER), AFTER)]
-                parts += [X.span_hashes(data, np.maximum(at - b, start), np.maximum(at - a, start)) for a, b in zip((0, *BEFORE), BEFORE)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(row)), *(pa.array(x.astype(np.int32)) for x in (at - start, gram, end - at, at - start)),
-                                                  *(pa.array(X.as_long(p)) for p in parts)], schema=pa.schema([("tid", pa.int64()), ("at", pa.int32()), ("gram", pa.int64()), ("room_after", pa.int32()), ("room_before", pa.int32()), *((n, pa.int64()) for n in names)]))
+                parts = [named(data, at + a, at + b, at + b <= end) for a, b in zip((GRAM, *AFTER), AFTER)]
+                parts += [named(data, at - b, at - a, at - b >= start) for a, b in zip((0, *BEFORE), BEFORE)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(row)), pa.array((at - start).astype(np.int32)), pa.array(gram), pa.array(home > 0), *parts], names=["tid", "at", "gram", "home", *names])
         X.release()
 
-    return candidates.select("tid", "text", "places").mapInArrow(run, "tid long, at int, gram long, room_after int, room_before int, " + ", ".join(f"{n} long" for n in names))
-
+    return candidates.select("tid", "text", "places").mapInArrow(run, "tid long, at int, gram long, home boolean, " + ", ".join(f"{n} long" for n in names))
 
-def _classes(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The keys that stand in two rows or more, with one of their places."""
-    return rows.groupBy(*keys).agg(F.count("*").alias("times"), F.min(F.struct("tid", "at")).alias("home")).where("times > 1")
 
+def _known(rows: DataFrame, classes: DataFrame, keys: list[str], how: str, times: DataFrame) -> DataFrame:
+    return salted_join(rows, classes, keys, how, hot_rows=HOT_ROWS, hot=times.where(F.col("times") >= HOT_ROWS).select(*keys))
 
-def _known(rows: DataFrame, classes: DataFrame, keys: list[str], how: str, times: DataFrame | None = None) -> DataFrame:
-    hot = (classes if times is None else times).where(F.col("times") >= HOT_ROWS).select(*keys)
-    return salted_join(rows, classes, keys, how, hot_rows=HOT_ROWS, hot=hot)
 
-
-def rerank(rows: DataFrame, keys: list[str], how: str, s: Scratch, name: str) -> DataFrame:
+def rerank(rows: DataFrame, keys: list[str], how: str, s: Scratch, name: str, *measures) -> DataFrame:
     """``rows`` with the ``rank`` of their keys among those that stand in two
-    rows or more (null, or left out, for keys of one row) and its ``home``."""
-    classes = s.table(_classes(rows, keys), f"{name}-classes")
+    rows or more (null, or left out, for keys of one row) and the measures."""
+    classes = s.table(rows.groupBy(*keys).agg(F.count("*").alias("times"), *measures).where("times > 1"), f"{name}-classes")
     ranked = rank_within(classes.withColumn("all", F.lit(0)), "all", [F.col(c).asc() for c in keys], s, f"{name}-sorted")
     return _known(rows, ranked.drop("all", "total", "times"), keys, how, classes)
 
 
-def settle(around: DataFrame, side: str, steps: tuple, first: int, s: Scratch) -> DataFrame:
-    """``(tid, at, gram, same, alone, shown)``: going on from the gram to one
-    side, ``same`` bytes are repeated, ``alone`` are not (0: not known), and
-    the windows in the first ``shown`` bytes stand for all of a rank."""
-    done = None
-    room = f"room_{side}"
-    left = around.select("tid", "at", "gram", room, F.col("gram").alias("known"), F.lit(first).alias("same"), F.lit(0).alias("shown"), *(f"{side}{k}" for k in range(len(steps))))
+def unique_lengths(around: DataFrame, side: str, steps: tuple, s: Scratch) -> DataFrame:
+    """``(tid, at, alone)``: the shortest of ``steps`` up to which the bytes to
+    one side of the gram are like no other's. Anchors that reach the text's
+    end or the last step before that have no row, nor have homes."""
+    done = []
+    left = around.select("tid", "at", "home", F.col("gram").alias("known"), *(f"{side}{k}" for k in range(len(steps))))
     for k, step in enumerate(steps):
-        seen = rerank(left, ["known", f"{side}{k}"], "left", s, f"{side}{k}")
-        reach = F.least(room, F.lit(step))
-        is_home = (F.col("home.tid") == F.col("tid")) & (F.col("home.at") == F.col("at")) & (reach >= LENGTH)
-        seen = s.table(seen.select("tid", "at", "gram", room, *(f"{side}{j}" for j in range(k + 1, len(steps))), F.col("rank").alias("known"),
-                                   F.when(F.col("rank").isNull(), F.col("same")).otherwise(reach).alias("same"), F.when(is_home, reach).otherwise(F.col("shown")).alias("shown")), f"{side}{k}")
-        s.drop(f"{side}{k}-classes", f"{side}{k}-sorted")
-        ended = seen.where("known is null").select("tid", "at", "gram", "same", F.when(F.col(room) >= step, step).otherwise(0).alias("alone"), "shown")
-        done = ended if done is None else done.unionByName(ended)
+        seen = rerank(left.where(F.col(f"{side}{k}").isNotNull()), ["known", f"{side}{k}"], "left", s, f"{side}{k}")
+        seen = s.table(seen.select("tid", "at", "home", *(f"{side}{j}" for j in range(k + 1, len(steps))), F.col("rank").alias("known")), f"{side}{k}")
+        done.append(s.table(seen.where("known is null and not home").select("tid", "at", F.lit(step).alias("alone")), f"{side}{k}-alone"))
+        s.drop(f"{side}{k}-classes", f"{side}{k}-sorted", *([f"{side}{k - 1}"] if k else []))
         left = seen.where("known is not null")
-    return done.unionByName(left.select("tid", "at", "gram", "same", F.lit(0).alias("alone"), "shown"))
+    return reduce(DataFrame.unionByName, done)
 
 
 def _places(lists, off: np.ndarray):
@@ -178,35 +175,27 @@ def _places(lists, off: np.ndarray):
 
 
 def open_windows(candidates: DataFrame) -> DataFrame:
-    """``(tid, at, gram, name)``: the windows that the settled strings leave
-    open, and those that stand for settled ones."""
+    """``(tid, at, home, gram, name)``: the windows of the listed anchors that
+    hold no string which is known to be unique."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             for lo, hi, data, off in X.chunked(batch.column(1), CHUNK_BYTES):
-                starts, own = anchors(data, off)
-                place, (same, alone, before, shown, gram) = _places(batch.column(2).slice(lo, hi - lo), off)
-                none = len(data) + LENGTH
-                unique_to, unique_from, reach, rank = np.full(len(data) + 1, GRAM), np.full(len(data) + 1, none), np.zeros(len(data) + 1, np.int64), np.zeros(len(data) + 1, np.int64)
-                unique_to[place] = np.where(alone > 0, alone, none)
-                unique_from[place] = np.where(before > 0, before, none)
-                reach[place] = place + same
-                rank[place] = gram
-                reach = np.maximum.accumulate(reach)
-                take = (starts + LENGTH < own + unique_to[own]) & (starts > own - unique_from[own]) & (reach[starts] < starts + LENGTH)
-                first, n = place[shown > 0], shown[shown > 0] - LENGTH + 1
-                stand = np.zeros(len(data) + 2, np.int64)
-                np.add.at(stand, first, 1)
-                np.add.at(stand, first + n, -1)
-                take |= np.cumsum(stand)[starts] > 0
-                at, rank = starts[take], rank[own[take]]
-                row = _row_of(off, at)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(row)), pa.array((at - off[row]).astype(np.int32)), pa.array(rank), pa.array(X.as_long(X.span_hashes(data, at, at + LENGTH)))], names=["tid", "at", "gram", "name"])
+                place, (first, last, gram, home, after, before) = _places(batch.column(2).slice(lo, hi - lo), off)
+                row = _row_of(off, place)
+                first, last = first + off[row], last + off[row]
+                first = np.where(before > 0, np.maximum(first, place - before + 1), first)
+                last = np.where(after > 0, np.minimum(last, place + after - LENGTH - 1), last)
+                n = np.maximum(last - first + 1, 0)
+                at = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+                row, gram, home = (np.repeat(x, n) for x in (row, gram, home))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(pa.array(row)), pa.array((at - off[row]).astype(np.int32)), pa.array(home > 0), pa.array(gram),
+                                                  pa.array(X.as_long(X.span_hashes(data, at, at + LENGTH)))], names=["tid", "at", "home", "gram", "name"])
         X.release()
 
-    return candidates.select("tid", "text", "settled").mapInArrow(run, "tid long, at int, gram long, name long")
+    return candidates.select("tid", "text", "places").mapInArrow(run, "tid long, at int, home boolean, gram long, name long")
 
 
 def _cut(rows: DataFrame) -> DataFrame:
@@ -218,16 +207,13 @@ def _cut(rows: DataFrame) -> DataFrame:
 
         for batch in batches:
             for i in range(batch.num_rows):
-                n = batch.column(1)[i].as_py()
-                step = np.zeros(n + 1, np.int64)
+                step = np.zeros(batch.column(1)[i].as_py() + 1, np.int64)
                 settled = batch.column(2).slice(i, 1).flatten()
-                place, same = (settled.field(j).to_numpy(zero_copy_only=False).astype(np.int64) for j in (0, 1))
-                long = same >= LENGTH
+                lo, hi = (settled.field(j).to_numpy(zero_copy_only=False).astype(np.int64) for j in (0, 1))
                 at = batch.column(3).slice(i, 1).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                np.add.at(step, np.concatenate((place[long], at)), 1)
-                np.add.at(step, np.concatenate((place[long] + same[long], at + LENGTH)), -1)
-                gone = np.cumsum(step) > 0
-                edge = np.flatnonzero(np.diff(np.concatenate(([False], gone))))
+                np.add.at(step, np.concatenate((lo, at)), 1)
+                np.add.at(step, np.concatenate((hi, at)) + LENGTH, -1)
+                edge = np.flatnonzero(np.diff(np.concatenate(([False], np.cumsum(step) > 0))))
                 spans = pa.StructArray.from_arrays([pa.array(edge[::2].astype(np.int32)), pa.array(edge[1::2].astype(np.int32))], names=["start", "end"])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.ListArray.from_arrays(pa.array([0, len(spans)], pa.int32()), spans)], names=["tid", "spans"])
         X.release()
@@ -235,6 +221,11 @@ def _cut(rows: DataFrame) -> DataFrame:
     return rows.select("tid", "n_bytes", "settled", "windows").mapInArrow(run, "tid long, spans array<struct<start:int,end:int>>")
 
 
+def _of_text(rows: DataFrame, name: str, *cols) -> DataFrame:
+    """One row a text with the list of its rows, at most as many as its bytes."""
+    return rows.groupBy("tid").agg(F.collect_list(F.struct(*cols) if len(cols) > 1 else F.col(cols[0])).alias(name))
+
+
 def repeated_bytes(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(rows, spans)``: ``docs`` with ``digest`` and ``n_bytes`` of the text,
     and ``(digest, copies, text, spans)`` of the texts that lose bytes."""
@@ -243,21 +234,34 @@ def repeated_bytes(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame,
     rows = docs.withColumn("digest", F.sha2(text, 256)).withColumn("n_bytes", F.octet_length(text).cast("long"))
     texts = s.table(rows.select("digest", text.alias("text")).where(F.octet_length(text) >= LENGTH).groupBy("digest").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
                     .withColumn("tid", F.monotonically_increasing_id()), "texts")
-    repeated = rerank(s.table(grams(texts), "grams"), ["name"], "inner", s, "gram")
-    places = repeated.groupBy("tid").agg(F.collect_list(F.struct("at", F.col("rank").alias("gram"))).alias("places"))  # at most a text's anchors
-    candidates = s.table(texts.select("tid", "text").join(places, "tid"), "candidates")
-    s.drop("grams", "gram-classes", "gram-sorted")
+
+    repeated = s.table(rerank(s.table(stretches(texts), "stretches"), ["name"], "inner", s, "gram").drop("name").withColumnRenamed("rank", "gram"), "repeated")
+    s.drop("stretches", "gram-classes", "gram-sorted")
+    ranked = s.table(rerank(repeated, ["gram", "stretch"], "left", s, "stretch", F.min(F.struct("tid", "at")).alias("first")), "ranked")
+    s.drop("repeated", "stretch-classes", "stretch-sorted")
+    settled = s.table(_of_text(ranked.where("rank is not null"), "settled", "lo", "hi"), "settled")
+    single = ranked.where("rank is null").select("tid", "at", "lo", "hi", "gram", F.lit(0).alias("home"))
+    homes = ranked.where((F.col("first.tid") == F.col("tid")) & (F.col("first.at") == F.col("at"))).select("tid", "at", "lo", "hi", "gram", F.lit(1).alias("home"))
+    counts = single.groupBy("gram").agg(F.count("*").alias("times"))
+    going = s.table(single.unionByName(_known(homes, counts.select("gram"), ["gram"], "inner", homes.groupBy("gram").agg(F.count("*").alias("times")))), "going")
+    s.drop("ranked")
+    place = ("at", "lo", "hi", "gram", "home")
+    candidates = s.table(texts.select("tid", "text").join(_of_text(going, "places", *place), "tid"), "candidates")
+
     around = s.table(neighbourhoods(candidates), "around")
-    after = settle(around, "after", AFTER, GRAM, s).withColumn("before", F.lit(0))
-    before = settle(around, "before", BEFORE, 0, s).select("tid", "at", "gram", F.lit(0).alias("same"), F.col("alone").alias("before"), F.lit(0).alias("alone"), F.lit(0).alias("shown"))
-    both = after.unionByName(before).groupBy("tid", "at", "gram").agg(*(F.max(c).alias(c) for c in ("same", "alone", "before", "shown")))
-    settled = s.table(both.groupBy("tid").agg(F.collect_list(F.struct("at", "same", "alone", "before", "shown", "gram")).alias("settled")), "settled")
-    windows = s.table(open_windows(candidates.select("tid", "text").join(settled, "tid")), "windows")
+    after, before = (unique_lengths(around, side, steps, s).withColumnRenamed("alone", side) for side, steps in (("after", AFTER), ("before", BEFORE)))
+    s.drop("around")
+    limits = going.join(after, ["tid", "at"], "left").join(before, ["tid", "at"], "left").select("tid", *place, *(F.coalesce(c, F.lit(0)).alias(c) for c in ("after", "before")))
+    windows = s.table(open_windows(candidates.select("tid", "text").join(_of_text(limits, "places", *place, "after", "before"), "tid")), "windows")
+    s.drop("going", "candidates")
     keys = ["gram", "name"]
-    hits = _known(windows, s.table(_classes(windows, keys).select(*keys, "times"), "repeated"), keys, "inner").groupBy("tid").agg(F.collect_list("at").alias("windows"))  # at most a text's bytes
-    sizes = candidates.select("tid", F.octet_length("text").alias("n_bytes"))
-    spans = _cut(sizes.join(settled, "tid").join(hits, "tid", "left").withColumn("windows", F.coalesce("windows", F.expr("cast(array() as array<int>)"))))
-    lost = s.table(spans.where(F.size("spans") > 0), "lost")
+    twice = s.table(windows.groupBy(*keys).agg(F.sum(F.when(F.col("home"), 2).otherwise(1)).alias("times")).where("times > 1"), "twice")
+    hits = s.table(_of_text(_known(windows.where("not home"), twice, keys, "inner", twice), "windows", "at"), "hits")
+    s.drop("windows", "twice")
+
+    sizes = texts.where("copies = 1").select("tid", F.octet_length("text").alias("n_bytes"))
+    spans = sizes.join(settled, "tid", "left").join(hits, "tid", "left").where("settled is not null or windows is not null")
+    lost = s.table(_cut(spans.select("tid", "n_bytes", F.coalesce("settled", F.expr("cast(array() as array<struct<lo:int,hi:int>>)")).alias("settled"), F.coalesce("windows", F.expr("cast(array() as array<int>)")).alias("windows"))), "lost")
     whole = texts.where("copies > 1").withColumn("spans", F.array(F.struct(F.lit(0).alias("start"), F.octet_length("text").alias("end"))))
     return rows, whole.select("digest", "copies", "text", "spans").unionByName(texts.where("copies = 1").join(lost, "tid").select("digest", "copies", "text", "spans"))
 
