@@ -42,15 +42,14 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from tabkit.llm import textops as X
-from tabkit.llm.ranks import rank_within
 from tabkit.plans.skew import salted_join
 from tabkit.scratch import Scratch
 
 LENGTH = 200
 GRAM = 50
 # Lengths from an anchor, and before it together with its gram, that are ranked; no window reaches farther.
-AFTER = (75, 100, 150, LENGTH)
-BEFORE = (25, 50, 100, LENGTH - GRAM)
+AFTER = (100, 150, LENGTH)
+BEFORE = (50, 100, LENGTH - GRAM)
 # Bytes of text worked on at a time.
 CHUNK_BYTES = 1 << 20
 
@@ -147,8 +146,9 @@ def rerank(rows: DataFrame, keys: list[str], how: str, s: Scratch, name: str, *m
     """``rows`` with the ``rank`` of their keys among those that stand in two
     rows or more (null, or left out, for keys of one row) and the measures."""
     classes = s.table(rows.groupBy(*keys).agg(F.count("*").alias("times"), *measures).where("times > 1"), f"{name}-classes")
-    ranked = rank_within(classes.withColumn("all", F.lit(0)), "all", [F.col(c).asc() for c in keys], s, f"{name}-sorted")
-    return _known(rows, ranked.drop("all", "total", "times"), keys, how, classes)
+    # sorted over all tasks, so these numbers rise with the keys
+    ranked = s.table(classes.orderBy(*keys).withColumn("rank", F.monotonically_increasing_id()), f"{name}-sorted")
+    return _known(rows, ranked.drop("times"), keys, how, classes)
 
 
 def unique_lengths(around: DataFrame, side: str, steps: tuple, s: Scratch) -> DataFrame:
