@@ -1,5 +1,5 @@
-"""Distribution functions for p-values (scalar Python, used inside a pandas
-UDF on the one-row-per-group test results; no SciPy needed).
+"""Distribution functions for single numbers on the driver (no SciPy needed):
+the scalar forms of the column expressions in ``tails.py``.
 
 Regularised incomplete beta by its continued fraction (modified Lentz),
 regularised incomplete gamma by series / continued fraction. An expansion

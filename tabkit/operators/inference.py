@@ -2,8 +2,8 @@
 
 Each test reduces the table to a few numbers per group with one or two
 aggregations (counts, means, variances, ranks from the frequency table);
-the p-value is then a scalar finish done by an Arrow-batched pandas UDF on
-that one-row-per-group result, so no data goes through the driver.
+the p-value is then a column expression over that one-row-per-group result
+(``functions/tails.py``): no Python worker and no data on the driver.
 Output: one row per group with ``statistic``, degrees of freedom,
 ``p_value`` and the test's estimates.
 """
@@ -12,46 +12,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql import types as T
 
-from tabkit.functions import dist
+from tabkit.functions import tails
 from tabkit.functions.normal import norm_cdf, norm_ppf
 from tabkit.operators.describe import quantiles
-from tabkit.operators.order import _list, join_on_keys, ranked_values, with_mid_rank
+from tabkit.operators.order import _list, join_on_keys, ranked_counts, ranked_values
 from tabkit.plans.scalars import with_one_row
 from tabkit.plans.sizing import broadcast_if_bounded
-
-
-@F.pandas_udf(T.DoubleType())
-def _t_p(t: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([dist.t_sf2(a, b) if pd.notna(a) and pd.notna(b) else None
-                      for a, b in zip(t, df)], dtype="float64")
-
-
-@F.pandas_udf(T.DoubleType())
-def _t_q(p: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([dist.t_ppf(a, b) if pd.notna(a) and pd.notna(b) and b > 0 else None
-                      for a, b in zip(p, df)], dtype="float64")
-
-
-@F.pandas_udf(T.DoubleType())
-def _chi2_p(x: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([dist.chi2_sf(a, b) if pd.notna(a) and pd.notna(b) else None
-                      for a, b in zip(x, df)], dtype="float64")
-
-
-@F.pandas_udf(T.DoubleType())
-def _f_p(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    return pd.Series([dist.f_sf(a, b, c) if pd.notna(a) else None
-                      for a, b, c in zip(f, d1, d2)], dtype="float64")
-
-
-@F.pandas_udf(T.DoubleType())
-def _lillie_p(d: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series([dist.lilliefors_p(a, int(b)) if pd.notna(a) and pd.notna(b) else None
-                      for a, b in zip(d, n)], dtype="float64")
+from tabkit.plans.skew import salted_join
+from tabkit.session import checkpoint_dir
 
 
 def _z(conf: float) -> float:
@@ -94,14 +64,26 @@ def pearson_stats(df: DataFrame, a: str, b: str, keys: Sequence[str] | None = No
 
 def pearson_test(df: DataFrame, a: str, b: str, keys=None, conf: float = 0.95) -> DataFrame:
     s = pearson_stats(df, a, b, keys, conf)
-    return s.withColumn("p_value", _t_p(F.col("statistic"), F.col("df").cast("double")))
-
-
-def spearman_stats(df: DataFrame, a: str, b: str) -> DataFrame:
-    """rho = Pearson correlation of tie-averaged ranks; S = (n^3-n)(1-rho)/6."""
-    both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(a, b)
-    ranked = with_mid_rank(with_mid_rank(both, a, out_col="_ra"), b, out_col="_rb")
-    g = ranked.agg(F.count(F.lit(1)).alias("n"), _corr("_ra", "_rb").alias("rho"))
+    return s.withColumn("p_value", tails.t_two_sided(F.col("statistic"), F.col("df").cast("double")))
+
+
+def spearman_stats(df: DataFrame, a: str, b: str, hot_rows: int = 1_000_000) -> DataFrame:
+    """rho = Pearson correlation of tie-averaged ranks; S = (n^3-n)(1-rho)/6.
+
+    The table is read once, into counts of its distinct pairs; both columns
+    are ranked from these counts, and the correlation is weighted by them."""
+    checkpoint_dir(df.sparkSession)
+    pairs = (df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("_a"), F.col(b).alias("_b"))
+             .agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True))
+    joined = pairs
+    for c in ("_a", "_b"):
+        ranks = ranked_counts(pairs.groupBy(c).agg(F.sum("_c").alias("n")), c)
+        centred = ranks.select(c, (F.col("mid_rank") - (F.col("total") + 1) / 2.0).alias(f"_r{c}"))
+        hot = pairs.groupBy(c).agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") >= hot_rows).select(c)
+        joined = salted_join(joined, centred, [c], "inner", hot_rows, hot=hot)
+    x, y, w = F.col("_r_a"), F.col("_r_b"), F.col("_c")
+    g = joined.agg(F.sum(w).alias("n"), F.sum(w * x * y).alias("_xy"), F.sum(w * x * x).alias("_xx"), F.sum(w * y * y).alias("_yy"))
+    g = g.select(F.coalesce("n", F.lit(0)).alias("n"), F.try_divide(F.col("_xy"), F.sqrt("_xx") * F.sqrt("_yy")).alias("rho"))
     n, rho = F.col("n").cast("double"), F.col("rho")
     return g.select(F.col("n").cast("bigint").alias("n"), rho.alias("estimate"),
                     ((n * n * n - n) * (1 - rho) / 6).alias("statistic"),
@@ -111,7 +93,7 @@ def spearman_stats(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def spearman_test(df: DataFrame, a: str, b: str) -> DataFrame:
     s = spearman_stats(df, a, b)
-    return s.withColumn("p_value", _t_p(F.col("t"), F.col("df").cast("double")))
+    return s.withColumn("p_value", tails.t_two_sided(F.col("t"), F.col("df").cast("double")))
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -130,7 +112,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     n, r = F.col("n"), F.col("r")
     out = out.select("var1", "var2", "n", "r", _r_to_t(r, n).alias("t"),
                      (n - 2).alias("df"))
-    return out.withColumn("p_value", _t_p(F.col("t"), F.col("df").cast("double")))
+    return out.withColumn("p_value", tails.t_two_sided(F.col("t"), F.col("df").cast("double")))
 
 
 # ---- chi-squared ---------------------------------------------------------------
@@ -157,7 +139,7 @@ def chisq_stats(counts: DataFrame, row: str, col: str, n_col: str = "n",
 
 def chisq_test(counts: DataFrame, row: str, col: str, n_col: str = "n", correct: bool = True) -> DataFrame:
     s = chisq_stats(counts, row, col, n_col, correct)
-    return s.withColumn("p_value", _chi2_p(F.col("statistic"), F.col("df").cast("double")))
+    return s.withColumn("p_value", tails.chi2_upper(F.col("statistic"), F.col("df").cast("double")))
 
 
 # ---- two-sample t, ANOVA and variance homogeneity ------------------------------
@@ -182,9 +164,9 @@ def welch_stats(df: DataFrame, value: str, group: str, levels: Sequence) -> Data
 
 def welch_test(df: DataFrame, value: str, group: str, levels: Sequence, conf: float = 0.95) -> DataFrame:
     s = welch_stats(df, value, group, levels)
-    q = _t_q(F.lit(0.5 + conf / 2), F.col("df"))
+    q = tails.t_quantile(F.lit(0.5 + conf / 2), F.col("df"))
     diff = F.col("mean_x") - F.col("mean_y")
-    return (s.withColumn("p_value", _t_p(F.col("statistic"), F.col("df")))
+    return (s.withColumn("p_value", tails.t_two_sided(F.col("statistic"), F.col("df")))
             .withColumn("_q", q)
             .withColumn("conf_low", diff - F.col("_q") * F.col("stderr"))
             .withColumn("conf_high", diff + F.col("_q") * F.col("stderr")).drop("_q"))
@@ -211,8 +193,8 @@ def anova_stats(df: DataFrame, value: str, group: str) -> DataFrame:
 
 def anova_test(df: DataFrame, value: str, group: str) -> DataFrame:
     s = anova_stats(df, value, group)
-    return s.withColumn("p_value", _f_p(F.col("statistic"), F.col("df_between").cast("double"),
-                                        F.col("df_within").cast("double")))
+    return s.withColumn("p_value", tails.f_upper(F.col("statistic"), F.col("df_between").cast("double"),
+                                                 F.col("df_within").cast("double")))
 
 
 def _abs_dev_from_median(df: DataFrame, value: str, group: str) -> DataFrame:
@@ -234,8 +216,9 @@ def fligner_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     """Fligner-Killeen (median-centred): a = qnorm((1 + rank|x - med| / (n+1)) / 2),
     statistic = (sum_j S_j^2 / n_j - n * mean(a)^2) / var(a), df = k - 1."""
     dev = _abs_dev_from_median(df, value, group)
-    counts = dev.groupBy(group, "_dev").agg(F.count(F.lit(1)).alias("_c"))
-    ranks = ranked_values(dev, "_dev").select("_dev", "mid_rank", "total")
+    checkpoint_dir(df.sparkSession)
+    counts = dev.groupBy(group, "_dev").agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)  # one pass for ranks and sums
+    ranks = ranked_counts(counts.groupBy("_dev").agg(F.sum("_c").alias("n")), "_dev").select("_dev", "mid_rank", "total")
     a, c = F.col("_a"), F.col("_c")
     per = (counts.join(ranks, "_dev")
            .withColumn("_a", norm_ppf((1 + F.col("mid_rank") / (F.col("total") + 1)) / 2))
@@ -251,7 +234,7 @@ def fligner_stats(df: DataFrame, value: str, group: str) -> DataFrame:
 
 def fligner_test(df: DataFrame, value: str, group: str) -> DataFrame:
     s = fligner_stats(df, value, group)
-    return s.withColumn("p_value", _chi2_p(F.col("statistic"), F.col("df").cast("double")))
+    return s.withColumn("p_value", tails.chi2_upper(F.col("statistic"), F.col("df").cast("double")))
 
 
 # ---- normality -------------------------------------------------------------------
@@ -279,4 +262,4 @@ def lilliefors_stats(df: DataFrame, value: str, keys: Sequence[str] | None = Non
 
 def lilliefors_test(df: DataFrame, value: str, keys: Sequence[str] | None = None) -> DataFrame:
     s = lilliefors_stats(df, value, keys)
-    return s.withColumn("p_value", _lillie_p(F.col("statistic"), F.col("n").cast("double")))
+    return s.withColumn("p_value", tails.lilliefors_p(F.col("statistic"), F.col("n").cast("double")))

@@ -127,9 +127,15 @@ def ranked_values(df: DataFrame, col: str, keys: Sequence[str] | None = None,
                   partitions: int | None = None) -> DataFrame:
     """Distinct non-null values with ``n``, ``before`` (rows strictly below),
     ``cum_n``, ``total`` and the mid-rank ``before + (n + 1) / 2``."""
+    return ranked_counts(value_counts(df, col, _list(keys), drop_null=True), col, keys, partitions)
+
+
+def ranked_counts(counts: DataFrame, col: str, keys: Sequence[str] | None = None,
+                  partitions: int | None = None) -> DataFrame:
+    """``ranked_values`` of a table of ``(keys..., col, n)`` that is counted
+    already (col is not null, one row a value and group)."""
     keys = _list(keys)
-    vc = value_counts(df, col, keys, drop_null=True)
-    rs = running_sum(vc, "n", [col], keys, "cum_n", partitions)
+    rs = running_sum(counts, "n", [col], keys, "cum_n", partitions)
     return rs.select(*keys, col, "n", "cum_n", (F.col("cum_n") - F.col("n")).alias("before"),
                      F.col("_total").alias("total"),
                      ((F.col("cum_n") - F.col("n")) + (F.col("n") + 1) / 2.0).alias("mid_rank"))
