@@ -72,14 +72,29 @@ def _quantiles_ranked(r: DataFrame, col: str, probs, keys, names) -> DataFrame:
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float],
               keys: Sequence[str] | None = None, names: Sequence[str] | None = None,
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, approx: float | None = None) -> DataFrame:
     """Exact type-7 quantiles (linear interpolation between order
-    statistics), one row per group with one column per probability."""
+    statistics), one row per group with one column per probability.
+
+    ``approx`` is a rank error: each answer is then a value of the column
+    whose rank is at most ``approx * n`` from the wanted one, from a mergeable
+    sketch of about ``1 / approx`` values, in one aggregate without ranks."""
     keys = _list(keys)
     names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
+    if approx is not None:
+        g = df.groupBy(*keys).agg(sketch_quantiles(col, probs, approx).alias("_q"))
+        return g.select(*keys, *(F.col("_q")[i].alias(n) for i, n in enumerate(names)))
     return _quantiles_ranked(ranked_values(df, col, keys, partitions), col, probs, keys, names)
 
 
+def sketch_quantiles(col: str, probs: Sequence[float], error: float):
+    """Aggregate: the list of approximate quantiles with a rank error of at
+    most ``error`` (a share of the rows)."""
+    if not 0 < error < 1:
+        raise ValueError("the rank error is a share between 0 and 1")
+    return F.percentile_approx(F.col(col).cast("double"), [float(p) for p in probs], int(1 / error) + 1)
+
+
 def _mode_counts(vc: DataFrame, col: str, keys) -> DataFrame:
     best = F.min(F.struct((-F.col("n")).alias("neg_n"), F.col(col).alias("v")))
     return vc.groupBy(*keys).agg(best.alias("_b")).select(
@@ -128,36 +143,47 @@ def describe_column(df: DataFrame, col: str, keys: Sequence[str] | None = None,
     ).withColumn("trimmed_mean", F.bround("trimmed_mean", digits))
 
 
-def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Stack numeric columns to ``(column, value)``."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-                      for c in cols])
-    return df.select(F.inline(pairs))
+def _numeric(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
+    return list(cols) if cols else [f.name for f in df.schema.fields
+                                    if f.dataType.typeName() in ("integer", "long", "double", "float", "short", "decimal")]
 
 
-def summary_table(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def _measures(df: DataFrame, cols: Sequence[str], aggs: dict, quantile_names: Sequence[str], approx: float | None) -> DataFrame:
+    """``(column, measures...)``, one row per column, from one wide aggregate
+    over the table (no row is multiplied by the columns). Quantiles join it
+    as sketches, or exactly, each column ranked from its own value counts."""
+    wide = [make(F.col(c).cast("double")).alias(f"{name}_{i}") for i, c in enumerate(cols) for name, make in aggs.items()]
+    names = list(aggs)
+    if approx is not None:
+        wide += [sketch_quantiles(c, [0.25, 0.5, 0.75], approx).alias(f"_q_{i}") for i, c in enumerate(cols)]
+    one = df.agg(*wide)
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), *(F.col(f"{n}_{i}").alias(n) for n in names),
+                              *([F.col(f"_q_{i}")[j].alias(q) for j, q in enumerate(quantile_names)] if approx is not None else []))
+                     for i, c in enumerate(cols)])
+    out = one.select(F.inline(rows))
+    if approx is not None:
+        return out
+    exact = None
+    for c in cols:
+        q = quantiles(df.select(F.col(c).cast("double").alias("value")), "value", [0.25, 0.5, 0.75], names=quantile_names)
+        q = q.select(F.lit(c).alias("column"), *quantile_names)
+        exact = q if exact is None else exact.unionByName(q)
+    return out.join(exact, "column", "left")
+
+
+def summary_table(df: DataFrame, cols: Sequence[str] | None = None, approx: float | None = None) -> DataFrame:
     """Six-number summary + NULL count per column, long format
-    ``(column, min, q1, median, mean, q3, max, nulls)``."""
-    cols = list(cols) if cols else [f.name for f in df.schema.fields
-                                    if f.dataType.typeName() in ("integer", "long", "double", "float", "short", "decimal")]
-    lg = _long(df, cols)
-    q = quantiles(lg, "value", [0.25, 0.5, 0.75], ["column"], ["q1", "median", "q3"])
-    a = lg.groupBy("column").agg(F.min("value").alias("min"), F.avg("value").alias("mean"),
-                                 F.max("value").alias("max"),
-                                 F.sum(F.when(F.col("value").isNull(), 1).otherwise(0)).cast("bigint").alias("nulls"))
-    return a.join(q, "column", "left").select("column", "min", "q1", "median", "mean", "q3", "max", "nulls")
+    ``(column, min, q1, median, mean, q3, max, nulls)``. ``approx``: the rank
+    error of sketched quartiles, all columns in one pass."""
+    aggs = {"min": F.min, "mean": F.avg, "max": F.max, "nulls": lambda x: F.count_if(x.isNull()).cast("bigint")}
+    return _measures(df, _numeric(df, cols), aggs, ["q1", "median", "q3"], approx).select("column", "min", "q1", "median", "mean", "q3", "max", "nulls")
 
 
-def describe_table(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, std, min, 25/50/75 %, max per numeric column (long)."""
-    cols = list(cols) if cols else [f.name for f in df.schema.fields
-                                    if f.dataType.typeName() in ("integer", "long", "double", "float", "short", "decimal")]
-    lg = _long(df, cols)
-    q = quantiles(lg, "value", [0.25, 0.5, 0.75], ["column"], ["p25", "p50", "p75"])
-    a = lg.groupBy("column").agg(F.count("value").cast("bigint").alias("count"), F.avg("value").alias("mean"),
-                                 F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-                                 F.max("value").alias("max"))
-    return a.join(q, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+def describe_table(df: DataFrame, cols: Sequence[str] | None = None, approx: float | None = None) -> DataFrame:
+    """count, mean, std, min, 25/50/75 %, max per numeric column (long).
+    ``approx``: the rank error of sketched quartiles, all columns in one pass."""
+    aggs = {"count": lambda x: F.count(x).cast("bigint"), "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    return _measures(df, _numeric(df, cols), aggs, ["p25", "p50", "p75"], approx).select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def missing_total(df: DataFrame) -> DataFrame:

@@ -133,6 +133,35 @@ SQL_DESCRIBE_LINEITEM = _union_per_column(
     "round(quantile_cont({c}, 0.75), 4) AS p75, round(max({c}), 4) AS max FROM lineitem", _LI_NUM)
 
 
+SKETCH_ERROR = 0.002
+_SKETCHED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_SKETCH_PROBS = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
+def q_summary_sketched(spark: SparkSession, sf_dir: str):
+    """The summary from sketches, each quartile held against the exact
+    quantiles one rank error below and above it."""
+    li = table(spark, sf_dir, "lineitem")
+    s = D.summary_table(li, _SKETCHED, approx=SKETCH_ERROR)
+    bounds = None
+    for c in _SKETCHED:
+        # twice the error: interpolated bounds lie up to one row inside
+        probs = [p + e for p in _SKETCH_PROBS.values() for e in (-2 * SKETCH_ERROR, 2 * SKETCH_ERROR)]
+        b = D.quantiles(li, c, probs, names=[f"{n}_{side}" for n in _SKETCH_PROBS for side in ("low", "high")])
+        b = b.withColumn("column", F.lit(c))
+        bounds = b if bounds is None else bounds.unionByName(b)
+    j = s.join(bounds, "column")
+    return rounded(j.select("column", "min", "mean", "max", "nulls", *(f"{n}_{side}" for n in _SKETCH_PROBS for side in ("low", "high")),
+                            *(F.col(n).between(F.col(f"{n}_low"), F.col(f"{n}_high")).alias(f"{n}_within") for n in _SKETCH_PROBS)), 4)
+
+
+SQL_SUMMARY_SKETCHED = "\nUNION ALL\n".join(
+    "SELECT '" + c + f"' AS \"column\", round(min({c}), 4) AS min, round(avg({c}), 4) AS mean, round(max({c}), 4) AS max, count(*) - count({c}) AS nulls, "
+    + ", ".join(f"round(quantile_cont({c}, {p - 2 * SKETCH_ERROR}), 4) AS {n}_low, round(quantile_cont({c}, {p + 2 * SKETCH_ERROR}), 4) AS {n}_high, "
+                f"quantile_cont({c}, {p}) BETWEEN quantile_cont({c}, {p - 2 * SKETCH_ERROR}) AND quantile_cont({c}, {p + 2 * SKETCH_ERROR}) AS {n}_within"
+                for n, p in _SKETCH_PROBS.items()) + " FROM lineitem" for c in _SKETCHED)
+
+
 def q_missing_total(spark: SparkSession, sf_dir: str):
     return D.missing_total(_customer_with_gaps(spark, sf_dir))
 
@@ -335,6 +364,7 @@ QUERIES = {
     "describe_quantity_by_flag": q_describe_quantity_by_flag,
     "summary_lineitem": q_summary_lineitem,
     "describe_lineitem": q_describe_lineitem,
+    "summary_sketched": q_summary_sketched,
     "missing_total": q_missing_total,
     "missing_share": q_missing_share,
     "missing_patterns": q_missing_patterns,
@@ -359,6 +389,7 @@ SQL = {
     "describe_quantity_by_flag": SQL_DESCRIBE_QUANTITY_BY_FLAG,
     "summary_lineitem": SQL_SUMMARY_LINEITEM,
     "describe_lineitem": SQL_DESCRIBE_LINEITEM,
+    "summary_sketched": SQL_SUMMARY_SKETCHED,
     "missing_total": SQL_MISSING_TOTAL,
     "missing_share": SQL_MISSING_SHARE,
     "missing_patterns": SQL_MISSING_PATTERNS,
