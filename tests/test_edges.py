@@ -9,7 +9,7 @@ from tabkit.functions import dist
 from tabkit.functions.columns import py_mod
 from tabkit.operators import charts as V, describe as D, inference as H, multivar as M
 from tabkit.plans.sizing import has_at_most
-from tabkit.plans.skew import salted_join
+from tabkit.plans.skew import hot_hashes, salted_join
 
 
 def normal_sf(z):
@@ -86,3 +86,20 @@ def test_many_hot_keys_and_equal_rows(spark):
 def test_size_check_counts_bytes(spark):
     df = spark.createDataFrame([("x" * 1000,)] * 10, "t string")
     assert has_at_most(df, 10) and not has_at_most(df, 9) and not has_at_most(df, 10, 5000)
+
+
+def test_hot_keys_of_other_types(spark):
+    """Both sides agree on what is hot when their key types differ, and for zeros and NaN."""
+    big = spark.createDataFrame([(k, i) for k in (1, 2, None) for i in range(30)], "k int, v int").repartition(4)
+    small = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (2 ** 40, "far")], "k long, w string")
+    got = salted_join(big, small, "k", "inner", hot_rows=5, salt_buckets=4)
+    assert sorted((str(r.k), r.w) for r in got.select("k", "w").distinct().collect()) == [("1", "a"), ("2", "b"), ("None", "n")] and got.count() == 90
+    nan = float("nan")
+    big = spark.createDataFrame([(x,) for x in (0.0, -0.0, nan) for _ in range(20)], "k double").repartition(3)
+    assert salted_join(big, spark.createDataFrame([(-0.0, 1), (nan, 2)], "k double, w int"), "k", "left", hot_rows=5).where("w is null").isEmpty()
+
+
+def test_heavy_hitters_are_found(spark):
+    big = spark.range(200_000).selectExpr("if(id % 10 = 0, 7, id) AS k").repartition(5)
+    assert hot_hashes(big, "k", 10_000) == [big.where("k = 7").selectExpr("xxhash64(k)").first()[0]]
+    assert hot_hashes(big.limit(0), "k", 1) == []
