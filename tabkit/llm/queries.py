@@ -51,9 +51,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
-    labels = _read(spark, sf_dir, "labels").select("doc_id", "toxic").hint("merge")  # one plan at every size
-    labelled = language_id.learnable(docs, "doc_id", 5, 0).select("doc_id", "text").join(labels, "doc_id")
-    return toxicity.score(docs, toxicity.train(labelled)).select("doc_id", language_id.held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+    learned = toxicity.train_joined(language_id.learnable(docs, "doc_id", 5, 0), _read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, learned).select("doc_id", language_id.held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,6 +40,8 @@ CHUNK_BYTES = 1 << 18
 STEPS = 200
 # The sample is fitted by so few tasks that their gradients are summed without a shuffle.
 FIT_TASKS = 4
+# Bits of the filter that keeps texts without a label out of the exchange.
+FILTER_BITS = 26
 
 _U = np.uint64
 _PLACE = X._stream(31, 16) | _U(1)
@@ -96,11 +98,62 @@ def count_buckets(labelled: DataFrame, text_col: str, label_col: str) -> DataFra
             .groupBy("bucket").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")))
 
 
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """A bitmap in which the leading ``FILTER_BITS`` bits of every ``key`` are set."""
+    bit = F.shiftrightunsigned("key", 64 - FILTER_BITS)
+    words = (keys.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
+             .toArrow())  # at most 2^20 rows
+    bitmap = np.zeros(1 << (FILTER_BITS - 6), _U)
+    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(_U)
+    return bitmap
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, s: Scratch, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """``(text, label)``, once for each distinct text and label.
+
+    Ids, two hashes of the text and labels are joined as narrow rows, and one
+    id is chosen for each text and label. Only texts of chosen rows are
+    shuffled: a bitmap of their keys drops the others before the exchange
+    (its false hits go in the join)."""
+    known = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
+    keyed = known.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"), F.xxhash64(F.lit(1), text_col).alias("h2"))
+    marks = (labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).cast(docs.schema[id_col].dataType).alias("id"), F.col(label_col).cast("int").alias("label"))
+             .distinct().hint("merge"))  # one plan at every size
+    chosen = (keyed.select("id", "h", "h2").join(marks, "id").groupBy("h", "h2", "label").agg(F.min("id").alias("id"))
+              .select("id", "h", "h2", "label", F.xxhash64("id", "h", "h2").alias("key")))
+    chosen = s.table(chosen, "chosen")
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(chosen))
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("text", docs.schema[text_col].dataType)]
+                          + [T.StructField(n, T.LongType()) for n in ("h", "h2", "key")])
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            bit = batch.column("key").to_numpy().view(_U) >> _U(64 - FILTER_BITS)
+            has = shared.value[(bit >> _U(6)).astype(np.int64)] >> (bit & _U(63)) & _U(1)
+            yield batch.filter(pa.array(has.astype(bool)))
+
+    same = ["id", "h", "h2"]
+    texts = keyed.withColumn("key", F.xxhash64(*same)).mapInArrow(run, schema).drop("key").dropDuplicates(same)
+    return texts.join(chosen.drop("key").hint("merge"), same).select("text", "label")
+
+
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
     """``(weight per bucket, intercept)`` learned from rows with a text and a label."""
-    s = Scratch(labelled.sparkSession, "toxicity")
     known = labelled.where(F.col(text_col).isNotNull() & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-    rows = s.table(known.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")).distinct(), "texts")
+    return fit(known.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label")).distinct(), Scratch(labelled.sparkSession, "toxicity"))
+
+
+def train_joined(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
+    """What ``train`` learns from the join of ``docs`` and ``labels`` by ``id_col``."""
+    s = Scratch(docs.sparkSession, "toxicity")
+    return fit(labelled_texts(docs, labels, s, id_col, text_col, label_col), s)
+
+
+def fit(distinct: DataFrame, s: Scratch):
+    """``(weight per bucket, intercept)`` learned from distinct ``(text, label)``."""
+    rows = s.table(distinct, "texts")
     by_label = dict(rows.groupBy("label").count().collect())
     neg, pos = by_label.get(0, 0), by_label.get(1, 0)
     weights = np.zeros(BUCKETS, np.float32)
@@ -118,7 +171,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     buckets, ratios = chosen.column("bucket").to_numpy(), chosen.column("ratio").to_numpy()
     number = np.full(BUCKETS, -1, np.int32)
     number[buckets] = np.arange(len(buckets))
-    spark, size = labelled.sparkSession, len(buckets)
+    spark, size = rows.sparkSession, len(buckets)
     shared = spark.sparkContext.broadcast((number, ratios))
 
     def features(batches: Iterator) -> Iterator:
@@ -143,10 +196,10 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     if not size or not n or not 0 < toxic < n:
         return weights, float(np.log(share / (1 - share)))
     # the sum of the losses + PENALTY / 2 * the squared weights, without the intercept
-    fit = LogisticRegression(family="binomial", regParam=PENALTY / n, standardization=False, maxIter=STEPS).fit(fitted)
-    weights[buckets] = fit.coefficients.toArray() * ratios
+    fitted_model = LogisticRegression(family="binomial", regParam=PENALTY / n, standardization=False, maxIter=STEPS).fit(fitted)
+    weights[buckets] = fitted_model.coefficients.toArray() * ratios
     s.drop("texts", "features")
-    return weights, float(fit.intercept)
+    return weights, float(fitted_model.intercept)
 
 
 def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -221,15 +221,30 @@ def test_toxicity_copies(spark):
     assert np.allclose(buckets["once"], buckets["copied"], atol=1e-4)
 
 
-def test_toxicity_labels_are_never_broadcast(spark, monkeypatch):
-    """The labels are joined by one plan whatever their number."""
-    from tabkit.llm import queries
+def test_toxicity_labelled_texts(spark, docs):
+    """Every distinct (text, label) of the join once, by one plan whatever the number of labels."""
     from tabkit.plans.checks import plan_text
+    from tabkit.scratch import Scratch
 
-    seen = []
-    monkeypatch.setattr(queries.toxicity, "train", lambda labelled: seen.append(labelled) or (np.zeros(toxicity.BUCKETS, np.float32), 0.0))
-    queries.op9_toxicity(spark, "/root/testdata/sf0.001")
-    assert "SortMergeJoin" in plan_text(seen[0]) and "Broadcast" not in plan_text(seen[0])
+    rng = np.random.default_rng(5)
+    rows = [*((r[0], r[1]) for r in ROWS), (2, "another text of id 2"), *((100 + i, f"text {rng.integers(40)}") for i in range(300)), *[(900, "again")] * 50]
+    labels = [(i, int(rng.integers(2))) for i in (*range(6), *range(100, 300, 2))] + [(1, 0), (1, 1), (900, 1), (900, 1), (3, None), (4, 7), (None, 1), (5000, 1)]
+    texts = spark.createDataFrame([(i, t, 9) for i, t in rows], "doc_id long, text string, h int").repartition(5)
+    marks = spark.createDataFrame(labels, "doc_id int, toxic int")
+    got = toxicity.labelled_texts(texts, marks, Scratch(spark, "test"))
+    want = {(t, y) for i, t in rows for j, y in labels if i is not None and i == j and t is not None and y in (0, 1)}
+    found = [tuple(r) for r in got.collect()]
+    assert set(found) == want and len(found) == len(want)
+    assert "BroadcastHashJoin" not in plan_text(got) and "SortMergeJoin" in plan_text(got)
+    assert toxicity.labelled_texts(texts.limit(0), marks, Scratch(spark, "test")).count() == 0
+
+
+def test_toxicity_joined_learns_the_same(spark):
+    rows = [(i, f"you are {'an idiot and scum' if i % 4 == 0 else 'a fine friend'} number {i % 150}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(0, 400, 3)], "doc_id long, toxic int")
+    one, other = toxicity.train(docs.join(labels, "doc_id")), toxicity.train_joined(docs, labels)
+    assert np.allclose(one[0], other[0], atol=1e-5) and abs(one[1] - other[1]) < 1e-5 and one[0].any()
 
 
 def test_language_id_rare_language_beside_a_hot_one(spark):
