@@ -77,3 +77,19 @@ def norm_ppf(p) -> Column:
     tail = F.when(q < 0, -tail).otherwise(tail)
     return (F.when((p <= 0) | (p >= 1) | p.isNull(), F.lit(None).cast("double"))
             .when(F.abs(q) <= 0.425, central).otherwise(tail))
+
+
+def norm_ppf_sql(p: str) -> str:
+    """``norm_ppf`` as an SQL expression of the expression ``p`` in (0, 1)."""
+    def poly(x, coefs):
+        acc = f"{coefs[0]!r}::DOUBLE"
+        for c in coefs[1:]:
+            acc = f"({acc} * {x} + {c!r}::DOUBLE)"
+        return acc
+
+    r1 = f"(0.180625::DOUBLE - ({p} - 0.5) * ({p} - 0.5))"
+    r = f"sqrt(-ln(CASE WHEN {p} <= 0.5 THEN {p} ELSE 1 - {p} END))"
+    mid = f"{poly(f'({r} - 1.6)', _C)} / {poly(f'({r} - 1.6)', _D)}"
+    far = f"{poly(f'({r} - 5.0)', _E)} / {poly(f'({r} - 5.0)', _F)}"
+    return (f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN ({p} - 0.5) * {poly(r1, _A)} / {poly(r1, _B)} "
+            f"ELSE (CASE WHEN {p} < 0.5 THEN -1 ELSE 1 END) * (CASE WHEN {r} <= 5.0 THEN {mid} ELSE {far} END) END")

@@ -186,17 +186,23 @@ def describe_table(df: DataFrame, cols: Sequence[str] | None = None, approx: flo
     return _measures(df, _numeric(df, cols), aggs, ["p25", "p50", "p75"], approx).select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
+def is_missing(df: DataFrame, col: str):
+    """NULL, or NaN in a floating column (``is.na`` is true of both)."""
+    c = F.col(f"`{col}`")
+    return c.isNull() | F.isnan(c) if df.schema[col].dataType.typeName() in ("double", "float") else c.isNull()
+
+
 def missing_total(df: DataFrame) -> DataFrame:
-    """Total NULL cells of the table (one row)."""
-    return df.agg(sum((F.sum(F.col(c).isNull().cast("bigint")) for c in df.columns),
+    """Total NULL or NaN cells of the table (one row; 0 for an empty table)."""
+    return df.agg(sum((F.count_if(is_missing(df, c)) for c in df.columns),
                       F.lit(0).cast("bigint")).alias("missing_cells"))
 
 
 def missing_share(df: DataFrame) -> DataFrame:
-    """Share of NULLs per column, long ``(column, missing, share)``."""
-    a = df.agg(*[F.sum(F.col(c).isNull().cast("bigint")).alias(c) for c in df.columns],
+    """Share of NULL or NaN cells per column, long ``(column, missing, share)``."""
+    a = df.agg(*[F.count_if(is_missing(df, c)).alias(f"_m{i}") for i, c in enumerate(df.columns)],
                F.count(F.lit(1)).alias("_n"))
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("missing")) for c in df.columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_m{i}").alias("missing")) for i, c in enumerate(df.columns)])
     return a.select(F.inline(pairs), "_n").select(
         "column", "missing", F.try_divide(F.col("missing"), F.col("_n")).alias("share"))
 
@@ -204,7 +210,7 @@ def missing_share(df: DataFrame) -> DataFrame:
 def missing_patterns(df: DataFrame) -> DataFrame:
     """Rows per combination of missing columns: one boolean column per
     input column (``<col>_missing``) and ``n``."""
-    flags = [F.col(c).isNull().alias(f"{c}_missing") for c in df.columns]
+    flags = [is_missing(df, c).alias(f"{c}_missing") for c in df.columns]
     return df.select(*flags).groupBy(*[f"{c}_missing" for c in df.columns]) \
         .agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 

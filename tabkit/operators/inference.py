@@ -68,32 +68,44 @@ def pearson_test(df: DataFrame, a: str, b: str, keys=None, conf: float = 0.95) -
 
 
 def spearman_stats(df: DataFrame, a: str, b: str, hot_rows: int = 1_000_000) -> DataFrame:
+    """``n, estimate (rho), statistic (S), t, df`` of Spearman's rank correlation."""
+    return _spearman(df, a, b, hot_rows).drop("ties")
+
+
+def _spearman(df: DataFrame, a: str, b: str, hot_rows: int = 1_000_000) -> DataFrame:
     """rho = Pearson correlation of tie-averaged ranks; S = (n^3-n)(1-rho)/6.
 
     The table is read once, into counts of its distinct pairs; both columns
-    are ranked from these counts, and the correlation is weighted by them."""
+    are ranked from these counts, and the correlation is weighted by them.
+    ``ties``: some value of a column occurs more than once."""
     checkpoint_dir(df.sparkSession)
     pairs = (df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("_a"), F.col(b).alias("_b"))
              .agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True))
     joined = pairs
     for c in ("_a", "_b"):
         ranks = ranked_counts(pairs.groupBy(c).agg(F.sum("_c").alias("n")), c)
-        centred = ranks.select(c, (F.col("mid_rank") - (F.col("total") + 1) / 2.0).alias(f"_r{c}"))
+        centred = ranks.select(c, (F.col("mid_rank") - (F.col("total") + 1) / 2.0).alias(f"_r{c}"), (F.col("n") > 1).alias(f"_t{c}"))
         hot = pairs.groupBy(c).agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") >= hot_rows).select(c)
         joined = salted_join(joined, centred, [c], "inner", hot_rows, hot=hot)
     x, y, w = F.col("_r_a"), F.col("_r_b"), F.col("_c")
-    g = joined.agg(F.sum(w).alias("n"), F.sum(w * x * y).alias("_xy"), F.sum(w * x * x).alias("_xx"), F.sum(w * y * y).alias("_yy"))
-    g = g.select(F.coalesce("n", F.lit(0)).alias("n"), F.try_divide(F.col("_xy"), F.sqrt("_xx") * F.sqrt("_yy")).alias("rho"))
+    g = joined.agg(F.sum(w).alias("n"), F.sum(w * x * y).alias("_xy"), F.sum(w * x * x).alias("_xx"), F.sum(w * y * y).alias("_yy"),
+                   F.coalesce(F.bool_or(F.col("_t_a") | F.col("_t_b")), F.lit(False)).alias("ties"))
+    g = g.select("ties", F.coalesce("n", F.lit(0)).alias("n"), F.try_divide(F.col("_xy"), F.sqrt("_xx") * F.sqrt("_yy")).alias("rho"))
     n, rho = F.col("n").cast("double"), F.col("rho")
     return g.select(F.col("n").cast("bigint").alias("n"), rho.alias("estimate"),
                     ((n * n * n - n) * (1 - rho) / 6).alias("statistic"),
                     _r_to_t(rho, n).alias("t"),
-                    (F.col("n") - 2).cast("bigint").alias("df"))
+                    (F.col("n") - 2).cast("bigint").alias("df"), "ties")
 
 
 def spearman_test(df: DataFrame, a: str, b: str) -> DataFrame:
-    s = spearman_stats(df, a, b)
-    return s.withColumn("p_value", tails.t_two_sided(F.col("t"), F.col("df").cast("double")))
+    """With the two-sided ``p_value``: of the rank statistic itself below
+    ``tails.RANK_SERIES`` rows without ties, else of t."""
+    s = _spearman(df, a, b)
+    small = ~F.col("ties") & (F.col("n") < tails.RANK_SERIES)
+    p = F.when(small, tails.spearman_two_sided(F.col("statistic"), F.col("n").cast("double"))).otherwise(
+        tails.t_two_sided(F.col("t"), F.col("df").cast("double")))
+    return s.withColumn("p_value", p).drop("ties")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -271,6 +271,35 @@ SQL_SPEARMAN_TEST = _with_t_sql(
        CAST(n - 2 AS BIGINT) AS df, round(p, 5) AS p_value""")
 
 
+def q_spearman_small_test(spark, sf_dir):
+    """Balances of customers and suppliers by region: five rows without ties."""
+    nations = table(spark, sf_dir, "nation")
+    c = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.sum("c_acctbal").alias("c"))
+    s = table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.sum("s_acctbal").alias("s"))
+    both = (nations.join(c, nations.n_nationkey == c.c_nationkey, "left").join(s, nations.n_nationkey == s.s_nationkey, "left")
+            .groupBy("n_regionkey").agg(F.coalesce(F.sum("c"), F.lit(0.0)).alias("c"), F.coalesce(F.sum("s"), F.lit(0.0)).alias("s")))
+    return rounded(H.spearman_test(both, "c", "s").select("n", "estimate", "statistic", "p_value"), 6)
+
+
+# The p-value by going through all permutations of the ranks.
+SQL_SPEARMAN_SMALL_TEST = """
+WITH RECURSIVE c AS (SELECT c_nationkey AS k, sum(c_acctbal) AS c FROM customer GROUP BY 1),
+s AS (SELECT s_nationkey AS k, sum(s_acctbal) AS s FROM supplier GROUP BY 1),
+b AS (SELECT n_regionkey, coalesce(sum(c), 0) AS c, coalesce(sum(s), 0) AS s
+      FROM nation LEFT JOIN c ON c.k = n_nationkey LEFT JOIN s ON s.k = n_nationkey GROUP BY 1),
+r AS (SELECT rank() OVER (ORDER BY c) AS x, rank() OVER (ORDER BY s) AS y FROM b),
+o AS (SELECT count(*) AS n, sum((x - y) * (x - y)) AS d FROM r),
+p AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS used, 0::BIGINT AS d
+      UNION ALL
+      SELECT k + 1, list_append(used, x), p.d + (k + 1 - x) * (k + 1 - x) FROM p, (SELECT x FROM r) q WHERE NOT list_contains(used, x)),
+t AS (SELECT p.d FROM p, o WHERE p.k = o.n)
+SELECT any_value(n)::BIGINT AS n, round(1 - 6.0 * any_value(o.d) / (any_value(n) * (any_value(n) * any_value(n) - 1)), 6) AS estimate,
+       any_value(o.d)::DOUBLE AS statistic,
+       round(least(1.0::DOUBLE, 2.0::DOUBLE * CASE WHEN any_value(o.d) > (any_value(n) * any_value(n) * any_value(n) - any_value(n)) / 6.0
+             THEN count(*) FILTER (t.d >= o.d) ELSE count(*) FILTER (t.d <= o.d) END / count(*)), 6) AS p_value
+FROM t, o"""
+
+
 def q_chisq_test(spark, sf_dir):
     return rounded(H.chisq_test(_returned_counts(spark, sf_dir), "returned", "l_linestatus"), 6)
 
@@ -435,6 +464,7 @@ QUERIES = {
     "pearson_weak_test": q_pearson_weak_test,
     "chisq_segment_test": q_chisq_segment_test,
     "spearman_test": q_spearman_test,
+    "spearman_small_test": q_spearman_small_test,
     "chisq_test": q_chisq_test,
     "welch_test": q_welch_test,
     "anova_test": q_anova_test,
@@ -461,6 +491,7 @@ SQL = {
     "pearson_weak_test": SQL_PEARSON_WEAK_TEST,
     "chisq_segment_test": SQL_CHISQ_SEGMENT_TEST,
     "spearman_test": SQL_SPEARMAN_TEST,
+    "spearman_small_test": SQL_SPEARMAN_SMALL_TEST,
     "chisq_test": SQL_CHISQ_TEST,
     "welch_test": SQL_WELCH_TEST,
     "anova_test": SQL_ANOVA_TEST,

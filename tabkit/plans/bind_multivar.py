@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import SparkSession, functions as F
 
+from tabkit.functions.normal import norm_ppf_sql
 from tabkit.operators import describe as D
 from tabkit.operators import frame
 from tabkit.operators import multivar as M
@@ -129,6 +130,17 @@ def q_random_normal(spark: SparkSession, sf_dir: str):
     return frame.with_random_normal(table(spark, sf_dir, "part").select("p_partkey", "p_size"), "rnorm", SEED)
 
 
+def q_random_normal_keyed(spark: SparkSession, sf_dir: str):
+    out = frame.with_random_normal(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), "rnorm", SEED, ["l_orderkey", "l_linenumber"])
+    return out.withColumn("rnorm", F.round("rnorm", 7))
+
+
+SQL_RANDOM_NORMAL_KEYED = f"""
+WITH u AS (SELECT l_orderkey, l_linenumber,
+                  (CAST('0x' || substr(md5('{SEED}|=' || l_orderkey || '|=' || l_linenumber), 1, 13) AS BIGINT) + 0.5::DOUBLE) / {float(1 << 52)!r}::DOUBLE AS u
+           FROM lineitem)
+SELECT l_orderkey, l_linenumber, round({norm_ppf_sql('u')}, 7) AS rnorm FROM u"""
+
 QUERIES = {
     "zscore_lineitem": q_zscore_lineitem,
     "standardize_embeddings": q_standardize_embeddings,
@@ -147,5 +159,6 @@ QUERIES = {
     "hierarchical": q_hierarchical,
     "distances_to_centers": q_distances_to_centers,
     "random_normal": q_random_normal,
+    "random_normal_keyed": q_random_normal_keyed,
 }
-SQL = {"zscore_lineitem": SQL_ZSCORE}
+SQL = {"zscore_lineitem": SQL_ZSCORE, "random_normal_keyed": SQL_RANDOM_NORMAL_KEYED}
