@@ -128,23 +128,93 @@ def _root(tag: str, attrs: list[tuple[str, str]], body: Column) -> Column:
     return F.concat(F.lit(f"<{tag}{a}>"), body, F.lit(f"</{tag}>"))
 
 
+# ---- namespaces -----------------------------------------------------------------
+
+_TOKEN = r"<!--[\s\S]*?-->|<!\[CDATA\[[\s\S]*?\]\]>|<\?[\s\S]*?\?>|<(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+_ATTRIBUTE = r"([^\s=<>\"'/]+)\s*=\s*(\"[^\"]*+\"|'[^']*+')"
+_SCOPE = "array<struct<depth: int, prefix: string, uri: string>>"
+
+
+def cancel_uris(envelope: str, header: str, request: str) -> dict[str, str]:
+    """Element -> URI of the cancel message, for ``by_uri``."""
+    own = {"cancelTroubleTicketRequest", "interactionDate", "externalId", "relatedObjectList", "RelatedObject",
+           "involvement", "describeByList", "Characteristic", "name", "value"}
+    return {**dict.fromkeys(own, request), **dict.fromkeys(["HeaderIn", *HEADER_FIELDS], header),
+            **dict.fromkeys(["Envelope", "Header", "Body"], envelope)}
+
+
+def close_uris(envelope: str, types: str, header: str) -> dict[str, str]:
+    """Element -> URI of the close message, for ``by_uri``."""
+    own = {"CloseCustomerProblemRequest_data", "problemReference", "id", "referenceNumber", "closeSummariesList",
+           "problemSummary", "problemResolution", "problemStatus", "code", "value"}
+    return {**dict.fromkeys(own, types), **dict.fromkeys(["CloseCustomerProblemRequest", "TefHeaderReq", *TEF_FIELDS], header),
+            **dict.fromkeys(["Envelope", "Header", "Body"], envelope)}
+
+
+def by_uri(text: Column, uris: dict[str, str]) -> Column:
+    """The message with every element of ``uris`` (local name -> URI, '' for
+    none) that is in another namespace renamed, so that no mapping finds it.
+
+    A prefix means what the nearest enclosing declaration says: the walk over
+    the tags keeps the declarations in scope with their depth. Quotes of
+    either kind, default namespaces, redeclared prefixes and undeclared ones
+    are told apart; what stands in comments, processing instructions, CDATA
+    or attribute values declares nothing. NULL stays NULL."""
+    wanted = F.create_map(*[F.lit(x) for pair in uris.items() for x in pair])
+
+    def parse(t: Column) -> Column:
+        name = F.regexp_extract(t, r"^</?([^\s/>]+)", 1)
+        local = F.substring_index(name, ":", -1)
+        names, values = F.regexp_extract_all(t, F.lit(_ATTRIBUTE), 1), F.regexp_extract_all(t, F.lit(_ATTRIBUTE), 2)
+        pairs = F.filter(F.arrays_zip(names.alias("k"), values.alias("v")), lambda a: a["k"].rlike("^xmlns(:|$)"))
+        return F.struct(
+            F.when(t.rlike("^<[!?]"), F.lit("other")).when(t.startswith("</"), F.lit("end"))
+            .when(t.endswith("/>"), F.lit("single")).otherwise(F.lit("start")).alias("kind"),
+            t.alias("tag"), local.alias("local"), F.when(name.contains(":"), F.substring_index(name, ":", 1)).otherwise(F.lit("")).alias("prefix"),
+            F.substring(t, F.length(name) + F.when(t.startswith("</"), 3).otherwise(2), F.length(t)).alias("rest"),
+            F.transform(pairs, lambda a: F.struct(
+                F.when(a["k"].contains(":"), F.substring_index(a["k"], ":", -1)).otherwise(F.lit("")).alias("prefix"),
+                F.replace(F.substring(a["v"], F.lit(2), F.length(a["v"]) - 2), F.lit("&amp;"), F.lit("&")).alias("uri"))).alias("declared"))
+
+    def step(s: Column, t: Column) -> Column:
+        opens = t["kind"].isin("start", "single")
+        inside = F.when(opens, s["depth"] + 1).otherwise(s["depth"])
+        scope = F.when(opens, F.concat(s["scope"], F.transform(t["declared"], lambda d: F.struct(
+            (s["depth"] + 1).alias("depth"), d["prefix"].alias("prefix"), d["uri"].alias("uri"))))).otherwise(s["scope"])
+        closes = t["kind"].isin("end", "single")
+        uri = F.coalesce(F.try_element_at(F.filter(scope, lambda d: d["prefix"] == t["prefix"]), F.lit(-1))["uri"],
+                         F.when(t["prefix"] == "", F.lit("")))
+        foreign = wanted[t["local"]].isNotNull() & ~wanted[t["local"]].eqNullSafe(uri)
+        shown = F.when((t["kind"] == "other") | ~foreign, t["tag"]).otherwise(
+            F.concat(F.when(t["kind"] == "end", F.lit("</")).otherwise(F.lit("<")), F.lit("_other."), t["local"], t["rest"]))
+        return F.struct(F.when(closes, inside - 1).otherwise(inside).alias("depth"),
+                        F.when(closes, F.filter(scope, lambda d: d["depth"] < inside)).otherwise(scope).alias("scope"),
+                        F.array_append(s["shown"], shown).alias("shown"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast(_SCOPE).alias("scope"), F.array().cast("array<string>").alias("shown"))
+    shown = F.aggregate(F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), 0), parse), start, step, lambda s: s["shown"])
+    gaps = F.split(text, _TOKEN, -1)
+    return F.array_join(F.zip_with(F.concat(F.array(F.lit("")), shown), gaps, lambda a, b: F.concat(a, b)), "")
+
+
 # ---- cancel -------------------------------------------------------------------
 
 def _ns_guard(reason: Column, text: Column, require_ns: str | None) -> Column:
-    """Optional strict mode: the message must declare the expected URI
-    (element names are matched by local name only)."""
+    """Optional check of the text: it must hold the expected URI in double
+    quotes (elements are matched by URI with ``uris``)."""
     if not require_ns:
         return reason
     return F.when(reason.isNull() & ~text.contains(F.lit(f'"{require_ns}"')),
                   F.lit(f"namespace {require_ns} not declared")).otherwise(reason)
 
 
-def map_cancel(messages: DataFrame, text_col: str = "value", require_ns: str | None = None) -> DataFrame:
+def map_cancel(messages: DataFrame, text_col: str = "value", require_ns: str | None = None, uris: dict[str, str] | None = None) -> DataFrame:
     """Parse + flatten cancel messages: one row per message with ``valid``,
     ``reason``, the 13 header fields, ``interactionDate``, ``ID`` (always
     empty), ``externalId`` and ``related`` =
-    ``array<struct<involvement, characteristics: array<struct<name, value>>>>``."""
-    x = F.from_xml(F.col(text_col), CANCEL_SCHEMA, _XML_OPTS)
+    ``array<struct<involvement, characteristics: array<struct<name, value>>>>``.
+    Elements are matched by local name, or by URI with ``uris`` (``cancel_uris``)."""
+    x = F.from_xml(by_uri(F.col(text_col), uris) if uris else F.col(text_col), CANCEL_SCHEMA, _XML_OPTS)
     m = messages.withColumn("_x", x)
     hdrs = _cat(F.col("_x.Header"), "HeaderIn", _HDR)
     reqs = _cat(F.col("_x.Body"), "cancelTroubleTicketRequest", _REQ)
@@ -194,11 +264,11 @@ def render_cancel(mapped: DataFrame, ns: CancelNamespaces = CancelNamespaces())
 
 # ---- close --------------------------------------------------------------------
 
-def map_close(messages: DataFrame, text_col: str = "value", require_ns: str | None = None) -> DataFrame:
+def map_close(messages: DataFrame, text_col: str = "value", require_ns: str | None = None, uris: dict[str, str] | None = None) -> DataFrame:
     """Parse + flatten close messages: ``valid``, ``reason``, the 5 request
     header fields, problem ``id``/``referenceNumber``, resolution
     ``resolution_code``/``resolution_value``, ``status_code``/``status_value``."""
-    x = F.from_xml(F.col(text_col), CLOSE_SCHEMA, _XML_OPTS)
+    x = F.from_xml(by_uri(F.col(text_col), uris) if uris else F.col(text_col), CLOSE_SCHEMA, _XML_OPTS)
     m = messages.withColumn("_x", x)
     reqs = _cat(F.col("_x.Body"), "CloseCustomerProblemRequest",
                 f"struct<TefHeaderReq: array<{_TEF}>, CloseCustomerProblemRequest_data: array<{_DATA}>>")
@@ -249,17 +319,17 @@ def render_close(mapped: DataFrame, ns: CloseNamespaces = CloseNamespaces()) ->
 # ---- jobs ---------------------------------------------------------------------
 
 def cancel_job(messages: DataFrame, ns: CancelNamespaces = CancelNamespaces(), key: str = "file_name",
-               require_ns: str | None = None):
+               require_ns: str | None = None, uris: dict[str, str] | None = None):
     """-> ``(rendered (key, xml), rejects (key, reason))``."""
-    m = map_cancel(messages, require_ns=require_ns)
+    m = map_cancel(messages, require_ns=require_ns, uris=uris)
     ok = m.where("valid").select(key, render_cancel(m, ns).alias("xml"))
     bad = m.where(~F.col("valid")).select(key, "reason")
     return ok, bad
 
 
 def close_job(messages: DataFrame, ns: CloseNamespaces = CloseNamespaces(), key: str = "file_name",
-              require_ns: str | None = None):
-    m = map_close(messages, require_ns=require_ns)
+              require_ns: str | None = None, uris: dict[str, str] | None = None):
+    m = map_close(messages, require_ns=require_ns, uris=uris)
     ok = m.where("valid").select(key, render_close(m, ns).alias("xml"))
     bad = m.where(~F.col("valid")).select(key, "reason")
     return ok, bad

@@ -107,10 +107,87 @@ def q_close_render(spark: SparkSession, sf_dir: str):
     return ok
 
 
+def _sql_text(x: str) -> str:
+    """The rendered text of ``x``: escaped, non-ASCII as decimal references."""
+    esc = f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    return (f"array_to_string(list_transform(regexp_extract_all({esc}, '(?s).'), "
+            f"lambda c: CASE WHEN unicode(c) > 127 THEN '&#' || unicode(c) || ';' ELSE c END), '')")
+
+
+def _sql_leaf(tag: str, x: str) -> str:
+    return f"CASE WHEN {x} IS NULL OR {x} = '' THEN '<{tag} />' ELSE '<{tag}>' || {_sql_text(x)} || '</{tag}>' END"
+
+
+_FILE = "CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) || '.xml'"
+_CID, _TURN = "CAST(conv_id AS VARCHAR)", "CAST(turn AS VARCHAR)"
+_HEADER = {"country": "'PE'", "lang": "role", "entity": _CID, "system": "'CRM'", "subsystem": "'TT'", "originator": "role",
+           "userId": f"'u' || {_CID}", "operation": "'cancel'", "pid": f"CASE WHEN role = 'user' THEN {_TURN} ELSE '' END",
+           "execId": f"{_CID} || '-' || {_TURN}", "msgId": "''", "timestamp": "'2024-01-01T00:00:00'", "msgType": "''"}
+
+SQL_CANCEL_RENDER = f"""
+SELECT {_FILE} AS file_name,
+  '<soapenv:Envelope xmlns:soapenv="{_SOAP}" xmlns:head="{soap.CancelNamespaces.head}" xmlns:v1="{soap.CancelNamespaces.v1}">'
+  || '<soapenv:Header><head:HeaderIn>' || {" || ".join(_sql_leaf(f"head:{k}", f"({v})") for k, v in _HEADER.items())}
+  || '</head:HeaderIn></soapenv:Header><soapenv:Body><v1:cancelTroubleTicketRequest><v1:interactionDate>2024-01-01</v1:interactionDate><v1:ID />'
+  || '<v1:externalId>' || {_CID} || '/' || {_TURN} || '</v1:externalId><v1:relatedObjectList><v1:RelatedObject>'
+  || {_sql_leaf("v1:involvement", "role")} || '<v1:describeByList>'
+  || array_to_string(list_transform(range(len(string_split(text, '.'))), lambda i: '<v1:Characteristic><v1:name>s' || i || '</v1:name>'
+       || {_sql_leaf("v1:value", "string_split(text, '.')[i + 1]")} || '</v1:Characteristic>'), '')
+  || '</v1:describeByList></v1:RelatedObject></v1:relatedObjectList></v1:cancelTroubleTicketRequest></soapenv:Body></soapenv:Envelope>' AS xml
+FROM conversations"""
+
+SQL_CLOSE_RENDER = f"""
+SELECT {_FILE} AS file_name,
+  '<soapenv:Envelope xmlns:soapenv="{_SOAP}" xmlns:typ="{soap.CloseNamespaces.typ}" xmlns:v1="{soap.CloseNamespaces.v1}">'
+  || '<soapenv:Header /><soapenv:Body><v1:CloseCustomerProblemRequest><v1:TefHeaderReq><v1:userLogin>u' || {_CID} || '</v1:userLogin>'
+  || '<v1:sessionCode>' || {_TURN} || '</v1:sessionCode><v1:application>CRM</v1:application><v1:idMessage>' || {_CID} || '-' || {_TURN}
+  || '</v1:idMessage><v1:transactionTimestamp>2024-01-01T00:00:00</v1:transactionTimestamp></v1:TefHeaderReq>'
+  || '<typ:CloseCustomerProblemRequest_data><typ:problemReference><typ:id>' || {_CID} || '</typ:id>'
+  || CASE WHEN role = 'assistant' THEN '<typ:referenceNumber>' || {_TURN} || '</typ:referenceNumber>' ELSE '<typ:referenceNumber />' END
+  || '</typ:problemReference><typ:closeSummariesList><typ:problemSummary><typ:problemResolution>' || {_sql_leaf("typ:code", "role")}
+  || {_sql_leaf("typ:value", "text")} || '</typ:problemResolution></typ:problemSummary></typ:closeSummariesList><typ:problemStatus>'
+  || '<typ:code>CLOSED</typ:code><typ:value /></typ:problemStatus></typ:CloseCustomerProblemRequest_data></v1:CloseCustomerProblemRequest></soapenv:Body></soapenv:Envelope>' AS xml
+FROM conversations"""
+
+
+def namespaced_messages(spark: SparkSession, sf_dir: str):
+    """The cancel messages, each with a second header of another namespace,
+    and by turn: as they are; declared in single quotes; the request in a
+    default namespace; the request in another namespace, whose right URI
+    stands in a comment only."""
+    m = cancel_messages(spark, sf_dir)
+    decoy = '<d:HeaderIn xmlns:d="urn:decoy"><d:lang>decoy</d:lang></d:HeaderIn></s:Header>'
+    v = F.replace("value", F.lit("</s:Header>"), F.lit(decoy))
+    put = lambda c, *pairs: put(F.replace(c, F.lit(pairs[0][0]), F.lit(pairs[0][1])), *pairs[1:]) if pairs else c
+    kind = F.pmod(F.regexp_extract("file_name", r"_(\d+)\.xml$", 1).cast("bigint"), F.lit(4))
+    single = put(v, ('xmlns:h="urn:in:h"', "xmlns:h = 'urn:in:h'"), ('xmlns:b="urn:in:b"', "xmlns:b='urn:in:b'"))
+    default = put(v, ("<b:", "<"), ("</b:", "</"), ('xmlns:b="urn:in:b"', 'xmlns="urn:in:b"'))
+    comment = put(v, ('xmlns:b="urn:in:b">', 'xmlns:b="urn:in:other"><!-- xmlns:b="urn:in:b" -->'))
+    return m.withColumn("value", F.when(kind == 0, v).when(kind == 1, single).when(kind == 2, default).otherwise(comment))
+
+
+def q_cancel_mapping_by_uri(spark: SparkSession, sf_dir: str):
+    m = soap.map_cancel(namespaced_messages(spark, sf_dir), uris=soap.cancel_uris(_SOAP, "urn:in:h", "urn:in:b"))
+    return m.select("file_name", "valid", *soap.HEADER_FIELDS, "interactionDate", "externalId",
+                    F.get("related", F.lit(0))["involvement"].alias("involvement"),
+                    F.array_join(F.transform(F.flatten(F.transform("related", lambda r: r["characteristics"])), lambda c: F.concat(c["name"], F.lit("="), c["value"])), "|").alias("characteristics"))
+
+
+_FOUND = "turn % 4 <> 3"
+SQL_CANCEL_MAPPING_BY_URI = f"""
+SELECT {_FILE} AS file_name, TRUE AS valid, {", ".join(f"{v} AS {k}" for k, v in _HEADER.items())},
+       CASE WHEN {_FOUND} THEN '2024-01-01' END AS "interactionDate", CASE WHEN {_FOUND} THEN {_CID} || '/' || {_TURN} END AS "externalId",
+       CASE WHEN {_FOUND} THEN role END AS involvement,
+       CASE WHEN {_FOUND} THEN array_to_string(list_transform(range(len(string_split(text, '.'))), lambda i: 's' || i || '=' || string_split(text, '.')[i + 1]), '|') ELSE '' END AS characteristics
+FROM conversations"""
+
+
 QUERIES = {
     "cancel_mapping": q_cancel_mapping,
+    "cancel_mapping_by_uri": q_cancel_mapping_by_uri,
     "cancel_render": q_cancel_render,
     "close_mapping": q_close_mapping,
     "close_render": q_close_render,
 }
-SQL = {"cancel_mapping": SQL_CANCEL_MAPPING, "close_mapping": SQL_CLOSE_MAPPING}
+SQL = {"cancel_mapping": SQL_CANCEL_MAPPING, "close_mapping": SQL_CLOSE_MAPPING, "cancel_mapping_by_uri": SQL_CANCEL_MAPPING_BY_URI,
+       "cancel_render": SQL_CANCEL_RENDER, "close_render": SQL_CLOSE_RENDER}
