@@ -98,13 +98,14 @@ def _spearman(df: DataFrame, a: str, b: str, hot_rows: int = 1_000_000) -> DataF
                     (F.col("n") - 2).cast("bigint").alias("df"), "ties")
 
 
-def spearman_test(df: DataFrame, a: str, b: str) -> DataFrame:
-    """With the two-sided ``p_value``: of the rank statistic itself below
-    ``tails.RANK_SERIES`` rows without ties, else of t."""
+def spearman_test(df: DataFrame, a: str, b: str, exact: bool = False) -> DataFrame:
+    """With the two-sided ``p_value`` of t. ``exact``: of the rank statistic
+    itself, below ``tails.RANK_SERIES`` rows without ties; of t elsewhere."""
     s = _spearman(df, a, b)
-    small = ~F.col("ties") & (F.col("n") < tails.RANK_SERIES)
-    p = F.when(small, tails.spearman_two_sided(F.col("statistic"), F.col("n").cast("double"))).otherwise(
-        tails.t_two_sided(F.col("t"), F.col("df").cast("double")))
+    p = tails.t_two_sided(F.col("t"), F.col("df").cast("double"))
+    if exact:
+        small = ~F.col("ties") & (F.col("n") < tails.RANK_SERIES)
+        p = F.when(small, tails.spearman_two_sided(F.col("statistic"), F.col("n").cast("double"))).otherwise(p)
     return s.withColumn("p_value", p).drop("ties")
 
 
