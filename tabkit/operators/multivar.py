@@ -112,8 +112,11 @@ def total_ss(scaled: DataFrame, in_col: str = "scaled") -> float:
 
 
 class KMeansResult:
-    def __init__(self, model, cost: float, seed: int):
+    """``iterations`` the fit took; ``converged``: fewer than it might have taken."""
+
+    def __init__(self, model, cost: float, seed: int, iterations: int = 0, converged: bool = True):
         self.model, self.cost, self.seed = model, cost, seed
+        self.iterations, self.converged = iterations, converged
 
     def assignments(self, scaled: DataFrame, id_col: str, in_col: str = "scaled") -> DataFrame:
         return self.model.transform(scaled).select(id_col, (F.col("prediction") + 1).alias("cluster"))
@@ -125,16 +128,18 @@ class KMeansResult:
 
 def _fit_kmeans(scaled, k, seed, max_iter, in_col):
     m = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=in_col, initMode="k-means||").fit(scaled)
-    return KMeansResult(m, m.summary.trainingCost, seed)
+    steps = m.summary.numIter
+    return KMeansResult(m, m.summary.trainingCost, seed, steps, steps < max_iter)
 
 
 def kmeans_best(scaled: DataFrame, k: int = 5, n_starts: int = 25, seed: int = 567,
-                max_iter: int = 20, in_col: str = "scaled", parallel: int = 4) -> KMeansResult:
+                max_iter: int = 100, in_col: str = "scaled", parallel: int = 4) -> KMeansResult:
     """k-means restarted from ``n_starts`` seeds (k-means|| init); the fit
     with the lowest within-cluster SS is kept (ties: lowest seed). Lloyd
     iterations, so labels differ from Hartigan-Wong: compare by cost, not
     by label. Restarts are independent jobs submitted ``parallel`` at a
-    time over the same cached features."""
+    time over the same cached features. The result tells its iterations and
+    whether it converged before ``max_iter``."""
     seeds = [seed + s for s in range(n_starts)]
     with ThreadPoolExecutor(max_workers=max(1, min(parallel, n_starts))) as ex:
         fits = list(ex.map(lambda sd: _fit_kmeans(scaled, k, sd, max_iter, in_col), seeds))
@@ -258,6 +263,30 @@ def cluster_map(coords: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
 
 # ---- distances (re-aimed: rows against a bounded set of reference points) ---
 
+def mid_ranks(x):
+    """The mid-ranks of an array's elements (ties share their mean rank)."""
+    s = F.array_sort(x)
+    # the first place in the sorted array, and the number of equal elements there
+    return F.transform(x, lambda v: F.array_position(s, v).cast("double")
+                       + (F.size(F.filter(x, lambda w: w == v)) - 1) / F.lit(2.0))
+
+
+def pair_signs(x):
+    """sign(x_j - x_i) of all pairs i < j of an array's elements, in order."""
+    places = F.sequence(F.lit(1), F.size(x))
+    return F.flatten(F.transform(places, lambda i: F.transform(
+        F.slice(x, i + 1, F.size(x)), lambda v: F.signum(v - F.element_at(x, i)))))
+
+
+def _dot(x, y):
+    return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+
+
+# what a metric compares: computed once per row, and once per reference point
+_FORMS = {"spearman": mid_ranks, "kendall": pair_signs,
+          "binary": lambda x: F.transform(x, lambda v: F.when(v != 0, F.lit(1.0)).otherwise(0.0))}
+
+
 def _dist_expr(x, y, metric: str, power: float = 3.0):
     diff = F.zip_with(x, y, lambda a, b: a - b)
     if metric == "euclidean":
@@ -272,14 +301,19 @@ def _dist_expr(x, y, metric: str, power: float = 3.0):
         terms = F.zip_with(x, y, lambda a, b: F.when((F.abs(a) + F.abs(b)) > 0,
                                                       F.abs(a - b) / (F.abs(a) + F.abs(b))).otherwise(0.0))
         return F.aggregate(terms, F.lit(0.0), lambda acc, v: acc + v)
-    if metric == "pearson":
+    if metric == "binary":      # of the elements set on a side, the share set on one side only
+        either = F.aggregate(F.zip_with(x, y, lambda a, b: F.greatest(a, b)), F.lit(0.0), lambda acc, v: acc + v)
+        return F.when(either == 0, 0.0).otherwise(F.try_divide(either - _dot(x, y), either))
+    if metric == "kendall":     # tau-b: pairs in the same order less those in opposite order
+        return 1 - F.try_divide(_dot(x, y), F.sqrt(_dot(x, x) * _dot(y, y)))
+    if metric in ("pearson", "spearman"):
         n = F.size(x).cast("double")
         mx = F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / n
         my = F.aggregate(y, F.lit(0.0), lambda a, v: a + v) / n
         sxy = F.aggregate(F.zip_with(x, y, lambda a, b: (a - mx) * (b - my)), F.lit(0.0), lambda a, v: a + v)
         sxx = F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - mx) * (v - mx))
         syy = F.aggregate(y, F.lit(0.0), lambda a, v: a + (v - my) * (v - my))
-        return 1 - sxy / F.sqrt(sxx * syy)
+        return 1 - F.try_divide(sxy, F.sqrt(sxx * syy))
     raise ValueError(f"unknown metric {metric}")
 
 
@@ -289,7 +323,15 @@ def distances_to_points(rows: DataFrame, points: DataFrame, id_col: str, point_i
     medoids...). The point set is size-checked, then inlined into the
     expression as a literal array, so each row is expanded in place (no
     join, no shuffle). The all-pairs row x row matrix is deliberately not
-    offered."""
+    offered. Metrics: euclidean, manhattan, maximum, minkowski, canberra,
+    binary (an element counts as set unless it is 0), and 1 less the
+    correlation: pearson, spearman, kendall (tau-b, ties included; null where
+    a side is constant). Ranks and pair orders are formed once per row and
+    once per point."""
+    form = _FORMS.get(metric)
+    if form is not None:
+        rows = rows.select(id_col, form(F.col(vec).cast("array<double>")).alias(vec))
+        points = points.select(point_id, form(F.col(vec).cast("array<double>")).alias(vec))
     pts = points.select(point_id, vec).limit(max_points + 1).collect()
     if len(pts) > max_points:
         raise ValueError(f"more than {max_points} reference points")

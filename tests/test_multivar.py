@@ -62,6 +62,8 @@ def test_kmeans_invariants(data):
     assert within + summ[0].between_ss == pytest.approx(summ[0].total_ss, rel=1e-9)
     Z = (X - X.mean(0)) / X.std(0, ddof=1)
     assert summ[0].total_ss == pytest.approx(((Z - Z.mean(0)) ** 2).sum(), rel=1e-6)
+    assert km.converged and 0 < km.iterations < 100
+    assert not M.kmeans_best(scaled, k=5, n_starts=1, seed=1, max_iter=2).converged
     lab = {r.vec_id: r.cluster for r in km.assignments(scaled, "vec_id").collect()}
     assert set(lab.values()) <= {1, 2, 3, 4, 5} and len(lab) == n
 
