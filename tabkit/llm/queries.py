@@ -22,8 +22,9 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = substring_dedup.passages(substring_dedup.repeated_spans(_read(spark, sf_dir, "documents")))
-    return found.select(F.col("id").alias("doc_id"), "start", "end", "n_words", "n_units", "removed", F.col("first_ids").alias("first_doc_ids"), "clusters")
+    docs = _read(spark, sf_dir, "documents")
+    found = substring_dedup.passages(substring_dedup.repeated_spans(docs), substring_dedup.row_copies(docs))
+    return found.select(F.col("id").alias("doc_id"), "copy", "start", "end", "n_words", "n_units", "removed", F.col("first_ids").alias("first_doc_ids"), "clusters")
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

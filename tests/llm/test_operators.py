@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from tabkit.llm import decontaminate, html_text, language_id, near_dedup, packing, quality, secrets, substring_dedup, token_counts, toxicity
 
@@ -96,10 +96,35 @@ def test_sketch_agreement_estimates_similarity():
     assert (s != np.iinfo(np.uint64).max).all() and 0.6 < (s[0] == s[1]).mean() < 0.9
 
 
+def _passages(docs, **kw):
+    return substring_dedup.passages(substring_dedup.repeated_spans(docs), substring_dedup.row_copies(docs), **kw)
+
+
+def test_substring_dedup_rows_known_by_id_and_text(spark):
+    """Repeated rows and null ids keep one; texts under one id are apart; short passages are returned."""
+    words = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n))
+    b, c, q, t, u = words("b", 25), words("c", 25), words("q", 9), words("t", 60), words("u", 60)
+    rows = [(1, b), (1, q + " " + c), (2, words("x", 12) + ".\n" + b), (3, c + "\n" + words("y", 15)),
+            (4, t), (4, t), (None, u), (None, u), (None, u), (5, words("z", 30)), (6, None), (6, None), (7, ""), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.lit("x")).withColumn("part", F.lit(1)).repartition(3)
+    out = _passages(docs).collect()
+    texts = {}
+    for i, text in rows:
+        texts.setdefault(i, []).append(text)
+    for r in out:       # a passage stands in one text of its id
+        assert any(text and r.end <= len(text.encode()) for text in texts[r.id])
+    assert {r.id for r in out} == {1, 2, 4, None}        # c has no line or sentence of its own in q + c, and is under 40 words
+    assert sorted((r.copy, r.removed) for r in out if r.id == 4) == [(0, False), (1, True)]
+    assert sorted((r.copy, r.removed) for r in out if r.id is None) == [(0, False), (1, True), (2, True)]
+    assert [(r.n_words, r.removed) for r in out if r.id in (1, 2)].count((25, False)) == 1
+    assert {r.n_words for r in out} == {25, 60}
+    assert {r.id for r in _passages(docs, min_words=40).collect()} == {4, None}
+
+
 def test_substring_dedup(spark, empty):
     passage = " ".join(f"w{i}{'.' if i % 12 == 11 else ''}" for i in range(60))
     rows = [(1, "Alpha beta. " + passage + " and more of it here."), (2, "Something else.\n" + passage), (3, "no repeats at all in this text, only some words that stand alone and differ"), (4, None), (5, "")]
-    out = substring_dedup.passages(substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
+    out = _passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.id for r in out} == {1, 2} and {r.id for r in out if r.removed} == {2}
     assert substring_dedup.repeated_spans(empty).count() == 0
 
@@ -115,7 +140,7 @@ def test_substring_dedup_inside_texts(spark):
              5: fresh(30, "e")[:-1] + ["end."] + line + ["end."] + fresh(30, "e"),
              6: fresh(12, "f") + ["end."] + line[:20] + ["changed"] + line[21:] + ["end."] + fresh(9, "f")}
     texts = {i: " ".join(p) for i, p in parts.items()}
-    out = substring_dedup.passages(substring_dedup.repeated_spans(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3))).collect()
+    out = _passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)).collect()
     got = {r.id: (texts[r.id][r.start:r.end], r.n_words, r.removed) for r in out}
     assert len(out) == 6
     assert got[1] == (" ".join(run), 55, False) and got[2] == (" ".join(run), 55, True)
