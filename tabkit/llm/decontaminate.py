@@ -29,6 +29,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -122,7 +123,7 @@ def _search_shard(w: Windows, terms, list_ends, positions, slop: int):
     code = np.searchsorted(terms, w.terms)
     present = terms[np.minimum(code, len(terms) - 1)] == w.terms
     live = np.flatnonzero((present | ~used).all(axis=1) & (w.length > 0))
-    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64))
     if not len(live):
         return none
     code, used = code[live], used[live]
@@ -141,7 +142,8 @@ def _search_shard(w: Windows, terms, list_ends, positions, slop: int):
         part = slice(lo, hi)
         row = np.repeat(rows[part], n_candidates[part])
         at = np.arange(len(row)) - np.repeat(edges[part] - edges[lo], n_candidates[part]) + begins[code[row, rare[row]]]
-        start = positions[at].astype(np.int64) - rare[row]
+        held = positions[at].astype(np.int64)       # where the rarest term stands, always inside a document
+        start = held - rare[row]
         exact = np.ones(len(row), bool)
         for k in range(1, width):
             place = order[row, k]
@@ -154,8 +156,8 @@ def _search_shard(w: Windows, terms, list_ends, positions, slop: int):
                 j = np.searchsorted(sorted_postings, base + np.maximum(expected, 0))
                 exact &= ~needed | ((expected >= 0) & (sorted_postings[np.minimum(j, len(sorted_postings) - 1)] == base + expected))
             keep = found | ~needed
-            row, start, exact = row[keep], start[keep], exact[keep]
-        out.append((live[row], start, exact & (start >= 0)))
+            row, start, exact, held = row[keep], start[keep], exact[keep], held[keep]
+        out.append((live[row], start, exact & (start >= 0), held))
         lo = hi
     return tuple(np.concatenate(x) for x in zip(*out))
 
@@ -170,11 +172,13 @@ def _merged(key: np.ndarray, start: np.ndarray, length: np.ndarray):
     return key[new], start[new], np.maximum.reduceat(end, new)
 
 
-def search(index: DataFrame, items: list, texts: list[str], item_type: T.DataType, width: int = WINDOW_WORDS, slop: int = SLOP) -> DataFrame:
+def search(index: DataFrame, items: list, texts: list[str], item_type: T.DataType, width: int = WINDOW_WORDS, slop: int = SLOP) -> tuple[DataFrame, Broadcast]:
     """``(shard, place, item_id, start, n_words, kind)``: the word spans of
     each document (by shard and place in it) that windows of an item cover;
     kind is ``phrase``, or ``near`` for an item that has only near matches
-    there."""
+    there. A near match lies in the document that holds its rarest term; its
+    span ends where the document does. With it, the items as broadcast, to
+    be destroyed when the rows are written."""
     shared = index.sparkSession.sparkContext.broadcast((items, Windows(texts, width)))
     arrow_item = to_arrow_type(item_type)
 
@@ -185,15 +189,18 @@ def search(index: DataFrame, items: list, texts: list[str], item_type: T.DataTyp
         for batch in batches:
             for r in range(batch.num_rows):
                 firsts, terms, ends, positions = (np.frombuffer(batch.column(c)[r].as_buffer(), t) for c, t in ((1, np.int64), (2, _U), (3, np.int64), (4, np.int32)))
+                sizes = np.array(batch.column(5)[r].as_py(), dtype=np.int64)
                 if not len(terms) or not len(w.item):
                     continue
-                win, start, exact = _search_shard(w, terms, ends, positions, slop)
-                place = np.searchsorted(firsts, np.maximum(start, 0), "right") - 1
+                win, start, exact, held = _search_shard(w, terms, ends, positions, slop)
+                place = np.searchsorted(firsts, held, "right") - 1
+                begin = np.maximum(start, firsts[place])
+                n = np.minimum(start + w.length[win], firsts[place] + sizes[place]) - begin
                 item = w.item[win]
                 pair = place.astype(np.int64) << 32 | item
-                key, s, e = _merged(pair[exact], start[exact], w.length[win][exact])
+                key, s, e = _merged(pair[exact], begin[exact], n[exact])
                 only = ~exact & ~np.isin(pair, key)
-                key2, s2, e2 = _merged(pair[only], start[only], w.length[win][only])
+                key2, s2, e2 = _merged(pair[only], begin[only], n[only])
                 key, s, e = (np.concatenate(x) for x in ((key, key2), (s, s2), (e, e2)))
                 p = key >> 32
                 yield pa.RecordBatch.from_arrays([
@@ -203,7 +210,7 @@ def search(index: DataFrame, items: list, texts: list[str], item_type: T.DataTyp
 
     schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("place", T.IntegerType()), T.StructField("item_id", item_type),
                            T.StructField("start", T.IntegerType()), T.StructField("n_words", T.IntegerType()), T.StructField("kind", T.StringType())])
-    return index.select("shard", "firsts", "terms", "list_ends", "positions").mapInArrow(run, schema)
+    return index.select("shard", "firsts", "terms", "list_ends", "positions", "n_words").mapInArrow(run, schema), shared
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
@@ -212,19 +219,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     one row per row of ``docs``; matches as ``search`` gives them."""
     spark = docs.sparkSession
     s = Scratch(spark, "decontaminate")
-    tests = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).where("text is not null")
+    tests = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).where("text is not null").distinct()
     item_type = benchmark.schema[item_col].dataType
     total = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-total // ITEM_BLOCK_BYTES))
     blocks = [tests] if n_blocks == 1 else [tests.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == k) for k in range(n_blocks)]
     index = matches = None
-    for block in blocks:
+    for k, block in enumerate(blocks):
         rows = block.collect()  # at most ITEM_BLOCK_BYTES, or its share of a hash split
         items, texts = [r[0] for r in rows], [r[1] for r in rows]
         if index is None:
             vocabulary = Windows(texts, width).vocabulary if n_blocks == 1 else None
             index = s.table(build_index(docs, id_col, text_col, vocabulary), "index")
-        found = search(index, items, texts, item_type, width, slop)
+        found, shared = search(index, items, texts, item_type, width, slop)
+        found = s.table(found, f"matches-{k}")
+        shared.destroy()
         matches = found if matches is None else matches.union(found)
     documents = index.select("shard", F.posexplode(F.arrays_zip("ids", "n_words")).alias("place", "d")).select("shard", "place", F.col("d.ids").alias("id"), F.col("d.n_words").alias("n_words"))
     return documents, matches
@@ -234,9 +243,13 @@ def digest(documents: DataFrame, matches: DataFrame, id_col: str = "doc_id") ->
     """The contract's columns, one row per document, and ``n_near`` (items
     with near matches only)."""
     phrase = F.col("kind") == "phrase"
+    spans = F.array_sort(F.collect_set(F.when(phrase, F.struct("start", (F.col("start") + F.col("n_words")).alias("end")))))
+    # words up to ``reach`` are counted
+    words = F.aggregate(spans, F.struct(F.lit(0).alias("n"), F.lit(0).alias("reach")), lambda a, x: F.struct(
+        (a["n"] + F.greatest(x["end"] - F.greatest(x["start"], a["reach"]), F.lit(0))).alias("n"), F.greatest(x["end"], a["reach"]).alias("reach")))
     item = F.col("item_id").cast("string")
     hit = (matches.groupBy("shard", "place").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list(F.when(phrase, F.sequence(F.col("start"), F.col("start") + F.col("n_words") - 1)))))).cast("long").alias("n_hit"),
+        words["n"].cast("long").alias("n_hit"),
         F.sort_array(F.collect_set(F.when(phrase, item))).alias("items"), F.size(F.collect_set(F.when(~phrase, item))).cast("long").alias("n_near")))
     none = F.array().cast("array<string>")
     return (documents.join(hit, ["shard", "place"], "left").select(
