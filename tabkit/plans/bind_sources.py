@@ -21,6 +21,7 @@ from tabkit.sinks.files import write_delimited
 from tabkit.sources import daywindow as W
 from tabkit.sources.delimited import (SourceSpec, all_text_schema, read_comma_no_header,
                                       read_lines, read_orc, read_pipe_with_header)
+from tabkit.streaming.files import file_states, ingest_files
 from tabkit.streaming.landing import ingest_available, read_output
 
 ASOF = dt.date(2000, 6, 15)
@@ -209,6 +210,28 @@ def q_landing_quarantine(spark: SparkSession, sf_dir: str):
 SQL_LANDING_QUARANTINE = "SELECT event_id FROM events WHERE event_type = 'error'"
 
 
+def q_file_ingest(spark: SparkSession, sf_dir: str):
+    """Events landed as CSV files by type, those of errors unparsable: state
+    and rows of the files by the manifest, and rows of the output."""
+    root = staging(spark, "files")
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("event_type").alias("kind"),
+                                               F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("value"))
+    ev.write.option("header", "true").partitionBy("kind").csv(f"{root}/input")
+    ingest_files(spark, f"{root}/input", T.StructType([EVENT_SCHEMA[c] for c in ("event_id", "event_type", "value")]),
+                 f"{root}/out", f"{root}/invalid", f"{root}/archive", f"{root}/manifest")
+    kind = lambda c: F.regexp_extract(c, "^kind=([^/]*)/", 1).alias("kind")
+    out = spark.read.parquet(f"{root}/out").groupBy(kind("_source_file")).agg(F.count(F.lit(1)).alias("n_output"), F.round(F.sum("value"), 2).alias("value"))
+    states = file_states(spark, f"{root}/manifest").groupBy(kind("name"), "state").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_bad").alias("n_bad"))
+    return states.join(out, "kind", "left").select("kind", "state", "n_rows", "n_bad", F.coalesce("n_output", F.lit(0)).alias("n_output"), "value")
+
+
+SQL_FILE_INGEST = """
+SELECT event_type AS kind, CASE event_type WHEN 'error' THEN 'quarantined' ELSE 'archived' END AS state,
+       count(*) AS n_rows, count(*) FILTER (event_type = 'error') AS n_bad, count(*) FILTER (event_type <> 'error') AS n_output,
+       round(sum(value) FILTER (event_type <> 'error'), 2) AS value
+FROM events GROUP BY 1, 2"""
+
+
 QUERIES = {
     "day_window_orders": q_day_window_orders,
     "claims_detail_fixed_window": q_claims_detail_fixed_window,
@@ -221,6 +244,7 @@ QUERIES = {
     "single_column_export": q_single_column_export,
     "landing_ingest": q_landing_ingest,
     "landing_quarantine": q_landing_quarantine,
+    "file_ingest": q_file_ingest,
 }
 SQL = {
     "day_window_orders": SQL_DAY_WINDOW_ORDERS,
@@ -234,4 +258,5 @@ SQL = {
     "single_column_export": SQL_SINGLE_COLUMN_EXPORT,
     "landing_ingest": SQL_LANDING_INGEST,
     "landing_quarantine": SQL_LANDING_QUARANTINE,
+    "file_ingest": SQL_FILE_INGEST,
 }
