@@ -54,16 +54,21 @@ def normal_overlay(hist: DataFrame, df: DataFrame, col: str, x_col: str = "mid")
         .drop("_mu", "_sd")
 
 
-def qq_points(df: DataFrame, col: str, keys: Sequence[str] | None = None) -> DataFrame:
-    """One point per non-null row: theoretical N(0,1) quantile of its
-    plotting position ``(i - a)/(n + 1 - 2a)`` (a = 3/8 for n <= 10, else
-    1/2) against the sample value."""
+def qq_positions(df: DataFrame, col: str, keys: Sequence[str] | None = None) -> DataFrame:
+    """``(keys..., i, plotting_position, sample)``, one row per non-null row:
+    ``(i - a)/(n + 1 - 2a)`` (a = 3/8 for n <= 10, else 1/2) and the value."""
     keys = _list(keys)
     pos = order_positions(df, col, keys)
     a = F.when(F.col("total") <= 10, F.lit(3.0 / 8)).otherwise(F.lit(0.5))
-    p = (F.col("i") - a) / (F.col("total") + 1 - 2 * a)
-    return pos.select(*keys, F.col("i").cast("bigint").alias("i"), norm_ppf(p).alias("theoretical"),
-                      F.col(col).alias("sample"))
+    return pos.select(*keys, F.col("i").cast("bigint").alias("i"),
+                      ((F.col("i") - a) / (F.col("total") + 1 - 2 * a)).alias("plotting_position"), F.col(col).alias("sample"))
+
+
+def qq_points(df: DataFrame, col: str, keys: Sequence[str] | None = None) -> DataFrame:
+    """One point per non-null row: theoretical N(0,1) quantile of its
+    plotting position against the sample value."""
+    keys = _list(keys)
+    return qq_positions(df, col, keys).select(*keys, "i", norm_ppf(F.col("plotting_position")).alias("theoretical"), "sample")
 
 
 def qq_line(df: DataFrame, col: str, keys: Sequence[str] | None = None) -> DataFrame:
@@ -77,8 +82,12 @@ def qq_line(df: DataFrame, col: str, keys: Sequence[str] | None = None) -> DataF
 
 def fivenum(df: DataFrame, col: str, keys: Sequence[str] | None = None) -> DataFrame:
     """Tukey's five numbers (min, lower hinge, median, upper hinge, max)."""
+    return fivenum_ranked(ranked_values(df, col, _list(keys)), col, keys)
+
+
+def fivenum_ranked(r: DataFrame, col: str, keys: Sequence[str] | None = None) -> DataFrame:
+    """``fivenum`` of a column that is ranked already (``ranked_values``)."""
     keys = _list(keys)
-    r = ranked_values(df, col, keys)
     n = F.col("total")
     n4 = F.floor((n + 3) / 2) / 2
     pos = {"min": F.lit(1.0), "lower_hinge": n4, "median": (n + 1) / 2,
@@ -99,8 +108,9 @@ def box_stats(df: DataFrame, value: str, group: str | None = None, coef: float =
     (most extreme values within ``coef`` hinge spreads) and the number of
     outliers; outliers lists ``(group, value, n)`` for values beyond."""
     keys = _list(group)
-    fv = fivenum(df, value, keys)
-    r = ranked_values(df, value, keys).select(*keys, value, "n")
+    ranked = ranked_values(df, value, keys)     # checkpointed: ranked once, read three times
+    fv = fivenum_ranked(ranked, value, keys)
+    r = ranked.select(*keys, value, "n")
     hinges = fv.drop("n", "median")
     if keys:
         hinges, _ = broadcast_if_bounded(hinges)   # one row per group

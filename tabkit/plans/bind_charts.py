@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, Window, functions as F
+from pyspark.sql import SparkSession, functions as F
 
+from tabkit.functions.normal import norm_ppf_sql
 from tabkit.operators import charts as V
 from tabkit.plans.bind_describe import rounded
 from tabkit.plans.tables import table
@@ -65,11 +66,7 @@ def q_qq_points(spark: SparkSession, sf_dir: str):
 
 def q_qq_positions(spark: SparkSession, sf_dir: str):
     """Q-Q inputs checkable in SQL: order position and plotting position."""
-    pts = V.qq_points(_o(spark, sf_dir), "price_k", ["o_orderstatus"])
-    n = F.count(F.lit(1)).over(Window.partitionBy("o_orderstatus"))
-    a = F.when(n <= 10, F.lit(3.0 / 8)).otherwise(F.lit(0.5))
-    return rounded(pts.select("o_orderstatus", "i", F.col("sample").alias("price_k"),
-                              ((F.col("i") - a) / (n + 1 - 2 * a)).alias("plotting_position")), 8)
+    return rounded(V.qq_positions(_o(spark, sf_dir), "price_k", ["o_orderstatus"]).withColumnRenamed("sample", "price_k"), 8)
 
 
 SQL_QQ_POSITIONS = """
@@ -79,6 +76,12 @@ SELECT o_orderstatus, CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER B
              / (count(*) OVER (PARTITION BY o_orderstatus) + 1 - 2 * a), 8) AS plotting_position
 FROM (SELECT *, CASE WHEN count(*) OVER (PARTITION BY o_orderstatus) <= 10 THEN 0.375 ELSE 0.5 END AS a
       FROM orders)"""
+SQL_QQ_POINTS = f"""
+SELECT o_orderstatus, i, round({norm_ppf_sql('pp')}, 6) AS theoretical, round(price_k, 6) AS sample FROM (
+  SELECT o_orderstatus, i, o_totalprice / 1000 AS price_k, (i - a) / (n + 1 - 2 * a) AS pp FROM (
+    SELECT *, CASE WHEN n <= 10 THEN 0.375::DOUBLE ELSE 0.5::DOUBLE END AS a FROM (
+      SELECT o_orderstatus, o_totalprice, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice) AS i,
+             count(*) OVER (PARTITION BY o_orderstatus) AS n FROM orders)))"""
 
 
 def q_qq_line(spark: SparkSession, sf_dir: str):
@@ -159,6 +162,7 @@ SQL = {
     "histogram": SQL_HISTOGRAM,
     "histogram_by_status": SQL_HISTOGRAM_BY_STATUS,
     "normal_overlay": SQL_NORMAL_OVERLAY,
+    "qq_points": SQL_QQ_POINTS,
     "qq_positions": SQL_QQ_POSITIONS,
     "qq_line": SQL_QQ_LINE,
     "box_stats": SQL_BOX_STATS,

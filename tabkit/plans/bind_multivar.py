@@ -44,6 +44,18 @@ def q_standardize_embeddings(spark: SparkSession, sf_dir: str):
     return s.select("vec_id", vector_to_array("scaled").alias("z"))
 
 
+def q_standardized_values(spark: SparkSession, sf_dir: str):
+    """The z-scores of ``standardize_embeddings``, one row per value."""
+    s = _scaled_embeddings(spark, sf_dir)
+    return rounded(s.select("vec_id", F.posexplode(vector_to_array("scaled")).alias("dim", "z")), 6)
+
+
+SQL_STANDARDIZED_VALUES = """
+WITH v AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings)
+SELECT vec_id, CAST(dim AS INTEGER) AS dim,
+       round((x - avg(x) OVER (PARTITION BY dim)) / stddev_samp(x) OVER (PARTITION BY dim), 6) AS z FROM v"""
+
+
 def q_pca_eig(spark: SparkSession, sf_dir: str):
     return M.pca(_scaled_embeddings(spark, sf_dir), DIMS, NAMES).eig()
 
@@ -250,6 +262,7 @@ SELECT l_orderkey, l_linenumber, round({norm_ppf_sql('u')}, 7) AS rnorm FROM u""
 QUERIES = {
     "zscore_lineitem": q_zscore_lineitem,
     "standardize_embeddings": q_standardize_embeddings,
+    "standardized_values": q_standardized_values,
     "pca_eig": q_pca_eig,
     "pca_top_contrib": q_pca_top_contrib,
     "pca_coords": q_pca_coords,
@@ -277,7 +290,7 @@ QUERIES = {
     "random_normal_keyed": q_random_normal_keyed,
 }
 SQL = {"zscore_lineitem": SQL_ZSCORE, "random_normal_keyed": SQL_RANDOM_NORMAL_KEYED,
-       "ward_decomposition": SQL_TOTAL_SS, "kmeans_decomposition": SQL_KMEANS_DECOMPOSITION,
+       "standardized_values": SQL_STANDARDIZED_VALUES, "ward_decomposition": SQL_TOTAL_SS, "kmeans_decomposition": SQL_KMEANS_DECOMPOSITION,
        "pca_identities": SQL_PCA_IDENTITIES, "silhouette_labels": SQL_SILHOUETTE_LABELS,
        "spearman_distances": SQL_SPEARMAN_DISTANCES, "kendall_distances": SQL_KENDALL_DISTANCES,
        "binary_distances": SQL_BINARY_DISTANCES}

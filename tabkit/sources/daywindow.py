@@ -66,11 +66,19 @@ def window_sequence(asof, months: int) -> Column:
 def read_hive_window(spark: SparkSession, base: str, spec: SourceSpec, partition_col: str,
                      asof, months: int) -> DataFrame:
     """Hive-layout window read. ``spec.schema`` should list the partition
-    column (as string to keep ``YYYY-MM-DD`` text)."""
+    column (as string to keep ``YYYY-MM-DD`` text). Only the window's own day
+    folders are listed and read, whatever the base holds besides."""
     lo = months_back(asof, months).isoformat()
     hi = _as_date(asof).isoformat()
+    days = _partitions(spark, base, partition_col)
+    inside = [d for d in days if lo <= d <= hi]
+    if days and not inside:
+        return empty_table(spark, spec.schema)
     try:
-        df = spec.reader(spark).load(base)
+        if inside:
+            df = spec.reader(spark).option("basePath", base).load([f"{base.rstrip('/')}/{partition_col}={d}" for d in inside])
+        else:
+            df = spec.reader(spark).load(base)
     except Exception as e:  # only a missing base directory is tolerated
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return empty_table(spark, spec.schema)
@@ -78,6 +86,16 @@ def read_hive_window(spark: SparkSession, base: str, spec: SourceSpec, partition
     return df.where(F.col(partition_col).between(lo, hi))
 
 
+def _partitions(spark: SparkSession, base: str, partition_col: str) -> list[str]:
+    """The values of the partition folders right below ``base`` (one listing)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    return sorted(n[len(partition_col) + 1:] for n in names if n.startswith(f"{partition_col}="))
+
+
 def _existing(spark: SparkSession, pattern: str) -> bool:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
