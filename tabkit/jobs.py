@@ -68,10 +68,10 @@ def fixed_claims_job(spark: SparkSession, claims_path: str, catalogue_path: str,
 
 def cancel_mapping_job(spark: SparkSession, in_dir: str, out_dir: str, reject_dir: str,
                        ns: soap.CancelNamespaces = soap.CancelNamespaces(),
-                       one_dir_per_name: bool = False):
+                       one_dir_per_name: bool = False, by_folder: str | None = None):
     """Every cancel message of ``in_dir`` -> rendered messages (same file
     names) + a reject table ``(file_name, reason)``."""
-    ok, bad = soap.cancel_job(soap.read_messages(spark, in_dir), ns)
+    ok, bad = soap.cancel_job(soap.read_messages(spark, in_dir, by_folder), ns)
     write_named_text(ok, out_dir, "file_name", "xml", one_dir_per_name=one_dir_per_name)
     bad.write.mode("overwrite").parquet(reject_dir)
     return ok, bad

@@ -76,10 +76,15 @@ _XML_OPTS = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "ignoreSurrounding
 
 # ---- scan -------------------------------------------------------------------
 
-def read_messages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per message file: ``(file_name, value)``."""
-    return (spark.read.text(path, wholetext=True)
-            .select(F.col("_metadata.file_name").alias("file_name"), "value"))
+def read_messages(spark: SparkSession, path: str, by_folder: str | None = None) -> DataFrame:
+    """One row per message file: ``(file_name, value)``. With ``by_folder``
+    the messages lie as ``write_named_text`` writes them, one folder
+    ``<by_folder>=<name>`` each, and the name is the folder's."""
+    name = F.col("_metadata.file_name")
+    if by_folder:   # the name is escaped in the folder's name, and that in the file's address
+        decoded = lambda c: F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+        name = decoded(decoded(F.regexp_extract(F.col("_metadata.file_path"), f"/{by_folder}=([^/]*)/[^/]*$", 1)))
+    return spark.read.text(path, wholetext=True).select(name.alias("file_name"), "value")
 
 
 # ---- array helpers ------------------------------------------------------------

@@ -7,8 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession, functions as F
 
+from tabkit.jobs import cancel_mapping_job
 from tabkit.operators import soap
+from tabkit.plans.bind_sources import staging
 from tabkit.plans.tables import table
+from tabkit.sinks.files import write_named_text
 
 _SOAP = "http://schemas.xmlsoap.org/soap/envelope/"
 
@@ -124,17 +127,20 @@ _HEADER = {"country": "'PE'", "lang": "role", "entity": _CID, "system": "'CRM'",
            "userId": f"'u' || {_CID}", "operation": "'cancel'", "pid": f"CASE WHEN role = 'user' THEN {_TURN} ELSE '' END",
            "execId": f"{_CID} || '-' || {_TURN}", "msgId": "''", "timestamp": "'2024-01-01T00:00:00'", "msgType": "''"}
 
-SQL_CANCEL_RENDER = f"""
-SELECT {_FILE} AS file_name,
+def _sql_cancel_xml(header: dict[str, str], more_objects: str = "''") -> str:
+    return f"""
   '<soapenv:Envelope xmlns:soapenv="{_SOAP}" xmlns:head="{soap.CancelNamespaces.head}" xmlns:v1="{soap.CancelNamespaces.v1}">'
-  || '<soapenv:Header><head:HeaderIn>' || {" || ".join(_sql_leaf(f"head:{k}", f"({v})") for k, v in _HEADER.items())}
+  || '<soapenv:Header><head:HeaderIn>' || {" || ".join(_sql_leaf(f"head:{k}", f"({v})") for k, v in header.items())}
   || '</head:HeaderIn></soapenv:Header><soapenv:Body><v1:cancelTroubleTicketRequest><v1:interactionDate>2024-01-01</v1:interactionDate><v1:ID />'
   || '<v1:externalId>' || {_CID} || '/' || {_TURN} || '</v1:externalId><v1:relatedObjectList><v1:RelatedObject>'
   || {_sql_leaf("v1:involvement", "role")} || '<v1:describeByList>'
   || array_to_string(list_transform(range(len(string_split(text, '.'))), lambda i: '<v1:Characteristic><v1:name>s' || i || '</v1:name>'
        || {_sql_leaf("v1:value", "string_split(text, '.')[i + 1]")} || '</v1:Characteristic>'), '')
-  || '</v1:describeByList></v1:RelatedObject></v1:relatedObjectList></v1:cancelTroubleTicketRequest></soapenv:Body></soapenv:Envelope>' AS xml
-FROM conversations"""
+  || '</v1:describeByList></v1:RelatedObject>' || {more_objects}
+  || '</v1:relatedObjectList></v1:cancelTroubleTicketRequest></soapenv:Body></soapenv:Envelope>'"""
+
+
+SQL_CANCEL_RENDER = f"SELECT {_FILE} AS file_name, {_sql_cancel_xml(_HEADER)} AS xml FROM conversations"
 
 SQL_CLOSE_RENDER = f"""
 SELECT {_FILE} AS file_name,
@@ -182,12 +188,48 @@ SELECT {_FILE} AS file_name, TRUE AS valid, {", ".join(f"{v} AS {k}" for k, v in
 FROM conversations"""
 
 
+def flawed_messages(spark: SparkSession, sf_dir: str):
+    """The cancel messages, by turn: as they are; cut off; without a required
+    header field; without a required field of the related object; with a
+    second header and a second related object."""
+    m = cancel_messages(spark, sf_dir)
+    v = F.col("value")
+    second = F.regexp_replace(F.regexp_extract("value", "(?s)<h:HeaderIn>.*</h:HeaderIn>", 0), "<h:lang>[^<]*<", "<h:lang>last<")
+    more = "<b:RelatedObject><b:involvement>second</b:involvement></b:RelatedObject></b:relatedObjectList>"
+    twice = F.replace(F.replace(v, F.lit("</s:Header>"), F.concat(second, F.lit("</s:Header>"))), F.lit("</b:relatedObjectList>"), F.lit(more))
+    kind = F.pmod(F.regexp_extract("file_name", r"_(\d+)\.xml$", 1).cast("bigint"), F.lit(5))
+    return m.withColumn("value", F.when(kind == 0, v).when(kind == 1, F.replace(v, F.lit("</s:Envelope>"), F.lit("")))
+                        .when(kind == 2, F.regexp_replace(v, "<h:timestamp>[^<]*</h:timestamp>", ""))
+                        .when(kind == 3, F.regexp_replace(v, "<b:involvement>[^<]*</b:involvement>", "")).otherwise(twice))
+
+
+def q_cancel_files(spark: SparkSession, sf_dir: str):
+    """The job over message files, a file each: rendered messages and
+    reasons of the rejected ones, as it writes them."""
+    root = staging(spark, "messages")
+    write_named_text(flawed_messages(spark, sf_dir), f"{root}/in", "file_name", "value", one_dir_per_name=True)
+    cancel_mapping_job(spark, f"{root}/in", f"{root}/out", f"{root}/rejects", by_folder="file_name")
+    none = F.lit(None).cast("string")
+    ok, bad = spark.read.parquet(f"{root}/out"), spark.read.parquet(f"{root}/rejects")
+    return ok.select("file_name", none.alias("reason"), "xml").unionByName(bad.select("file_name", "reason", none.alias("xml")))
+
+
+_SECOND = "CASE WHEN turn % 5 = 4 THEN '<v1:RelatedObject><v1:involvement>second</v1:involvement><v1:describeByList /></v1:RelatedObject>' ELSE '' END"
+_LAST_HEADER = {**_HEADER, "lang": "CASE WHEN turn % 5 = 4 THEN 'last' ELSE role END"}
+SQL_CANCEL_FILES = f"""
+SELECT {_FILE} AS file_name,
+       CASE turn % 5 WHEN 1 THEN 'malformed XML' WHEN 2 THEN 'HeaderIn: required field missing' WHEN 3 THEN 'RelatedObject: involvement missing' END AS reason,
+       CASE WHEN turn % 5 IN (0, 4) THEN {_sql_cancel_xml(_LAST_HEADER, _SECOND)} END AS xml
+FROM conversations"""
+
+
 QUERIES = {
     "cancel_mapping": q_cancel_mapping,
+    "cancel_files": q_cancel_files,
     "cancel_mapping_by_uri": q_cancel_mapping_by_uri,
     "cancel_render": q_cancel_render,
     "close_mapping": q_close_mapping,
     "close_render": q_close_render,
 }
-SQL = {"cancel_mapping": SQL_CANCEL_MAPPING, "close_mapping": SQL_CLOSE_MAPPING, "cancel_mapping_by_uri": SQL_CANCEL_MAPPING_BY_URI,
+SQL = {"cancel_mapping": SQL_CANCEL_MAPPING, "cancel_files": SQL_CANCEL_FILES, "close_mapping": SQL_CLOSE_MAPPING, "cancel_mapping_by_uri": SQL_CANCEL_MAPPING_BY_URI,
        "cancel_render": SQL_CANCEL_RENDER, "close_render": SQL_CLOSE_RENDER}
