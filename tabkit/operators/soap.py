@@ -5,7 +5,8 @@ The source scripts handle one file per process with ElementTree. Here a
 folder of messages is one text scan (``wholetext``: one row per file), parsed
 by ``from_xml`` against an explicit nested schema (namespace prefixes
 ignored), flattened with array functions and rendered back to text with
-column expressions -- one stage, no shuffle, no Python per row.
+column expressions -- one stage, no shuffle, no Python per row except for
+the walk of ``by_uri``.
 
 Rules kept from the source:
 
@@ -84,6 +85,8 @@ def read_messages(spark: SparkSession, path: str, by_folder: str | None = None)
     if by_folder:   # the name is escaped in the folder's name, and that in the file's address
         decoded = lambda c: F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
         name = decoded(decoded(F.regexp_extract(F.col("_metadata.file_path"), f"/{by_folder}=([^/]*)/[^/]*$", 1)))
+        # the folders' names are taken from the paths, not inferred as values of a column
+        return spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(name.alias("file_name"), "value")
     return spark.read.text(path, wholetext=True).select(name.alias("file_name"), "value")
 
 
@@ -106,13 +109,22 @@ def _all(arr: Column, pred) -> Column:
 
 # ---- text rendering -----------------------------------------------------------
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def xml_text(s: Column) -> Column:
     """ElementTree text escaping with ASCII output."""
-    esc = F.regexp_replace(F.regexp_replace(F.regexp_replace(s, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
-    refs = F.array_join(F.transform(F.split(esc, ""), lambda c: F.when(
-        F.ascii(c) > 127, F.concat(F.lit("&#"), F.ascii(c).cast("string"), F.lit(";"))).otherwise(c)), "")
-    # the per-character pass only runs on text that holds non-ASCII characters
-    return F.when(esc.rlike("[^\\x00-\\x7F]"), refs).otherwise(esc)
+    def ascii_only(esc: Column) -> Column:
+        runs = F.regexp_extract_all(esc, F.lit(r"[\x00-\x7F]+|[^\x00-\x7F]"), 0)
+        refs = F.array_join(F.transform(runs, lambda c: F.when(
+            F.ascii(c) > 127, F.concat(F.lit("&#"), F.ascii(c).cast("string"), F.lit(";"))).otherwise(c)), "")
+        # text without non-ASCII characters is not taken apart
+        return F.when(F.octet_length(esc) > F.length(esc), refs).otherwise(esc)
+
+    amp, lt, gt = (F.lit(c) for c in "&<>")
+    return once(F.replace(F.replace(F.replace(s, amp, F.lit("&amp;")), lt, F.lit("&lt;")), gt, F.lit("&gt;")), ascii_only)
 
 
 def leaf(tag: str, text: Column | None) -> Column:
@@ -122,10 +134,13 @@ def leaf(tag: str, text: Column | None) -> Column:
         F.concat(F.lit(f"<{tag}>"), xml_text(text), F.lit(f"</{tag}>")))
 
 
-def node(tag: str, body: Column) -> Column:
-    """Element with rendered children ``body`` (``<tag />`` when empty)."""
-    return F.when(body == "", F.lit(f"<{tag} />")).otherwise(
-        F.concat(F.lit(f"<{tag}>"), body, F.lit(f"</{tag}>")))
+def node(tag: str, body: Column, items: Column | None = None) -> Column:
+    """Element with rendered children ``body``, which is named once: nested
+    elements would otherwise render their leaves twice a level. A body that may
+    be empty gives the array it is rendered from as ``items`` (``<tag />``
+    without any)."""
+    full = F.concat(F.lit(f"<{tag}>"), body, F.lit(f"</{tag}>"))
+    return full if items is None else F.when(F.size(items) == 0, F.lit(f"<{tag} />")).otherwise(full)
 
 
 def _root(tag: str, attrs: list[tuple[str, str]], body: Column) -> Column:
@@ -137,7 +152,6 @@ def _root(tag: str, attrs: list[tuple[str, str]], body: Column) -> Column:
 
 _TOKEN = r"<!--[\s\S]*?-->|<!\[CDATA\[[\s\S]*?\]\]>|<\?[\s\S]*?\?>|<(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
 _ATTRIBUTE = r"([^\s=<>\"'/]+)\s*=\s*(\"[^\"]*+\"|'[^']*+')"
-_SCOPE = "array<struct<depth: int, prefix: string, uri: string>>"
 
 
 def cancel_uris(envelope: str, header: str, request: str) -> dict[str, str]:
@@ -159,51 +173,57 @@ def close_uris(envelope: str, types: str, header: str) -> dict[str, str]:
 def by_uri(text: Column, uris: dict[str, str]) -> Column:
     """The message with every element of ``uris`` (local name -> URI, '' for
     none) that is in another namespace renamed, so that no mapping finds it.
+    One walk over the tags of a message, by a small function in the tasks.
 
     A prefix means what the nearest enclosing declaration says: the walk over
     the tags keeps the declarations in scope with their depth. Quotes of
     either kind, default namespaces, redeclared prefixes and undeclared ones
     are told apart; what stands in comments, processing instructions, CDATA
     or attribute values declares nothing. NULL stays NULL."""
-    wanted = F.create_map(*[F.lit(x) for pair in uris.items() for x in pair])
-
-    def parse(t: Column) -> Column:
-        name = F.regexp_extract(t, r"^</?([^\s/>]+)", 1)
-        local = F.substring_index(name, ":", -1)
-        names, values = F.regexp_extract_all(t, F.lit(_ATTRIBUTE), 1), F.regexp_extract_all(t, F.lit(_ATTRIBUTE), 2)
-        pairs = F.filter(F.arrays_zip(names.alias("k"), values.alias("v")), lambda a: a["k"].rlike("^xmlns(:|$)"))
-        return F.struct(
-            F.when(t.rlike("^<[!?]"), F.lit("other")).when(t.startswith("</"), F.lit("end"))
-            .when(t.endswith("/>"), F.lit("single")).otherwise(F.lit("start")).alias("kind"),
-            t.alias("tag"), local.alias("local"), F.when(name.contains(":"), F.substring_index(name, ":", 1)).otherwise(F.lit("")).alias("prefix"),
-            F.substring(t, F.length(name) + F.when(t.startswith("</"), 3).otherwise(2), F.length(t)).alias("rest"),
-            F.transform(pairs, lambda a: F.struct(
-                F.when(a["k"].contains(":"), F.substring_index(a["k"], ":", -1)).otherwise(F.lit("")).alias("prefix"),
-                F.replace(F.substring(a["v"], F.lit(2), F.length(a["v"]) - 2), F.lit("&amp;"), F.lit("&")).alias("uri"))).alias("declared"))
-
-    def step(s: Column, t: Column) -> Column:
-        opens = t["kind"].isin("start", "single")
-        inside = F.when(opens, s["depth"] + 1).otherwise(s["depth"])
-        scope = F.when(opens, F.concat(s["scope"], F.transform(t["declared"], lambda d: F.struct(
-            (s["depth"] + 1).alias("depth"), d["prefix"].alias("prefix"), d["uri"].alias("uri"))))).otherwise(s["scope"])
-        closes = t["kind"].isin("end", "single")
-        uri = F.coalesce(F.try_element_at(F.filter(scope, lambda d: d["prefix"] == t["prefix"]), F.lit(-1))["uri"],
-                         F.when(t["prefix"] == "", F.lit("")))
-        foreign = wanted[t["local"]].isNotNull() & ~wanted[t["local"]].eqNullSafe(uri)
-        shown = F.when((t["kind"] == "other") | ~foreign, t["tag"]).otherwise(
-            F.concat(F.when(t["kind"] == "end", F.lit("</")).otherwise(F.lit("<")), F.lit("_other."), t["local"], t["rest"]))
-        return F.struct(F.when(closes, inside - 1).otherwise(inside).alias("depth"),
-                        F.when(closes, F.filter(scope, lambda d: d["depth"] < inside)).otherwise(scope).alias("scope"),
-                        F.array_append(s["shown"], shown).alias("shown"))
-
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast(_SCOPE).alias("scope"), F.array().cast("array<string>").alias("shown"))
-    shown = F.aggregate(F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), 0), parse), start, step, lambda s: s["shown"])
-    gaps = F.split(text, _TOKEN, -1)
-    return F.array_join(F.zip_with(F.concat(F.array(F.lit("")), shown), gaps, lambda a, b: F.concat(a, b)), "")
+    def renamed(message):
+        import re
+
+        if message is None:
+            return None
+        name_of, attribute = re.compile(r"</?([^\s/>]+)", re.A), re.compile(_ATTRIBUTE, re.A)
+        depth, scope = 0, []    # (depth, prefix, URI) of the declarations in scope
+
+        def shown(m):
+            nonlocal depth, scope
+            tag = m[0]
+            if tag.startswith(("<!", "<?")):
+                return tag
+            end, single = tag.startswith("</"), tag.endswith("/>")
+            name = found[1] if (found := name_of.match(tag)) else ""
+            if not end:
+                depth += 1
+                if "xmlns" in tag:
+                    scope = scope + [(depth, k[6:].rpartition(":")[2], v[1:-1].replace("&amp;", "&"))
+                                     for k, v in attribute.findall(tag) if k == "xmlns" or k.startswith("xmlns:")]
+            local = name.rpartition(":")[2]
+            if local in uris:
+                prefix = name.partition(":")[0] if ":" in name else ""
+                uri = next((u for _, p, u in reversed(scope) if p == prefix), None if prefix else "")
+                if uri != uris[local]:
+                    tag = f"{'</' if end else '<'}_other.{local}{tag[len(name) + 1 + end:]}"
+            if end or single:
+                scope = [d for d in scope if d[0] < depth]
+                depth -= 1
+            return tag
+
+        return re.sub(_TOKEN, shown, message, flags=re.A)
+
+    return F.udf(renamed, "string", useArrow=True)(text)
 
 
 # ---- cancel -------------------------------------------------------------------
 
+def _computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with the column ``name``, computed once a row: filters and
+    projections over a generated column do not compute its value again."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _ns_guard(reason: Column, text: Column, require_ns: str | None) -> Column:
     """Optional check of the text: it must hold the expected URI in double
     quotes (elements are matched by URI with ``uris``)."""
@@ -220,13 +240,15 @@ def map_cancel(messages: DataFrame, text_col: str = "value", require_ns: str | N
     ``array<struct<involvement, characteristics: array<struct<name, value>>>>``.
     Elements are matched by local name, or by URI with ``uris`` (``cancel_uris``)."""
     x = F.from_xml(by_uri(F.col(text_col), uris) if uris else F.col(text_col), CANCEL_SCHEMA, _XML_OPTS)
-    m = messages.withColumn("_x", x)
-    hdrs = _cat(F.col("_x.Header"), "HeaderIn", _HDR)
-    reqs = _cat(F.col("_x.Body"), "cancelTroubleTicketRequest", _REQ)
+    m = _computed(messages, "_x", x)
+    m = _computed(m, "_in", F.struct(_cat(F.col("_x.Header"), "HeaderIn", _HDR).alias("hdrs"),
+                                     _cat(F.col("_x.Body"), "cancelTroubleTicketRequest", _REQ).alias("reqs")))
+    hdrs, reqs = F.col("_in.hdrs"), F.col("_in.reqs")
     objs = F.flatten(F.transform(reqs, lambda r: _cat(r["relatedObjectList"], "RelatedObject", _OBJ)))
-    related = F.transform(objs, lambda o: F.struct(
+    m = _computed(m, "_related", F.transform(objs, lambda o: F.struct(
         o["involvement"].alias("involvement"),
-        _cat(o["describeByList"], "Characteristic", _CHAR).alias("characteristics")))
+        _cat(o["describeByList"], "Characteristic", _CHAR).alias("characteristics"))))
+    related = F.col("_related")
     required_hdr = [f for f in HEADER_FIELDS if f not in HEADER_OPTIONAL]
     hdr_ok = _all(hdrs, lambda h: F.greatest(*[h[f].isNull() for f in required_hdr]) == F.lit(False))
     req_ok = _all(reqs, lambda r: r["interactionDate"].isNotNull() & r["externalId"].isNotNull())
@@ -239,7 +261,7 @@ def map_cancel(messages: DataFrame, text_col: str = "value", require_ns: str | N
               .when(~req_ok, F.lit("cancelTroubleTicketRequest: interactionDate/externalId missing"))
               .when(~obj_ok, F.lit("RelatedObject: involvement missing"))
               .when(~chr_ok, F.lit("Characteristic: name/value missing")))
-    reason = _ns_guard(reason, F.col(text_col), require_ns)
+    m, reason = _computed(m, "_reason", _ns_guard(reason, F.col(text_col), require_ns)), F.col("_reason")
     last_h = _last(hdrs)
     last_r = _last(reqs)
     has_h = F.size(hdrs) > 0
@@ -258,10 +280,10 @@ def render_cancel(mapped: DataFrame, ns: CancelNamespaces = CancelNamespaces())
     chars = lambda o: F.array_join(F.transform(o["characteristics"], lambda c: node(
         "v1:Characteristic", F.concat(leaf("v1:name", c["name"]), leaf("v1:value", c["value"])))), "")
     objs = F.array_join(F.transform(F.col("related"), lambda o: node("v1:RelatedObject", F.concat(
-        leaf("v1:involvement", o["involvement"]), node("v1:describeByList", chars(o))))), "")
+        leaf("v1:involvement", o["involvement"]), node("v1:describeByList", chars(o), o["characteristics"])))), "")
     body = node("v1:cancelTroubleTicketRequest", F.concat(
         leaf("v1:interactionDate", F.col("interactionDate")), leaf("v1:ID", F.col("ID")),
-        leaf("v1:externalId", F.col("externalId")), node("v1:relatedObjectList", objs)))
+        leaf("v1:externalId", F.col("externalId")), node("v1:relatedObjectList", objs, F.col("related"))))
     return _root("soapenv:Envelope",
                  [("xmlns:soapenv", ns.soapenv), ("xmlns:head", ns.head), ("xmlns:v1", ns.v1)],
                  F.concat(node("soapenv:Header", header), node("soapenv:Body", body)))
@@ -274,9 +296,10 @@ def map_close(messages: DataFrame, text_col: str = "value", require_ns: str | No
     header fields, problem ``id``/``referenceNumber``, resolution
     ``resolution_code``/``resolution_value``, ``status_code``/``status_value``."""
     x = F.from_xml(by_uri(F.col(text_col), uris) if uris else F.col(text_col), CLOSE_SCHEMA, _XML_OPTS)
-    m = messages.withColumn("_x", x)
-    reqs = _cat(F.col("_x.Body"), "CloseCustomerProblemRequest",
-                f"struct<TefHeaderReq: array<{_TEF}>, CloseCustomerProblemRequest_data: array<{_DATA}>>")
+    m = _computed(messages, "_x", x)
+    m = _computed(m, "_reqs", _cat(F.col("_x.Body"), "CloseCustomerProblemRequest",
+                                   f"struct<TefHeaderReq: array<{_TEF}>, CloseCustomerProblemRequest_data: array<{_DATA}>>"))
+    reqs = F.col("_reqs")
     tefs = F.flatten(F.transform(reqs, lambda r: F.coalesce(r["TefHeaderReq"], F.array().cast(f"array<{_TEF}>"))))
     datas = F.flatten(F.transform(reqs, lambda r: F.coalesce(r["CloseCustomerProblemRequest_data"],
                                                              F.array().cast(f"array<{_DATA}>"))))
@@ -286,6 +309,8 @@ def map_close(messages: DataFrame, text_col: str = "value", require_ns: str | No
                                                          f"struct<problemResolution: array<{_CODEV}>>")))
     ress = _cat(sums, "problemResolution", _CODEV)
     stats = F.flatten(F.transform(datas, lambda d: F.coalesce(d["problemStatus"], F.array().cast(f"array<{_CODEV}>"))))
+    m = _computed(m, "_in", F.struct(tefs.alias("tefs"), refs.alias("refs"), ress.alias("ress"), stats.alias("stats")))
+    tefs, refs, ress, stats = (F.col(f"_in.{f}") for f in ("tefs", "refs", "ress", "stats"))
     tef_ok = _all(tefs, lambda t: F.greatest(*[t[f].isNull() for f in TEF_FIELDS]) == F.lit(False))
     ref_ok = _all(refs, lambda r: r["id"].isNotNull())
     res_ok = _all(ress, lambda r: r["code"].isNotNull())
@@ -295,7 +320,7 @@ def map_close(messages: DataFrame, text_col: str = "value", require_ns: str | No
               .when(~ref_ok, F.lit("problemReference: id missing"))
               .when(~res_ok, F.lit("problemResolution: code missing"))
               .when(~st_ok, F.lit("problemStatus: code missing")))
-    reason = _ns_guard(reason, F.col(text_col), require_ns)
+    m, reason = _computed(m, "_reason", _ns_guard(reason, F.col(text_col), require_ns)), F.col("_reason")
     lt, lr, ls, lst = _last(tefs), _last(refs), _last(ress), _last(stats)
     opt = lambda last, f: F.when(last.isNotNull(), F.coalesce(last[f], F.lit(""))).otherwise(last[f])
     keep = [c for c in messages.columns if c != text_col]
