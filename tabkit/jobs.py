@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabkit.operators import claims as C
 from tabkit.operators import soap
+from tabkit.scratch import Scratch
 from tabkit.sinks.files import archive_file, write_delimited, write_named_text
 from tabkit.sources.daywindow import read_hive_window, read_named_days
 from tabkit.sources.delimited import SourceSpec, all_text_schema, read_pipe_with_header
@@ -70,8 +71,10 @@ def cancel_mapping_job(spark: SparkSession, in_dir: str, out_dir: str, reject_di
                        ns: soap.CancelNamespaces = soap.CancelNamespaces(),
                        one_dir_per_name: bool = False, by_folder: str | None = None):
     """Every cancel message of ``in_dir`` -> rendered messages (same file
-    names) + a reject table ``(file_name, reason)``."""
-    ok, bad = soap.cancel_job(soap.read_messages(spark, in_dir, by_folder), ns)
+    names) + a reject table ``(file_name, reason)``. The files are listed and
+    read once."""
+    messages = Scratch(spark, "messages").table(soap.read_messages(spark, in_dir, by_folder), "read")
+    ok, bad = soap.cancel_job(messages, ns)
     write_named_text(ok, out_dir, "file_name", "xml", one_dir_per_name=one_dir_per_name)
     bad.write.mode("overwrite").parquet(reject_dir)
     return ok, bad
@@ -80,7 +83,8 @@ def cancel_mapping_job(spark: SparkSession, in_dir: str, out_dir: str, reject_di
 def close_mapping_job(spark: SparkSession, in_dir: str, out_dir: str, reject_dir: str,
                       ns: soap.CloseNamespaces = soap.CloseNamespaces(),
                       one_dir_per_name: bool = False):
-    ok, bad = soap.close_job(soap.read_messages(spark, in_dir), ns)
+    messages = Scratch(spark, "messages").table(soap.read_messages(spark, in_dir), "read")
+    ok, bad = soap.close_job(messages, ns)
     write_named_text(ok, out_dir, "file_name", "xml", one_dir_per_name=one_dir_per_name)
     bad.write.mode("overwrite").parquet(reject_dir)
     return ok, bad
