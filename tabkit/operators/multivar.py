@@ -127,7 +127,8 @@ class KMeansResult:
 
 
 def _fit_kmeans(scaled, k, seed, max_iter, in_col):
-    m = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=in_col, initMode="k-means||").fit(scaled)
+    # not the cached frame itself: the fit then keeps its vectors ready, instead of decoding every row once an iteration
+    m = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=in_col, initMode="k-means||").fit(scaled.select(in_col))
     steps = m.summary.numIter
     return KMeansResult(m, m.summary.trainingCost, seed, steps, steps < max_iter)
 
@@ -168,9 +169,8 @@ def cluster_summary(scaled: DataFrame, km: KMeansResult, in_col: str = "scaled")
 def elbow(scaled: DataFrame, k_max: int = 10, seed: int = 567, n_starts: int = 1,
           in_col: str = "scaled") -> DataFrame:
     """Within-cluster SS for k = 1..k_max (k = 1 is the total SS)."""
-    rows = [(1, total_ss(scaled, in_col))]
-    for k in range(2, k_max + 1):
-        rows.append((k, kmeans_best(scaled, k, n_starts, seed, in_col=in_col).cost))
+    with ThreadPoolExecutor(max_workers=4) as ex:
+        rows = list(ex.map(lambda k: (k, total_ss(scaled, in_col) if k == 1 else kmeans_best(scaled, k, n_starts, seed, in_col=in_col).cost), range(1, k_max + 1)))
     return scaled.sparkSession.createDataFrame(rows, "k int, wss double")
 
 
@@ -263,12 +263,22 @@ def cluster_map(coords: DataFrame, labels: DataFrame, id_col: str) -> DataFrame:
 
 # ---- distances (re-aimed: rows against a bounded set of reference points) ---
 
+def _once(value, use):
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def mid_ranks(x):
     """The mid-ranks of an array's elements (ties share their mean rank)."""
-    s = F.array_sort(x)
-    # the first place in the sorted array, and the number of equal elements there
-    return F.transform(x, lambda v: F.array_position(s, v).cast("double")
-                       + (F.size(F.filter(x, lambda w: w == v)) - 1) / F.lit(2.0))
+    # the mean of the first and the last place in the sorted array
+    return _once(F.array_sort(x), lambda s: _once(F.reverse(s), lambda r: F.transform(
+        x, lambda v: (F.array_position(s, v) + F.size(s) + 1 - F.array_position(r, v)) / F.lit(2.0))))
+
+
+def centred(x):
+    """An array's elements less their mean."""
+    mean = F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / F.size(x).cast("double")
+    return _once(mean, lambda m: F.transform(x, lambda v: v - m))
 
 
 def pair_signs(x):
@@ -283,7 +293,7 @@ def _dot(x, y):
 
 
 # what a metric compares: computed once per row, and once per reference point
-_FORMS = {"spearman": mid_ranks, "kendall": pair_signs,
+_FORMS = {"spearman": lambda x: centred(mid_ranks(x)), "pearson": centred, "kendall": pair_signs,
           "binary": lambda x: F.transform(x, lambda v: F.when(v != 0, F.lit(1.0)).otherwise(0.0))}
 
 
@@ -304,16 +314,9 @@ def _dist_expr(x, y, metric: str, power: float = 3.0):
     if metric == "binary":      # of the elements set on a side, the share set on one side only
         either = F.aggregate(F.zip_with(x, y, lambda a, b: F.greatest(a, b)), F.lit(0.0), lambda acc, v: acc + v)
         return F.when(either == 0, 0.0).otherwise(F.try_divide(either - _dot(x, y), either))
-    if metric == "kendall":     # tau-b: pairs in the same order less those in opposite order
+    # of centred elements or ranks, or of pair signs (tau-b: pairs in the same order less those in opposite order)
+    if metric in ("kendall", "pearson", "spearman"):
         return 1 - F.try_divide(_dot(x, y), F.sqrt(_dot(x, x) * _dot(y, y)))
-    if metric in ("pearson", "spearman"):
-        n = F.size(x).cast("double")
-        mx = F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / n
-        my = F.aggregate(y, F.lit(0.0), lambda a, v: a + v) / n
-        sxy = F.aggregate(F.zip_with(x, y, lambda a, b: (a - mx) * (b - my)), F.lit(0.0), lambda a, v: a + v)
-        sxx = F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - mx) * (v - mx))
-        syy = F.aggregate(y, F.lit(0.0), lambda a, v: a + (v - my) * (v - my))
-        return 1 - F.try_divide(sxy, F.sqrt(sxx * syy))
     raise ValueError(f"unknown metric {metric}")
 
 
