@@ -9,7 +9,7 @@ probability per language. No n-gram is left out, however rare: the driver
 and every worker hold all distinct ones. The prediction is the language with the lowest
 cross-entropy per character.
 
-Rejection is calibrated on training texts: per language, the mean
+Rejection is calibrated on all training texts: per language, the mean
 cross-entropy and its spread as a function of length; a text is rejected if
 even its best language lies ``REJECT_DEVIATIONS`` spreads above the mean, or
 if it has no letter.
@@ -31,9 +31,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tabkit.llm import textops as X
 
 ORDER = 4
-# About this many training texts set the rejection limits and the score's scale: an equal
-# number for each language, all of a language that has fewer.
-CALIBRATION_ROWS = 20_000
+# The score's scale is the one of these with the least loss over all training texts.
+SCALES = (0.02, 0.05, 0.1, 0.2, 0.5, 1.0)
+# Medians of the rejection limits are within a rank of one in this many of the true ones.
+MEDIAN_ACCURACY = 100_000
 REJECT_DEVIATIONS = 10.0
 UNKNOWN = "und"
 # So many n-grams are scored at a time.
@@ -238,25 +239,33 @@ class Model:
         return -total / np.maximum(n, 1)[:, None], n
 
 
-def _entropies(docs: DataFrame, shared, id_col: str, keep: str, text_col: str) -> DataFrame:
-    schema = T.StructType([docs.schema[id_col], docs.schema[keep], T.StructField("n_symbols", T.LongType()), T.StructField("entropy", T.ArrayType(T.DoubleType()))])
-    names = ["id", "keep", "n_symbols", "entropy"]
-    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, schema.fields)])
+def _calibration(docs: DataFrame, shared, lang_col: str, text_col: str) -> DataFrame:
+    """For each text with a letter: the place of its language, whether that
+    is the predicted one, its symbols, the cross-entropy under its language
+    and the loss of each of ``SCALES``."""
+    names = ["own", "right", "k", "e", *(f"loss_{i}" for i in range(len(SCALES)))]
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        X.release()
         model = shared.value[0]
         for batch in batches:
-            for lo, hi, data, off in X.chunked(batch.column(2)):
+            langs = np.array(batch.column(0).to_pylist(), object)
+            for lo, hi, data, off in X.chunked(batch.column(1)):
                 ce, n = model.cross_entropy(data, off)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(n),
-                                                  pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * ce.shape[1], pa.int32()), pa.array(ce.ravel()))], names=names)
+                some = n > 0
+                ce, k, own = ce[some], n[some].astype(float), np.searchsorted(model.langs, langs[lo:hi][some].astype(str))
+                rows = np.arange(len(k))
+                z = [(ce.min(axis=1, keepdims=True) - ce) * t * k[:, None] for t in SCALES]
+                losses = [np.log(np.exp(x).sum(axis=1)) - x[rows, own] for x in z]
+                yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int64)), pa.array(ce.argmin(axis=1) == own), pa.array(k), pa.array(ce[rows, own]), *map(pa.array, losses)], names=names)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(keep).alias("keep"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    schema = "own long, right boolean, " + ", ".join(f"{c} double" for c in names[2:])
+    return docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"):
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"):
     """``(model, limits, scale)`` learned from ``docs``, or None without a
     labelled text. limits: per language mean, spread of long texts and
     spread per symbol of the cross-entropy."""
@@ -274,35 +283,25 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     model = Model(split)
 
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rows_of = {r.lang: r["count"] for r in labelled.groupBy(F.col(lang_col).cast("string").alias("lang")).count().collect()}
-    every = {lang: max(1, n * len(rows_of) // CALIBRATION_ROWS) for lang, n in rows_of.items()}
-    step = F.create_map(*[F.lit(x) for pair in every.items() for x in pair])[F.col(lang_col).cast("string")]
-    sample = labelled.where(F.pmod(F.xxhash64(F.col(id_col)), step) == 0)
     shared = spark.sparkContext.broadcast((model,))
-    got = _entropies(sample, shared, id_col, lang_col, text_col).where("n_symbols > 0").select("keep", "n_symbols", "entropy").toArrow()
-    shared.destroy()
+    texts = _calibration(labelled, shared, lang_col, text_col).cache()
+    median = lambda c: F.percentile_approx(c, 0.5, MEDIAN_ACCURACY)
+    root, right = F.sqrt("k"), F.col("right")
+    per_lang = texts.groupBy("own").agg(F.avg("e").alias("any"), (F.sum(F.when(right, F.col("e") * root)) / F.sum(F.when(right, root))).alias("mean"),
+                                        median(F.when(right, F.col("k"))).alias("half"), *[F.sum(f"loss_{i}").alias(f"loss_{i}") for i in range(len(SCALES))]).collect()
     limits = np.tile([0.0, 1.0, 1.0], (len(model.langs), 1))
     scale = 1.0
-    if got.num_rows:
-        ce = np.array(got.column("entropy").to_pylist())
-        m = got.column("n_symbols").to_numpy().astype(float)
-        kept = [str(lang) for lang in got.column("keep").to_pylist()]
-        own, weight = np.searchsorted(model.langs, kept), np.array([every[lang] for lang in kept])
-        right = ce.argmin(axis=1) == own
-        for j in range(len(model.langs)):
-            e, k = ce[right & (own == j), j], m[right & (own == j)]
-            if len(e):
-                mean = np.average(e, weights=np.sqrt(k))
-                long = np.abs(e - mean)[k >= np.median(k)]
-                limits[j] = mean, max(0.15, 1.4826 * np.median(long)), max(0.5, 1.4826 * np.median(np.abs(e - mean) * np.sqrt(k)))
-            elif (own == j).any():
-                limits[j] = ce[own == j, j].mean(), 1.0, 1.0
-        gap = ce - ce.min(axis=1, keepdims=True)
-        loss = {}
-        for t in (0.02, 0.05, 0.1, 0.2, 0.5, 1.0):
-            z = -gap * t * m[:, None]
-            loss[t] = -np.average(z[np.arange(len(z)), own] - np.log(np.exp(z).sum(axis=1)), weights=weight)
-        scale = min(loss, key=loss.get)
+    if per_lang:
+        scale = SCALES[int(np.argmin([sum(r[f"loss_{i}"] for r in per_lang) for i in range(len(SCALES))]))]
+        for r in per_lang:
+            limits[r.own] = r.any, 1.0, 1.0
+        found = spark.createDataFrame([(r.own, r.mean, r.half) for r in per_lang], "own long, mean double, half double")
+        off = F.abs(F.col("e") - F.col("mean"))
+        for r in (texts.where(right).join(F.broadcast(found), "own").groupBy("own")
+                  .agg(F.first("mean").alias("mean"), median(F.when(F.col("k") >= F.col("half"), off)).alias("long"), median(off * root).alias("per")).collect()):
+            limits[r.own] = r.mean, max(0.15, 1.4826 * r.long), max(0.5, 1.4826 * r.per)
+    texts.unpersist()
+    shared.destroy()
     return model, limits, scale
 
 
