@@ -1,7 +1,9 @@
 """Small fixtures against brute force; edge rows for every operator."""
 
 import hashlib
+import os
 import re
+import time
 import zlib
 
 import numpy as np
@@ -73,6 +75,27 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.clean(docs, bench).columns == docs.columns
 
 
+def test_postings_of_a_shard_take_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    lengths = rng.integers(0, 3000, 1500)
+    data = rng.choice(np.frombuffer(b"abcdeXYZ  .\n", np.uint8), lengths.sum())
+    off = np.concatenate(([0], np.cumsum(lengths)))
+    words, n = decontaminate.word_hashes(data, off)
+    at = np.concatenate([np.arange(k) + f for k, f in zip(n, np.cumsum(n + decontaminate.GAP) - n - decontaminate.GAP)])
+    vocabulary = np.unique(words[::997])
+    known = np.isin(words, vocabulary)
+    decontaminate.X.release()
+    tracemalloc.start()
+    keys, places, per_row = decontaminate.postings(data, off, vocabulary)
+    assert tracemalloc.get_traced_memory()[1] < 15 * len(data)
+    tracemalloc.stop()
+    assert (vocabulary[keys] == words[known]).all() and (places == at[known]).all() and (per_row == n).all()
+    keys, places, per_row = decontaminate.postings(data, off)
+    assert (keys == words).all() and (places == at).all() and (per_row == n).all()
+
+
 def test_near_dedup(docs, empty):
     got = {(r.doc_id, r.n_shingles): r.component_id for r in near_dedup.near_duplicates(docs).collect()}
     w = len(BASE.split())
@@ -90,6 +113,31 @@ def test_common_counts():
     assert (near_dedup.common_counts(sets[:4], sets[4:]) == want).all()
 
 
+def test_links_of_blocks_of_sorted_rows():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    keys = np.sort(rng.integers(0, 60, 900))
+    keys[300:420] = keys[300]
+    table = pa.table({"k": keys, "v": np.arange(900)})
+    batches = [b for n in (1, 7, 40) for b in table.slice({1: 0, 7: 100, 40: 300}[n], {1: 100, 7: 200, 40: 600}[n]).to_batches(max_chunksize=n)]
+    parts = list(near_dedup._whole_groups(iter(batches), 1))
+    assert np.concatenate([p.column(1).to_numpy() for p in parts]).tolist() == list(range(900))
+    ends = [(p.column(0)[0].as_py(), p.column(0)[-1].as_py()) for p in parts]
+    assert all(a[1] != b[0] for a, b in zip(ends, ends[1:])) and len(parts) > 20
+
+    for size in (4, 40):
+        base = [np.unique(rng.integers(0, 1 << 60, 40).astype(np.uint64)) for _ in range(3)]
+        sets = [np.sort(rng.permutation(base[i % 3])[:rng.integers(30, 41)]) for i in range(2 * size)]
+        roots = rng.integers(0, 6, 2 * size)
+        for low, high in ((np.arange(size), np.arange(size, 2 * size)), (np.arange(size), np.arange(size))):
+            real = {(i, j) for i in low for j in high if roots[i] != roots[j] and 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))}
+            got = near_dedup.block_links(low, high, roots, sets, 75)
+            assert real and set(got) <= real
+            of = lambda pairs: sorted({tuple(sorted((roots[i], roots[j]))) for i, j in pairs})
+            assert of(got) == of(real) and len(got) == len(of(real))
+
+
 def test_sketch_agreement_estimates_similarity():
     a = np.arange(1, 401, dtype=np.uint64)
     s = near_dedup.sketches(np.concatenate((a, a[:300], a[:1])), np.array([400, 300, 1]))
@@ -150,6 +198,67 @@ def test_substring_dedup_inside_texts(spark):
     assert clusters[1] == clusters[2] and clusters[3] == clusters[4]
 
 
+def test_substring_dedup_sorts_equal_stretches_once(spark, monkeypatch):
+    """The runs equal those of every window compared with every other, and no table holds a row per window of each copy."""
+    rng = np.random.default_rng(11)
+    shared = [[f"p{k}w{i}" for i in rng.integers(0, 1 << 40, 160)] for k in range(2)]
+    spaced = lambda w, gap: gap.join(w)
+    rows = []
+    for i in range(24):
+        a, b = sorted(rng.integers(0, 160, 2))
+        own = [f"o{x}" for x in rng.integers(0, 1 << 40, 30)]
+        body = shared[i % 2] if i < 12 else shared[i % 2][a:b]
+        text = spaced(own[:15], " ") + " " + spaced(body, "  " if i % 5 == 0 else " ") + "\n" + spaced(own[15:], " ")
+        rows.append((None if i == 3 else i, text.upper() if i % 7 == 0 else text))
+    rows += [rows[1], (50, "la " * 90), (51, "x " + "la " * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+    places, windows = [], {}
+    for (i, part), text in {(r.id, r.part): r.text for r in substring_dedup._keyed(docs, "doc_id", "text").collect()}.items():
+        spans = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        copies = rows.count((i, text))
+        for at in range(len(spans) - 39):
+            key = tuple(text[s:e].lower() for s, e in spans[at:at + 40])
+            windows.setdefault(key, []).extend([(i is None, i or 0, part, at)] * copies)
+            places.append((i, part, at, spans[at][0], spans[at + 39][1], key))
+    covered = set()
+    for i, part, at, start, end, key in places:
+        if len(windows[key]) > 1:
+            first = min(windows[key])
+            covered.add((i, part, start, end, None if first[0] else first[1], first != (i is None, i or 0, part, at)))
+
+    sizes = {}
+    table = substring_dedup.Scratch.table
+
+    def counted(self, df, name):
+        out = table(self, df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(substring_dedup.Scratch, "table", counted)
+    found = substring_dedup.repeated_runs(docs, "doc_id", "text", substring_dedup.Scratch(spark, "test-runs", free_shuffles=True)).collect()
+    got = set()
+    for r in found:
+        inside = [(p[2], p[3], p[4]) for p in places if (p[0], p[1]) == (r.id, r.part) and r.at <= p[2] <= r.at + r.words - 40]
+        assert min(x[1] for x in inside) == r.start and max(x[2] for x in inside) == r.end and len(inside) == r.words - 39
+        got |= {(r.id, r.part, s, e, r.first_id, r.removed) for _, s, e in inside}
+    assert got == covered
+    assert max(sizes.values()) < sum(len(x) for x in windows.values() if len(x) > 1) / 2
+
+
+def test_scratch_frees_the_shuffle_files_of_a_write(spark):
+    s = substring_dedup.Scratch(spark, "test-free", free_shuffles=True)
+    files = lambda: sum(len(f) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for _, _, f in os.walk(d))
+    before = files()
+    assert s.table(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count().orderBy("k"), "t").count() == 7
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_html(spark):
     pages = ["<nav>x</nav><main><p>Hello &amp; wor<b>ld</b><p>two<ul><li>a<li>b</ul></main><div class='comments'>bad</div>", "", None, "plain", "<article><h1>T</h1><p title=\"a>b\">x &lt; y</p></article><aside>no</aside>", "<div>" * 5000 + "deep"]
     df = spark.createDataFrame([(i, "http://h.example/%d" % i if i else None, p) for i, p in enumerate(pages)], "page_id long, url string, html string")
