@@ -40,7 +40,10 @@ WINDOW_WORDS = 10
 SLOP = 3
 SHARD_BYTES = 4 << 20
 ITEM_BLOCK_BYTES = 4 << 20
-CANDIDATES = 1 << 20
+# Bytes of a shard's text whose words are hashed at a time.
+CHUNK_BYTES = 1 << 19
+# Starts in a shard that are checked at a time.
+CANDIDATES = 1 << 18
 # Positions left free between two documents, so that no window reaches over.
 GAP = 64
 
@@ -53,6 +56,24 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray):
     return X.span_hashes(data, starts, ends), per_row
 
 
+def postings(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray | None = None):
+    """(keys, positions, words per row) of a shard's words in their order;
+    keys are hashes or, with a vocabulary, places in it, of its words only."""
+    keys, places, per_row, base = [], [], [], 0
+    for lo, hi in X.row_chunks(offsets, CHUNK_BYTES):
+        words, n = word_hashes(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+        at = (base + np.arange(len(words)) + np.repeat(GAP * np.arange(len(n)), n)).astype(np.int32)
+        if vocabulary is not None:
+            code = np.searchsorted(vocabulary, words)
+            known = np.flatnonzero(vocabulary[np.minimum(code, len(vocabulary) - 1)] == words) if len(vocabulary) else np.zeros(0, np.int64)
+            words, at = code[known], at[known]
+        keys.append(words)
+        places.append(at)
+        per_row.append(n)
+        base += int(n.sum()) + GAP * len(n)
+    return np.concatenate(keys), np.concatenate(places), np.concatenate(per_row)
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: np.ndarray | None = None) -> DataFrame:
     """``(shard, ids, n_words, firsts, terms, list_ends, positions)``, one
     row per block of documents. ``vocabulary``: sorted term hashes to index
@@ -67,33 +88,25 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         import pyarrow as pa
         from pyspark import TaskContext
 
+        X.release()
         shard = TaskContext.get().partitionId() << 32
+        v = None if wanted is None else wanted.value
         for batch in batches:
             for lo, hi, data, off in X.chunked(batch.column(1), SHARD_BYTES):
-                words, n = word_hashes(data, off)
+                key, at, n = postings(data, off, v)
                 firsts = np.concatenate(([0], np.cumsum(n + GAP)[:-1])).astype(np.int64)
-                at = np.arange(len(words)) + np.repeat(firsts - np.concatenate(([0], np.cumsum(n)[:-1])), n)
-                if wanted is not None:
-                    v = wanted.value
-                    code = np.searchsorted(v, words)
-                    known = np.flatnonzero(v[np.minimum(code, len(v) - 1)] == words) if len(v) else np.zeros(0, np.int64)
-                    code, at = code[known], at[known]
-                    order = np.argsort(code, kind="stable")
-                    code, at = code[order], at[order]
-                    change = np.flatnonzero(np.diff(code, prepend=-1))
-                    terms = v[code[change]]
-                else:
-                    order = np.argsort(words, kind="stable")
-                    at, words = at[order], words[order]
-                    change = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1]))) if len(words) else np.zeros(0, np.int64)
-                    terms = words[change]
+                order = np.argsort(key, kind="stable")
+                key, at = key[order], at[order]
+                change = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+                terms = key[change] if v is None else v[key[change]]
                 ends = np.concatenate((change[1:], [len(at)])) if len(change) else np.zeros(0, np.int64)
                 ids = batch.column(0).slice(lo, hi - lo)
                 one = pa.array([0, hi - lo], pa.int32())
                 yield pa.RecordBatch.from_arrays([
                     pa.array([shard], pa.int64()), pa.ListArray.from_arrays(one, ids), pa.ListArray.from_arrays(one, pa.array(n, pa.int64())),
-                    *(pa.array([x.tobytes()], pa.binary()) for x in (firsts, terms.astype(_U), ends.astype(np.int64), at.astype(np.int32)))], names=schema.names)
+                    *(pa.array([x.tobytes()], pa.binary()) for x in (firsts, terms.astype(_U), ends.astype(np.int64), at))], names=schema.names)
                 shard += 1
+        X.release()
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
@@ -207,6 +220,7 @@ def search(index: DataFrame, items: list, texts: list[str], item_type: T.DataTyp
                     pa.array(np.full(len(key), batch.column(0)[r].as_py()), pa.int64()), pa.array(p.astype(np.int32)), pa.array([ids[i] for i in key & 0xFFFFFFFF], arrow_item),
                     pa.array((s - firsts[p]).astype(np.int32)), pa.array((e - s).astype(np.int32)), pa.array(np.where(np.arange(len(key)) < len(key) - len(key2), "phrase", "near").astype(object), pa.string())],
                     names=["shard", "place", "item_id", "start", "n_words", "kind"])
+        X.release()
 
     schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("place", T.IntegerType()), T.StructField("item_id", item_type),
                            T.StructField("start", T.IntegerType()), T.StructField("n_words", T.IntegerType()), T.StructField("kind", T.StringType())])
