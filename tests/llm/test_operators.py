@@ -246,6 +246,43 @@ def test_substring_dedup_sorts_equal_stretches_once(spark, monkeypatch):
     assert max(sizes.values()) < sum(len(x) for x in windows.values() if len(x) > 1) / 2
 
 
+def test_substring_dedup_buckets_cut_by_size(spark):
+    """Buckets keep every pair whose sizes allow a link, and no node that is alone, whatever the batches."""
+    rng = np.random.default_rng(3)
+    rows = [(int(b), int(n), i) for i, (b, n) in enumerate(zip(rng.integers(0, 40, 600), rng.integers(20, 2000, 600)))] + [(99, 30, 1000), (99, 39, 1001), (98, 30, 1002), (98, 40, 1003), (98, 41, 1004)]
+    want = {(a[2], c[2]) for a in rows for c in rows if a[:2] <= c[:2] and a[0] == c[0] and a[2] != c[2] and 100 * a[1] >= 75 * c[1]}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        cut = substring_dedup.cut_buckets(spark.createDataFrame(rows, "bucket long, n long, node long").repartition(3), 75).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    groups, size = {}, {node: n for _, n, node in rows}
+    for r in cut:
+        groups.setdefault(r.bucket, []).append(r.node)
+    assert len(cut) == len({r.node for r in cut}) and all(len(g) > 1 for g in groups.values())
+    assert want <= {(a, b) for g in groups.values() for a in g for b in g}
+    for g in groups.values():
+        sizes = sorted(size[x] for x in g)
+        assert all(100 * x >= 75 * y for x, y in zip(sizes, sizes[1:]))
+    assert {1002, 1003, 1004} & {r.node for r in cut} == {1002, 1003, 1004} and {1000, 1001} <= {r.node for r in cut}
+
+
+def test_substring_dedup_sets_hash_all_words_once(monkeypatch):
+    """Units that lie in one another have the sets of a plain count, and the text's shingles are hashed once."""
+    words = [f"w{i % 37}." if i % 9 == 8 else f"w{i % 37}" for i in range(400)]
+    data = np.frombuffer((" ".join(words[:250]) + "\n" + " ".join(words[250:])).encode(), np.uint8)
+    _, _, _, n, first, _, h = substring_dedup.units(data, np.array([0, len(data)]))
+    hashed = []
+    once = substring_dedup.X.run_hashes
+    monkeypatch.setattr(substring_dedup.X, "run_hashes", lambda x, width: hashed.append(len(x)) or once(x, width))
+    elements, per = substring_dedup.unit_sets(first, n, h)
+    assert hashed == [400] and n.sum() > 700
+    ends = np.cumsum(per)
+    for f, m, lo, hi in zip(first, n, ends - per, ends):
+        plain, _, _ = substring_dedup.X.window_hashes(h[f:f + m], np.array([m]), 5)
+        assert sorted(elements[lo:hi].tolist()) == sorted(set(plain.tolist()))
+
+
 def test_scratch_frees_the_shuffle_files_of_a_write(spark):
     s = substring_dedup.Scratch(spark, "test-free", free_shuffles=True)
     files = lambda: sum(n.startswith("shuffle_") for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for _, _, f in os.walk(d) for n in f)
