@@ -11,9 +11,11 @@ the row id -- labels are never attached by position.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
@@ -22,6 +24,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tabkit.plans.scalars import with_one_row
 
+# Numbers in a block of vectors.
+BLOCK_VALUES = 1 << 17
+
 
 def features(df: DataFrame, cols: Sequence[str] | str, id_col: str,
              out: str = "features") -> DataFrame:
@@ -186,41 +191,120 @@ def silhouette(scaled: DataFrame, k_max: int = 10, seed: int = 567, in_col: str
     return scaled.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
+def _blocks(frame: DataFrame, in_col: str):
+    """An RDD of blocks of vectors, each the bytes of their doubles one after the other."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            rows = max(1, BLOCK_VALUES // max(1, x.shape[1]))
+            for k in range(0, len(x), rows):
+                yield pa.RecordBatch.from_arrays([pa.array([x[k:k + rows].tobytes()], pa.binary())], names=["x"])
+
+    return frame.select(vector_to_array(in_col).alias("x")).mapInArrow(run, "x binary").rdd.map(lambda r: bytes(r.x))
+
+
+def _summed(blocks, centers: list[np.ndarray], costs: bool) -> np.ndarray:
+    """One pass over the rows for several sets of centers, below each other:
+    a row per center with the sum of the rows nearest to it, then their number
+    or, with ``costs``, their squared distances to it."""
+    every = np.concatenate(centers)
+    edges = np.concatenate(([0], np.cumsum([len(c) for c in centers])))
+    p = every.shape[1]
+
+    def sums(parts: Iterator) -> Iterator:
+        norms, out = (every * every).sum(1), np.zeros((len(every), p + 1))
+        for part in parts:
+            x = np.frombuffer(part).reshape(-1, p)
+            far = norms - 2 * (x @ every.T)
+            mine = np.zeros((len(every), len(x)))
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                near = lo + far[:, lo:hi].argmin(1)
+                mine[near, np.arange(len(x))] = 1
+                if costs:
+                    out[:, p] += np.bincount(near, ((x - every[near]) ** 2).sum(1), len(every))
+            out[:, :p] += mine @ x
+            out[:, p] += 0 if costs else mine.sum(1)
+        yield out
+
+    found = blocks.mapPartitions(sums)
+    # many tasks' sums are added up by tasks before they go to the driver
+    return sum(found.collect()) if blocks.getNumPartitions() <= 64 else found.treeReduce(np.add)
+
+
+def kmeans_costs(scaled: DataFrame, ks: Sequence[int], seed: int = 567, max_iter: int = 100, tol: float = 1e-4,
+                 in_col: str = "scaled") -> list[float]:
+    """The cost of ``kmeans_best`` with one start, for each k: MLlib's first
+    centers, then its iterations (until no center of a k moves more than
+    ``tol``, ``max_iter`` at most; the cost is that before the last move), made
+    for all k in one pass over the rows."""
+    if not len(ks):
+        return []
+    centers = []
+    for k in ks:
+        m = KMeans(k=k, seed=seed, maxIter=0, featuresCol=in_col, initMode="k-means||").fit(scaled.select(in_col))
+        centers.append(np.array(m.clusterCenters()))
+    blocks = _blocks(scaled, in_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        before, going = list(centers), list(range(len(centers)))
+        for _ in range(max_iter):
+            if not going:
+                break
+            sums = _summed(blocks, [centers[i] for i in going], False)
+            still = []
+            for i, own in zip(going, _per_set(sums, [centers[i] for i in going])):
+                before[i], n = centers[i], own[:, -1:]
+                centers[i] = np.where(n > 0, own[:, :-1] / np.maximum(n, 1), before[i])
+                if (((centers[i] - before[i]) ** 2).sum(1) > tol * tol).any():
+                    still.append(i)
+            going = still
+        return [float(own[:, -1].sum()) for own in _per_set(_summed(blocks, before, True), before)]
+    finally:
+        blocks.unpersist()
+
+
+def _per_set(sums: np.ndarray, centers: list[np.ndarray]) -> list[np.ndarray]:
+    return np.split(sums, np.cumsum([len(c) for c in centers])[:-1])
+
+
 def gap_statistic(scaled: DataFrame, k_max: int = 10, b: int = 5, seed: int = 567,
                   in_col: str = "scaled") -> DataFrame:
     """Tibshirani et al. (2001): Gap(k) = mean_b log W*_b(k) - log W(k) with
     reference sets drawn uniformly in each column's range (same row count,
-    generated by Spark from the data's own rows); s = sd * sqrt(1 + 1/B)."""
+    generated by Spark from the data's own rows); s = sd * sqrt(1 + 1/B).
+    The k-means fits of one set share their passes over its rows, and no
+    more than two sets are kept at a time."""
     arr = scaled.select(vector_to_array(in_col).alias("a"))
     p = len(arr.first()["a"])
     rng = arr.agg(*[F.min(F.col("a")[i]).alias(f"lo{i}") for i in range(p)],
                   *[F.max(F.col("a")[i]).alias(f"hi{i}") for i in range(p)])
     base = with_one_row(arr, rng)
 
-    def wss(frame, k):
-        if k == 1:
-            return total_ss(frame, in_col)
-        return kmeans_best(frame, k, 1, seed, in_col=in_col).cost
+    def logs(frame):
+        return [math.log(w) for w in [total_ss(frame, in_col)][:k_max] + kmeans_costs(frame, range(2, k_max + 1), seed, in_col=in_col)]
 
-    refs = []
-    for bi in range(b):
+    def of_set(bi):
+        if bi is None:
+            return logs(scaled)
         cols = [(F.col(f"lo{i}") + F.rand(seed + 1000 * bi + i) * (F.col(f"hi{i}") - F.col(f"lo{i}")))
                 for i in range(p)]
         ref = base.select(array_to_vector(F.array(*cols)).alias(in_col)).cache()
-        refs.append(ref)
-    jobs = [(None, k) for k in range(1, k_max + 1)] + [(i, k) for i in range(b) for k in range(1, k_max + 1)]
-    with ThreadPoolExecutor(max_workers=4) as ex:
-        res = list(ex.map(lambda j: math.log(wss(scaled if j[0] is None else refs[j[0]], j[1])), jobs))
-    logs = dict(zip(jobs, res))
+        try:
+            return logs(ref)
+        finally:
+            ref.unpersist()
+
+    with ThreadPoolExecutor(max_workers=2) as ex:
+        own, *refs = ex.map(of_set, [None, *range(b)])
     rows = []
     for k in range(1, k_max + 1):
-        logw = logs[(None, k)]
-        ref_logs = [logs[(i, k)] for i in range(b)]
+        logw = own[k - 1]
+        ref_logs = [r[k - 1] for r in refs]
         m = sum(ref_logs) / b
         sd = math.sqrt(sum((x - m) ** 2 for x in ref_logs) / (b - 1)) if b > 1 else 0.0
         rows.append((k, m - logw, sd * math.sqrt(1 + 1 / b), logw, m))
-    for r in refs:
-        r.unpersist()
     return scaled.sparkSession.createDataFrame(rows, "k int, gap double, s double, log_w double, mean_log_w_ref double")
 
 
